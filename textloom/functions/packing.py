@@ -6,23 +6,16 @@ the same however long the text is; the pieces are joined once, when the cut poin
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from textloom.functions.text import is_blank, sentences, strip
+from textloom.functions.text import is_blank, let, sentences, strip
 
 MAX_CHARS = 2_000
 MIN_PROSE = 150
 MIN_CODE = 100
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate `value` once and use it several times in `body`."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _lengths(pieces: Column) -> Column:
     return F.transform(pieces, F.length)
 

@@ -34,6 +34,11 @@ NFKC_STABLE = (
 )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and use it several times in `body`."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _normaliser(form: str) -> Callable[[Column], Column]:
     @F.pandas_udf("string")
     def normalise(texts: pd.Series) -> pd.Series:
@@ -136,11 +141,24 @@ BOOK_END = ["*** END OF THE PROJECT GUTENBERG EBOOK", "*** END OF THIS PROJECT G
 
 def _first_hit(text: Column, marks: list[str]) -> Column:
     """1-based position of the first mark of the list that occurs at all, 0 when none does."""
-    hit = F.lit(0)
-    for mark in reversed(marks):
-        at = F.instr(text, F.lit(mark))
-        hit = F.when(at > 0, at).otherwise(hit)
-    return hit
+    hits = F.array(*[F.instr(text, F.lit(mark)) for mark in marks])
+    return F.coalesce(F.get(F.filter(hits, lambda at: at > 0), F.lit(0)), F.lit(0))
+
+
+def _cut_start(text: Column) -> Column:
+    def cut(start: Column) -> Column:
+        rest = F.substring(text, start, F.length(text))
+        gap = F.instr(rest, F.lit("\n\n"))
+        return F.when((start > 0) & (gap > 0), strip(F.substring(rest, gap, F.length(rest)))).otherwise(text)
+
+    return let(_first_hit(text, BOOK_START), cut)
+
+
+def _cut_end(text: Column) -> Column:
+    return let(
+        _first_hit(text, BOOK_END),
+        lambda end: F.when(end > 0, strip(F.substring(text, F.lit(1), end - 1))).otherwise(text),
+    )
 
 
 def trim_banner(text: Column) -> Column:
@@ -148,11 +166,7 @@ def trim_banner(text: Column) -> Column:
 
     A text with CRLF line ends has no blank line in this sense, so its start is not cut.
     """
-    start = _first_hit(text, BOOK_START)
-    gap = F.locate("\n\n", text, start)
-    body = F.when((start > 0) & (gap > 0), strip(F.substring(text, gap, F.length(text)))).otherwise(text)
-    end = _first_hit(body, BOOK_END)
-    return F.when(end > 0, strip(F.substring(body, F.lit(1), end - 1))).otherwise(body)
+    return let(_cut_start(text), _cut_end)
 
 
 def repair_escapes(line: Column) -> Column:

@@ -7,7 +7,6 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from textloom.operators.ranking import (
     hash_position,
@@ -16,6 +15,7 @@ from textloom.operators.ranking import (
     ordered_rank,
     ordered_running,
 )
+from textloom.session import path_exists
 from textloom.sources.reference_values import FILES_PER_REPO, SEED
 
 log = logging.getLogger(__name__)
@@ -28,9 +28,9 @@ def union_sources(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """
     found = []
     for source, path in tables.items():
-        try:
+        if path_exists(spark, path):
             found.append(spark.read.parquet(path).withColumn("source", F.lit(source)))
-        except AnalysisException:
+        else:
             log.warning("no table for source %s, skipped", source)
     if not found:
         raise ValueError("none of the sources has a table")

@@ -105,14 +105,11 @@ def branch_candidates(branch: Column) -> Column:
 def first_success(candidates: DataFrame, key: str, rank: str, ok: Column, keep: list[str]) -> DataFrame:
     """For each key the columns `keep` of the lowest-ranked candidate that succeeded.
 
-    `min_by` combines on the map side, so a key with very many candidates does not gather them.
+    `min_by` combines on the map side, so a key with very many candidates does not gather them. It skips
+    NULL ranks, which keeps `ok` out of a filter: a pushed-down filter would compute it a second time.
     """
-    return (
-        candidates.filter(ok)
-        .groupBy(key)
-        .agg(F.min_by(F.struct(rank, *keep), rank).alias("_best"))
-        .select(key, "_best.*")
-    )
+    best = F.min_by(F.struct(rank, *keep), F.when(ok, F.col(rank))).alias("_best")
+    return candidates.groupBy(key).agg(best).filter("_best IS NOT NULL").select(key, "_best.*")
 
 
 def token_ids(tokens: DataFrame, vocabulary: DataFrame, token: str = "token") -> DataFrame:

@@ -42,6 +42,11 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def materialised(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write `df` to a table in the shared folder and read it back.
 
