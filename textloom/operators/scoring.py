@@ -18,29 +18,26 @@ def words(text: Column) -> Column:
 
 
 def _bigrams(texts: DataFrame, text: str, *keys: str) -> DataFrame:
-    tokens = texts.select(*keys, words(F.col(text)).alias("_w")).filter(F.size("_w") > 1)
-    heads = F.slice("_w", F.lit(1), F.size("_w") - 1)
-    tails = F.slice("_w", F.lit(2), F.size("_w") - 1)
+    tokens = texts.select(*keys, words(F.col(text)).alias("_w"))
+    pairs_in = F.greatest(F.size("_w") - 1, F.lit(0))
+    heads, tails = F.slice("_w", F.lit(1), pairs_in), F.slice("_w", F.lit(2), pairs_in)
     pairs = F.zip_with(heads, tails, lambda a, b: F.struct(a.alias("first"), b.alias("second")))
     return tokens.select(*keys, F.inline(pairs))
 
 
-def document_bigrams(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """Number of times each pair of neighbouring words occurs in each document."""
-    return _bigrams(texts, text, key).groupBy(key, "first", "second").agg(F.count("*").alias("n"))
-
-
 def join_uneven(rows: DataFrame, counts: DataFrame, keys: list[str], uses: str, share: float = HOT_SHARE) -> DataFrame:
     """Join `rows` with one count row per key when some keys are in a large part of `rows`.
 
     `uses` is the column of `counts` with the number of rows a key meets. Keys that meet at least `share` of
     all rows number at most 1/share, so they are safe to broadcast and their rows stay where they are. The
-    others are small by the same measure, and are joined by shuffle.
+    others are small by the same measure, and are joined by shuffle; the hint keeps the planner from
+    broadcasting `rows`, whose size it underestimates after an explode. `counts` is read several times and
+    should be a stored table.
     """
     total = counts.agg(F.sum(uses)).scalar()
     limit = total * share
     hot = F.broadcast(counts.filter(F.col(uses) >= limit))
-    cold = counts.filter(F.col(uses) < limit)
+    cold = counts.filter(F.col(uses) < limit).hint("merge")
     rest = rows.join(hot.select(*keys), keys, "left_anti")
     return rows.join(hot, keys).unionByName(rest.join(cold, keys))
 
@@ -48,26 +45,26 @@ def join_uneven(rows: DataFrame, counts: DataFrame, keys: list[str], uses: str,
 def bigram_scores(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Mean negative log-likelihood and capped perplexity of each document under the corpus' own bigrams.
 
-    Add-one smoothing: p(b | a) = (count(ab) + 1) / (count(a) + number of distinct words).
+    Add-one smoothing: p(b | a) = (count(ab) + 1) / (count(a) + number of distinct words). The pairs of a
+    document are cut again from its text when they meet their counts: cheaper than storing them all.
     """
-    per_doc = materialised(document_bigrams(texts, key, text), "bigrams")
     pair = materialised(
-        per_doc.groupBy("first", "second").agg(F.sum("n").alias("pair_n"), F.count("*").alias("docs")),
-        "bigram-counts",
+        _bigrams(texts, text).groupBy("first", "second").agg(F.count("*").alias("pair_n")), "bigram-counts"
+    )
+    context = materialised(
+        pair.groupBy("first").agg(F.sum("pair_n").alias("first_n"), F.count("*").alias("pairs")), "contexts"
     )
-    context = pair.groupBy("first").agg(F.sum("pair_n").alias("first_n"), F.count("*").alias("pairs"))
     both = pair.select(F.explode(F.array("first", "second")).alias("w"))
     vocabulary = both.agg(F.count_distinct("w")).scalar()
-    model = join_uneven(pair, context, ["first"], "pairs").select(
-        "first",
-        "second",
-        "docs",
-        (-F.ln((F.col("pair_n") + 1) / (F.col("first_n") + vocabulary))).alias("cost"),
+    cost = -F.ln((F.col("pair_n") + 1) / (F.col("first_n") + vocabulary))
+    model = materialised(
+        join_uneven(pair, context, ["first"], "pairs").select("first", "second", "pair_n", cost.alias("cost")),
+        "bigram-model",
     )
-    scored = join_uneven(per_doc, materialised(model, "bigram-model"), ["first", "second"], "docs")
+    scored = join_uneven(_bigrams(texts, text, key), model, ["first", "second"], "pair_n")
     return (
         scored.groupBy(key)
-        .agg((F.sum(F.col("n") * F.col("cost")) / F.sum("n")).alias("nll"), F.sum("n").alias("bigrams"))
+        .agg(F.avg("cost").alias("nll"), F.count("*").alias("bigrams"))
         .withColumn("perplexity", capped_perplexity(F.col("nll")))
     )
 
@@ -97,7 +94,8 @@ def top_k_with_ties(df: DataFrame, group: list[str], score: str, k: int) -> Data
     The cut is one score per group, taken from counts of equal scores, so neither a large group nor a long
     run of ties is ever gathered.
     """
-    kept = join_uneven(df, _score_cutoffs(df, group, score, k), group, "_rows")
+    cutoffs = materialised(_score_cutoffs(df, group, score, k), "cutoffs")
+    kept = join_uneven(df, cutoffs, group, "_rows")
     return kept.filter(F.col(score) >= F.col("_cutoff")).select(*df.columns)
 
 
@@ -109,7 +107,8 @@ def next_word_table(texts: DataFrame, text: str = "text", k: int = 40, temperatu
         .agg(F.count("*").alias("n"))
     )
     logits = materialised(counts.withColumn("logit", F.ln("n") / F.lit(max(temperature, 1e-5))), "logits")
-    kept = join_uneven(logits, _score_cutoffs(logits, ["context"], "logit", k), ["context"], "_rows")
+    cutoffs = materialised(_score_cutoffs(logits, ["context"], "logit", k), "cutoffs")
+    kept = join_uneven(logits, cutoffs, ["context"], "_rows")
     return kept.filter(F.col("logit") >= F.col("_cutoff")).select(
         "context",
         "candidate",

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,15 +15,10 @@ from textloom.sources import reference_values as ref
 
 
 def long_enough_raw(text: Column, min_chars: int = 40) -> Column:
-    """Length before any cleaning."""
+    """Length of the text as given; dialogues give the raw text, subtitles the stripped one."""
     return F.length(text) >= min_chars
 
 
-def long_enough_clean(text: Column, cleaned: Column, min_chars: int = 40) -> Column:
-    """Stripped length, and something left after cleaning."""
-    return (F.length(strip(text)) >= min_chars) & (cleaned != "")
-
-
 def worth_caching(text: Column) -> Column:
     """Fragments of 50 characters or fewer are not stored."""
     return F.length(strip(text)) > 50
@@ -43,7 +39,8 @@ def substantial(content: Column, min_chars: int = 100) -> Column:
 
 
 def _contains_any(text: Column, terms: list[str]) -> Column:
-    return text.rlike("|".join(re.escape(t) for t in terms))
+    """Plain substring tests: compiled with the rest of the stage, and faster than one long pattern."""
+    return reduce(or_, [F.contains(text, F.lit(t)) for t in terms])
 
 
 def code_extension(path: Column) -> Column:
@@ -80,11 +77,11 @@ def has_both_roles(text: Column) -> Column:
 def topic(title: Column) -> Column:
     """First category, in priority order, one of whose keywords occurs in the title.
 
-    The keyword table is small and fixed, so it becomes one pattern per category instead of a join.
+    The keyword table is small and fixed, so it becomes part of the expression instead of a join.
     """
     words = title_words(title)
-    rules = [(words.rlike("|".join(re.escape(k) for k in keys)), name) for name, keys in ref.TOPICS.items()]
-    return F.coalesce(*[F.when(hit, F.lit(name)) for hit, name in rules], F.lit(ref.OTHER_TOPIC))
+    named = [F.when(_contains_any(words, keys), F.lit(name)) for name, keys in ref.TOPICS.items()]
+    return F.coalesce(*named, F.lit(ref.OTHER_TOPIC))
 
 
 def pending(catalogue: DataFrame, ledger: DataFrame, keys: list[str], dedupe: bool = False) -> DataFrame:

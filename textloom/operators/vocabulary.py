@@ -65,16 +65,19 @@ def pretokens(text: Column, normalise: bool = True) -> Column:
 
     Reserved tokens written out in the text stay whole and separate the words around them.
     """
-    marked = F.regexp_replace(text, f"({_RESERVED})", f"{_OPEN}$1{_CLOSE}")
+    reserved = text.rlike(_RESERVED)
+    marked = F.when(reserved, F.regexp_replace(text, f"({_RESERVED})", f"{_OPEN}$1{_CLOSE}")).otherwise(text)
     whole = nfkc(marked) if normalise else marked
     pieces = F.filter(F.split(whole, f"(?={_OPEN})|(?<={_CLOSE})"), lambda p: p != "")
     split_up = F.transform(
         pieces,
         lambda p: F.when(p.startswith(_OPEN), F.array(F.translate(p, _OPEN + _CLOSE, ""))).otherwise(_words(p)),
     )
-    # the marking is only paid for by texts that contain a reserved token
-    plain = _words(nfkc(text) if normalise else text)
-    return F.when(text.rlike(_RESERVED), F.flatten(split_up)).when(text == "", F.array().cast("array<string>")).otherwise(plain)
+    return (
+        F.when(reserved, F.flatten(split_up))
+        .when(text == "", F.array().cast("array<string>"))
+        .otherwise(_words(whole))
+    )
 
 
 def training_lines(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -245,6 +248,9 @@ def train_vocabulary(
     return vocabulary, spark.createDataFrame(merges, "rank int, left_id int, right_id int, id int")
 
 
+NO_MERGE = (1 << 31, -1)
+
+
 class WordEncoder:
     """Applies a merge table to single words; the size of both tables is bounded by the vocabulary."""
 
@@ -260,13 +266,10 @@ class WordEncoder:
             return [self.reserved[word]]
         ids = [self.ids.get(self.standins[b], UNK) for b in word.encode("utf-8")]
         while len(ids) > 1:
-            options = [
-                (self.merges[pair][0], at) for at, pair in enumerate(zip(ids, ids[1:])) if pair in self.merges
-            ]
-            if not options:
+            (rank, new), at = min((self.merges.get(p, NO_MERGE), at) for at, p in enumerate(zip(ids, ids[1:])))
+            if rank == NO_MERGE[0]:
                 break
-            _, at = min(options)
-            ids[at : at + 2] = [self.merges[ids[at], ids[at + 1]][1]]
+            ids[at : at + 2] = [new]
         return ids
 
 
@@ -286,7 +289,8 @@ def encode(texts: DataFrame, vocabulary: DataFrame, merges: DataFrame, text: str
         for batch in batches:
             yield batch.map(lambda words: [i for w in words for i in encoder.cached(w)], na_action="ignore")
 
-    return texts.withColumn(ids, word_ids(pretokens(F.col(text))))
+    # declared nondeterministic so that a filter on the ids is not pushed down to run the encoder twice
+    return texts.withColumn(ids, word_ids.asNondeterministic()(pretokens(F.col(text))))
 
 
 def decode(ids: Column, vocabulary: DataFrame) -> Column:

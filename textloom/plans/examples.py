@@ -9,6 +9,7 @@ from textloom.functions.arrays import PRETRAIN_LEN, TUNE_LEN, cut_closed, cut_he
 from textloom.operators.mix import batches, exact_split, shard
 from textloom.operators.select import enough_tokens
 from textloom.operators.vocabulary import encode
+from textloom.session import materialised
 
 
 def example_rows(coded: DataFrame, max_len: int | None = None, tuning: bool = False, ids: str = "ids") -> DataFrame:
@@ -37,11 +38,13 @@ def training_rows(
 ) -> DataFrame:
     """Encode once, then split 90/10, deal each part to the ranks and number the batches.
 
+    The encoded rows are stored: what follows reads their keys several times, but the arrays only once.
     Training rows are reordered every epoch and lose the incomplete last batch. Validation rows keep one
     order; their last batch is dropped in pre-training and kept in tuning.
     """
     coded = encode(texts.select(*key, "text"), vocabulary, merges)
-    rows = exact_split(example_rows(coded, max_len, tuning), key, at_least=1 if tuning else 0)
+    stored = materialised(example_rows(coded, max_len, tuning), "examples")
+    rows = exact_split(stored, key, at_least=1 if tuning else 0)
     train = batches(shard(rows.filter("split = 'train'"), key, ranks, epoch), ranks, batch_size)
     held_out = batches(
         shard(rows.filter("split = 'val'"), key, ranks), ranks, batch_size, drop_last=not tuning

@@ -74,7 +74,8 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def article_fragments(payloads: DataFrame, key: str, payload: str = "payload") -> DataFrame:
-    texts = payloads.withColumn("_text", article_text(F.col(payload))).filter("_text IS NOT NULL")
+    # a NULL text explodes to no row; a filter on it would parse every payload twice
+    texts = payloads.withColumn("_text", article_text(F.col(payload)))
     return fragments(texts, "wikipedia", F.col(key), pack_paragraphs(clean_prose(F.col("_text"))))
 
 
@@ -218,13 +219,10 @@ def dialogue_fragments(pairs: DataFrame, key: str) -> DataFrame:
 def subtitle_fragments(pairs: DataFrame, key: str) -> DataFrame:
     """Every line of 40 stripped characters or more that survives cleaning is one fragment."""
     stripped = strip(F.coalesce(F.col("translation")["es"], F.lit("")))
-    kept = (
-        pairs.withColumn("_t", stripped)
-        .filter(F.length("_t") >= 40)
-        .withColumn("_clean", clean_prose(F.col("_t")))
-        .filter(select.long_enough_clean(F.col("_t"), F.col("_clean")))
-    )
-    return fragments(kept, "opensubtitles_es", F.col(key), F.array(F.col("_clean")))
+    kept = pairs.withColumn("_t", stripped).filter(select.long_enough_raw(F.col("_t")))
+    # the second condition is applied inside the array, so that the cleaning runs once
+    pieces = F.filter(F.array(clean_prose(F.col("_t"))), lambda cleaned: cleaned != "")
+    return fragments(kept, "opensubtitles_es", F.col(key), pieces)
 
 
 # --- line files, catalogues and ledgers ------------------------------------------------------------
