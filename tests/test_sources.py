@@ -65,14 +65,22 @@ def test_code_tree(spark, tmp_path):
         path.write_text(content)
     (tmp_path / "code" / "src" / "short.py").write_text("x\n" * 6)
     (tmp_path / "code" / "src" / "one_line.py").write_text("y" * 500)
-    root = f"file:{tmp_path}/code"
-    files = readers.read_code_tree(spark, root).withColumn("path", F.replace("path", F.lit(root + "/"), F.lit("")))
-    rows = readers.code_tree_fragments(readers.code_tree_files(files)).collect()
+    root = f"{tmp_path}/code"
+    files = readers.code_tree_files(readers.read_code_tree(spark, root, judge_root=False), root="")
+    rows = readers.code_tree_fragments(files).collect()
     assert {r.doc_key for r in rows} == kept
     json_file = next(r.text for r in rows if r.doc_key == "src/B.JSON")
     assert json_file.startswith("# Archivo: B.JSON (extension: .json)\n\nline 0")
 
 
+def test_code_tree_judges_the_root_too(spark, tmp_path):
+    (tmp_path / "build" / "src").mkdir(parents=True)
+    for name in ("build/a.py", "build/src/a.py"):
+        (tmp_path / name).write_text("x")
+    found = [r.path for r in readers.read_code_tree(spark, str(tmp_path / "build")).collect()]
+    assert [p.split("/")[-2:] for p in found] == [["build", "a.py"]]
+
+
 def archive(files):
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as z:

@@ -42,9 +42,20 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _file_system(spark, path)
+    return fs.exists(place)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` as Spark reports it for the files it reads: absolute and with its scheme."""
+    fs, place = _file_system(spark, path)
+    return fs.makeQualified(place).toString().rstrip("/")
 
 
 def materialised(df: DataFrame, name: str = "stage") -> DataFrame:

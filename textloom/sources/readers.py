@@ -26,7 +26,7 @@ from textloom.functions.text import (
     trim_banner,
 )
 from textloom.operators import select
-from textloom.session import path_exists
+from textloom.session import path_exists, qualified
 from textloom.sources import reference_values as ref
 
 FRAGMENT_SCHEMA = "source string, doc_key string, frag_idx int, text string"
@@ -40,11 +40,12 @@ def _decode_dropping(raw: pd.Series) -> pd.Series:
 def decoded(content: Column) -> Column:
     """UTF-8 text of a binary column; bytes that are not UTF-8 are dropped.
 
-    Only invalid contents travel to Python.
+    Only invalid contents travel to Python. The UDF is declared nondeterministic so that its result is not
+    inlined into the expressions built on it.
     """
     text = content.cast("string")
-    valid = F.is_valid_utf8(text)
-    return F.coalesce(_decode_dropping(F.when(~valid, content)), text)
+    invalid = F.when(~F.is_valid_utf8(text), content)
+    return F.coalesce(_decode_dropping.asNondeterministic()(invalid), text)
 
 
 def fragments(df: DataFrame, source: Column | str, key: Column, pieces: Column) -> DataFrame:
@@ -108,8 +109,20 @@ def _any_case(ext: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ext)
 
 
-def read_code_tree(spark: SparkSession, root: str) -> DataFrame:
-    """Files with a code extension below `root`; the extension is checked while listing, before any read."""
+def _wanted_path(root: str | None) -> Column:
+    path = F.col("path")
+    in_tree = select.wanted_directory(path)
+    if root is not None:  # the directory rule is for directories below the root
+        in_tree = in_tree | (parent_path(path) == root)
+    return select.code_extension(path) & select.wanted_name(path) & in_tree
+
+
+def read_code_tree(spark: SparkSession, root: str, judge_root: bool = True) -> DataFrame:
+    """Wanted files below `root`. The extension is checked while listing, the path before the text is decoded.
+
+    The directory rule looks at whole paths, so a root such as `/tmp/x` rules out all of its directories;
+    without `judge_root` it looks at paths relative to the root.
+    """
     wanted = ",".join(_any_case(e) for e in ref.CODE_EXTENSIONS)
     files = (
         spark.read.format("binaryFile")
@@ -117,17 +130,17 @@ def read_code_tree(spark: SparkSession, root: str) -> DataFrame:
         .option("pathGlobFilter", f"*{{{wanted}}}")
         .load(root)
     )
-    return files.select("path", F.col("length").alias("size"), decoded(F.col("content")).alias("content"))
+    base = qualified(spark, root)
+    if not judge_root:
+        files = files.withColumn("path", F.substring("path", F.lit(len(base) + 2), F.length("path")))
+    return files.filter(_wanted_path(base if judge_root else "")).select(
+        "path", F.col("length").alias("size"), decoded(F.col("content")).alias("content")
+    )
 
 
 def code_tree_files(files: DataFrame, root: str | None = None) -> DataFrame:
     """Files worth packing. Path rules come first, so that they run before the content is looked at."""
-    in_tree = select.wanted_directory(F.col("path"))
-    if root is not None:  # the directory rule is for directories below the root
-        in_tree = in_tree | (parent_path(F.col("path")) == root.rstrip("/"))
-    return files.filter(
-        select.code_extension(F.col("path")) & select.wanted_name(F.col("path")) & in_tree
-    ).filter(select.plausible_code(F.col("content")))
+    return files.filter(_wanted_path(root)).filter(select.plausible_code(F.col("content")))
 
 
 def code_tree_fragments(files: DataFrame) -> DataFrame:
