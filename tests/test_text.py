@@ -84,10 +84,20 @@ def test_whitespace_is_what_python_strips():
     assert set(T.WHITESPACE) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
 
 
-@pytest.mark.parametrize("form, ranges", [("NFC", T.NFC_STABLE), ("NFKC", T.NFKC_STABLE)])
-def test_stable_ranges(form, ranges):
+def characters(ranges):
     spans = re.findall(r"\\x\{([0-9A-F]+)\}(?:-\\x\{([0-9A-F]+)\})?", ranges)
-    stable = {chr(c) for lo, hi in spans for c in range(int(lo, 16), int(hi or lo, 16) + 1)}
+    return {chr(c) for lo, hi in spans for c in range(int(lo, 16), int(hi or lo, 16) + 1)}
+
+
+def test_plain_ranges():
+    plain = characters(T.PLAIN_LOW + T.PLAIN_HIGH)
+    assert plain <= characters(T.NFC_LOW + T.NFC_HIGH)
+    assert not any(unicodedata.category(c).startswith("C") for c in plain)
+
+
+@pytest.mark.parametrize("form, ranges", [("NFC", T.NFC_LOW + T.NFC_HIGH), ("NFKC", T.NFKC_LOW + T.NFKC_HIGH)])
+def test_stable_ranges(form, ranges):
+    stable = characters(ranges)
     assert all(unicodedata.normalize(form, c) == c and not unicodedata.combining(c) for c in stable)
     seconds = {chr(c) for c in range(0x1161, 0x11C3)}  # jamo that complete a syllable
     for c in range(0x110000):

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column
@@ -22,16 +24,22 @@ WHITESPACE = (
 SPACE_CLASS = r"[\s\x1c-\x1f]"  # the same set inside a (?U) pattern
 
 # Ranges in which every text is its own NFC form: no combining mark, no character with a canonical
-# singleton, no second half of a composition (checked exhaustively in the tests).
-NFC_STABLE = (
-    r"\x{0}-\x{2FF}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{20A0}-\x{20BF}"
+# singleton, no second half of a composition (checked exhaustively in the tests). The low range holds most
+# of any text and is matched on its own.
+NFC_LOW = r"\x{0}-\x{2FF}"
+NFC_HIGH = (
+    r"\x{2010}-\x{2027}\x{2030}-\x{205E}\x{20A0}-\x{20BF}"
     r"\x{3041}-\x{3096}\x{30A1}-\x{30FA}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7A3}"
 )
 # The same for NFKC: without the characters that have a compatibility form.
-NFKC_STABLE = (
-    r"\x{0}-\x{7F}\x{A1}-\x{A7}\x{A9}\x{AB}-\x{AE}\x{B0}\x{B1}\x{B6}\x{B7}\x{BB}\x{BF}-\x{131}"
+NFKC_LOW = r"\x{0}-\x{7F}"
+NFKC_HIGH = (
+    r"\x{A1}-\x{A7}\x{A9}\x{AB}-\x{AE}\x{B0}\x{B1}\x{B6}\x{B7}\x{BB}\x{BF}-\x{131}"
     r"\x{134}-\x{13E}\x{141}-\x{148}\x{14A}-\x{17E}\x{2012}-\x{2016}\x{2018}-\x{2023}\x{20AC}"
 )
+# Characters that cleaning leaves as they are: stable under NFC and not in a control category.
+PLAIN_LOW = r"\x{20}-\x{7E}"
+PLAIN_HIGH = r"\x{A0}-\x{AC}\x{AE}-\x{2FF}" + NFC_HIGH
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -47,21 +55,47 @@ def _normaliser(form: str) -> Callable[[Column], Column]:
     return normalise
 
 
-def _normalised(text: Column, form: str, stable: str) -> Column:
+def _consists_of(text: Column, low: str, high: str) -> Column:
+    """Whether every character is in the given ranges, matched without backtracking in one pass."""
+    return text.rlike(rf"\A(?:[{low}]++|[{high}]++)*+\z")
+
+
+def _normalised(text: Column, form: str, low: str, high: str) -> Column:
     # Stable texts reach the UDF as NULL, so their bytes are not shipped to Python.
-    # (The possessive run is matched in one pass; a negated class of many ranges is far slower.)
-    unstable = F.when(~text.rlike(rf"\A[{stable}]*+\z"), text)
+    unstable = F.when(~_consists_of(text, low, high), text)
     return F.coalesce(_normaliser(form)(unstable), text)
 
 
 def nfc(text: Column) -> Column:
     """Canonical composition."""
-    return _normalised(text, "NFC", NFC_STABLE)
+    return _normalised(text, "NFC", NFC_LOW, NFC_HIGH)
 
 
 def nfkc(text: Column) -> Column:
     """Compatibility composition."""
-    return _normalised(text, "NFKC", NFKC_STABLE)
+    return _normalised(text, "NFKC", NFKC_LOW, NFKC_HIGH)
+
+
+def _without_controls(text: Column, kept: str) -> Column:
+    """NFC without the control characters other than those in `kept`.
+
+    One pass finds the texts that cannot change in either way. They are NULL for the UDF, and what comes
+    back as NULL skips the second pattern too.
+    """
+    composed = _normaliser("NFC")(F.when(~_consists_of(text, PLAIN_LOW + kept, PLAIN_HIGH), text))
+    return F.when(composed.isNull(), text).otherwise(
+        F.regexp_replace(composed, rf"[\p{{C}}&&[^{kept} ]]+", "")
+    )
+
+
+def _replaced_where(text: Column, marks: list[str], pattern: str, new: str) -> Column:
+    """Pattern replacement, tried only on texts that contain one of `marks`: a far cheaper test."""
+
+    def replaced(t: Column) -> Column:
+        present = reduce(or_, [F.contains(t, F.lit(m)) for m in marks])
+        return F.when(present, F.regexp_replace(t, pattern, new)).otherwise(t)
+
+    return let(text, replaced)
 
 
 def strip(text: Column) -> Column:
@@ -73,25 +107,23 @@ def is_blank(text: Column) -> Column:
     return strip(text) == ""
 
 
-def clean_prose(text: Column, normalise: bool = True) -> Column:
+def clean_prose(text: Column) -> Column:
     """Prose cleaning: NFC, control characters out, blank runs collapsed, lines trimmed.
 
     Tabs and carriage returns are control characters here: they vanish, they do not become spaces.
     """
-    c = nfc(text) if normalise else text
-    c = F.regexp_replace(c, r"[\p{C}&&[^\n ]]+", "")
-    c = F.regexp_replace(c, r"\n{3,}", "\n\n")
-    c = F.regexp_replace(c, r" {2,}", " ")
-    c = F.regexp_replace(c, r" ?\n ?", "\n")
+    c = _without_controls(text, r"\n")
+    c = _replaced_where(c, ["\n\n\n"], r"\n{3,}", "\n\n")
+    c = _replaced_where(c, ["  "], r" {2,}", " ")
+    c = _replaced_where(c, [" \n", "\n "], r" ?\n ?", "\n")
     return strip(c)
 
 
-def clean_code(text: Column, normalise: bool = True) -> Column:
+def clean_code(text: Column) -> Column:
     """Code cleaning: NFC, control characters except tab out, long blank gaps cut, line ends trimmed."""
-    c = nfc(text) if normalise else text
-    c = F.regexp_replace(c, r"[\p{C}&&[^\n\t ]]+", "")
-    c = F.regexp_replace(c, r"\n{5,}", "\n\n\n")
-    c = F.regexp_replace(c, r"(?<![ \t])[ \t]++(?=\n|\z)", "")
+    c = _without_controls(text, r"\n\t")
+    c = _replaced_where(c, ["\n\n\n\n\n"], r"\n{5,}", "\n\n\n")
+    c = _replaced_where(c, [" \n", "\t\n"], r"(?<![ \t])[ \t]++(?=\n)", "")
     return strip(c)
 
 
