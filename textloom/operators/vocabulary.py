@@ -123,67 +123,73 @@ def _pair_counts(words: DataFrame) -> DataFrame:
     return _pairs(words).groupBy("pair").agg(F.sum("freq").alias("n"))
 
 
-def _neighbour_bounds(words: DataFrame, pairs: list[str]) -> dict[str, int]:
-    """For each pair the highest frequency with which one symbol stands next to it."""
-    left = F.when(F.col("at") > 1, F.substring("w", F.col("at") - 1, F.lit(1)))
-    right = F.nullif(F.substring("w", F.col("at") + 2, F.lit(1)), F.lit(""))
-    beside = (
-        _pairs(words)
-        .filter(F.col("pair").isin(pairs))
-        .select("freq", "pair", F.posexplode(F.array(left, right)).alias("side", "next"))
-        .filter("next IS NOT NULL")
-        .groupBy("pair", "side", "next")
-        .agg(F.sum("freq").alias("freq"))
-    )
-    rows = beside.groupBy("pair").agg(F.max("freq").alias("bound")).collect()  # at most len(pairs) rows
-    return {r.pair: r.bound for r in rows}
-
-
-def _separate_prefix(
-    candidates: list[tuple[str, int]], tokens: dict[str, int], names: list[str]
-) -> list[tuple[str, int]]:
-    """Longest run of best pairs that do not touch one another: no symbol ends one and begins another.
-
-    A pair of equal symbols touches itself, and a pair whose text is already a token (or the text of an
-    earlier pair) changes existing counts; such a pair is only taken alone.
+class Neighbours:
+    """What stands beside the best pairs: how often at most one symbol, and how often another best pair
+    overlaps one."""
+
+    def __init__(self, words: DataFrame, pairs: list[str]):
+        left = F.when(F.col("at") > 1, F.substring("w", F.col("at") - 1, F.lit(1)))
+        right = F.nullif(F.substring("w", F.col("at") + 2, F.lit(1)), F.lit(""))
+        beside = (
+            _pairs(words)
+            .filter(F.col("pair").isin(pairs))
+            .select("freq", "pair", F.posexplode(F.array(left, right)).alias("side", "next"))
+            .filter("next IS NOT NULL")
+            .groupBy("pair", "side", "next")
+            .agg(F.sum("freq").alias("freq"))
+        )
+        first, second = F.substring("pair", 1, 1), F.substring("pair", 2, 1)
+        other = F.when(F.col("side") == 0, F.concat("next", first)).otherwise(F.concat(second, "next"))
+        overlap = F.when(other.isin(pairs), F.struct(other.alias("other"), "freq"))
+        found = beside.groupBy("pair").agg(  # a row per pair, with at most two overlaps per other pair
+            F.max("freq").alias("bound"), F.collect_list(overlap).alias("overlaps")
+        )
+        self.bound: dict[str, int] = {}
+        self.overlap: dict[tuple[str, str], int] = {}
+        for row in found.collect():
+            self.bound[row.pair] = row.bound
+            for o in row.overlaps:
+                key = (row.pair, o.other)
+                self.overlap[key] = max(self.overlap.get(key, 0), o.freq)
+
+
+def _certain_merges(
+    best: list[tuple[str, int]], beside: Neighbours, tokens: dict[str, int], names: list[str]
+) -> list[str]:
+    """Pairs that merging one at a time would certainly choose next, in this order.
+
+    Merging a pair never raises the count of an existing pair. Going down the list by count, `rival` is the
+    highest count that anything not on the list can have by now:
+
+    * A pair newly created by a merge consists of the merged symbol and one neighbour. It is at most as
+      frequent as that neighbour was beside the merged pair.
+    * A pair that overlaps one already taken has lost at least the places they shared. It is put off to the
+      next round with what can be left of it.
+
+    A pair more frequent than every rival, which overlaps no pair taken, still has its full count and is
+    next. A pair of equal symbols overlaps itself, and a pair whose text is a token already raises existing
+    counts: such a pair is only taken alone.
     """
-    taken: list[tuple[str, int]] = []
-    firsts: set[str] = set()
-    seconds: set[str] = set()
+    taken: list[str] = []
     texts: set[str] = set()
-    for pair, count in candidates:
+    rival = 0
+    for pair, count in best:
+        if taken and rival >= count:
+            break
         a, b = pair
         text = names[symbol_id(a)] + names[symbol_id(b)]
-        alone = a == b or text in tokens or text in texts
-        if taken and (alone or a in seconds or b in firsts):
-            break
-        taken.append((pair, count))
-        if alone:
-            break
-        firsts.add(a)
-        seconds.add(b)
+        if a == b or text in tokens or text in texts:
+            return taken or [pair]
+        shared = [beside.overlap.get((t, pair), 0) for t in taken if t[1] == a or t[0] == b]
+        if shared:
+            rival = max(rival, count - max(shared))
+            continue
+        taken.append(pair)
         texts.add(text)
+        rival = max(rival, beside.bound.get(pair, 0))
     return taken
 
 
-def _certain_prefix(run: list[tuple[str, int]], bounds: dict[str, int]) -> list[str]:
-    """Start of a run of separate pairs that merging one pair at a time would certainly choose in this order.
-
-    Merging a pair never raises the count of an existing pair, and leaves the count of a pair it does not
-    touch. What can still come first is a pair that the merge creates: a merged symbol and one neighbour. It
-    is at most as frequent as that neighbour was beside the merged pair, so a pair that is more frequent
-    than all these bounds is next.
-    """
-    certain: list[str] = []
-    worst = 0
-    for pair, count in run:
-        if certain and worst >= count:
-            break
-        certain.append(pair)
-        worst = max(worst, bounds.get(pair, 0))
-    return certain
-
-
 def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     w = F.col("w")
     for pair, whole in merges:
@@ -195,15 +201,15 @@ def train_vocabulary(
     counts: DataFrame,
     size: int = VOCABULARY_SIZE,
     min_frequency: int = MIN_FREQUENCY,
-    candidates: int = 256,
+    candidates: int = 512,
     merges_per_table: int = 64,
 ) -> tuple[DataFrame, DataFrame]:
     """Tables `vocabulary(id, token)` and `merges(rank, left_id, right_id, id)` from word counts.
 
     Ids: reserved tokens, then the bytes seen in order of their stand-ins, then merges. Each round counts
-    pairs, takes every merge that is already certain (`_certain_prefix`) and applies them together; the
+    pairs, takes every merge that is already certain (`_certain_merges`) and applies them together; the
     result equals merging one pair per round, the most frequent first and on ties the one with smaller ids.
-    What reaches the driver per round is `candidates` rows. Words that are down to one symbol drop out
+    What reaches the driver per round is at most `candidates` pairs. Words that are down to one symbol drop out
     whenever the table is rewritten.
     """
     spark = counts.sparkSession
@@ -220,6 +226,7 @@ def train_vocabulary(
     words = spelled.withColumn("w", F.translate("w", "".join(alphabet), start)) if alphabet else spelled
     parallel = spark.sparkContext.defaultParallelism
     table, waiting = None, []  # the words as last written, and the merges applied to them since
+    width = 32  # pairs looked at in a round: twice as many as the last round could use
     while len(names) < size:
         if table is None or len(waiting) >= merges_per_table:
             rest = _merged(words if table is None else table, waiting).filter(F.length("w") > 1)
@@ -229,14 +236,15 @@ def train_vocabulary(
             _pair_counts(current)
             .filter(F.col("n") >= max(min_frequency, 1))
             .orderBy(F.col("n").desc(), "pair")
-            .limit(candidates)
+            .limit(width)
             .collect()
         )
         if not best:
             break
-        run = _separate_prefix([(r.pair, r.n) for r in best], tokens, names)
-        bounds = _neighbour_bounds(current, [p for p, _ in run]) if len(run) > 1 else {}
-        for pair in _certain_prefix(run, bounds):
+        beside = Neighbours(current, [r.pair for r in best])
+        chosen = _certain_merges([(r.pair, r.n) for r in best], beside, tokens, names)
+        width = min(max(2 * len(chosen), 32), candidates)
+        for pair in chosen:
             if len(names) >= size:
                 break
             left, right = symbol_id(pair[0]), symbol_id(pair[1])

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from textloom.operators.select import worth_caching
+from textloom.operators.select import pending, worth_caching
+from textloom.session import path_exists
 
 LANDED_SCHEMA = "source string, doc_key string, text string"
+LEDGER_SCHEMA = "source string, key string, batch long"
 
 
 def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000, schema: str = LANDED_SCHEMA) -> DataFrame:
@@ -27,14 +29,20 @@ def store_batches(
 ) -> StreamingQuery:
     """Process what is new and stop. A later run continues where this one ended.
 
-    Every micro-batch overwrites its own folder, fragments first and then the keys it finished. A batch that
-    is repeated after a failure replaces its own output, so nothing is stored twice.
+    The checkpoint keeps a file from being read twice, the ledger of earlier batches a key that lands again
+    in another file. Every micro-batch overwrites its own folder, fragments first and then the keys it
+    finished. A batch that is repeated after a failure replaces its own output, so nothing is stored twice.
     """
 
     def store_batch(batch: DataFrame, number: int) -> None:
-        kept = to_fragments(batch).filter(worth_caching(F.col("text")))
+        new = batch
+        if path_exists(batch.sparkSession, ledger):
+            finished = batch.sparkSession.read.schema(LEDGER_SCHEMA).parquet(ledger)
+            earlier = finished.filter(F.col("batch") < number).withColumnRenamed("key", "doc_key")
+            new = pending(batch, earlier, ["source", "doc_key"])
+        kept = to_fragments(new).filter(worth_caching(F.col("text")))
         kept.write.mode("overwrite").parquet(f"{store}/batch={number}")
-        done = batch.select("source", F.col("doc_key").alias("key")).distinct()
+        done = new.select("source", F.col("doc_key").alias("key")).distinct()
         done.write.mode("overwrite").parquet(f"{ledger}/batch={number}")
 
     return (
