@@ -121,7 +121,7 @@ def a9(spark, sf):
     return spark.read.parquet(path).agg(F.count("*").alias("n"))
 
 
-BEST_SQL = """SELECT epoch, avg(value) / 10 + max(value) / 1000 AS val_loss FROM (
+BEST_SQL = """SELECT epoch, avg(value) / 10 + sqrt(max(value)) / 100 AS val_loss FROM (
     SELECT CAST(day(ts) AS INTEGER) AS epoch, value FROM events) GROUP BY epoch"""
 
 

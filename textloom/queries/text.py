@@ -350,8 +350,8 @@ def h22(spark, sf):
 
 
 HISTORY_SQL = """SELECT CAST(day(ts) AS INTEGER) AS epoch, avg(value) / 10 AS train_loss,
-    avg(value) / 10 + max(value) / 1000 AS val_loss, exp(least(avg(value) / 10 + max(value) / 1000, 20)) AS val_ppl,
-    max(value) / 3 AS duration_s FROM events GROUP BY 1"""
+    avg(value) / 10 + sqrt(max(value)) / 100 AS val_loss, exp(least(avg(value) / 10 + sqrt(max(value)) / 100, 20)) AS val_ppl,
+    sqrt(max(value)) AS duration_s FROM events GROUP BY 1"""
 
 
 @query(
