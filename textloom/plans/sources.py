@@ -12,12 +12,13 @@ from textloom.operators.ranking import take_first
 from textloom.operators.reports import fragments_per_source
 from textloom.operators.select import pending
 from textloom.plans.corpus import mixed_dataset
-from textloom.session import path_exists
+from textloom.session import materialised, path_exists
 from textloom.sources import readers, sinks
 from textloom.sources import reference_values as ref
 
 PAIR_SCHEMA = "id long, translation map<string, string>, text string"
 FRAGMENT_ORDER = ["doc_key", "frag_idx"]
+KEYED = ("wikipedia", "gutenberg", "codigo_github")  # sources whose finished inputs are skipped before reading
 
 NotDone = Callable[[DataFrame, str], DataFrame]
 
@@ -32,26 +33,31 @@ def books(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
 
 def local_code(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
     files = readers.code_tree_files(readers.read_code_tree(spark, path, judge_root=False), root="")
-    return cap_by_unit(readers.code_tree_fragments(files), "doc_key", ref.MAX_LOCAL_FRAGMENTS)
+    found = materialised(readers.code_tree_fragments(files), "local-code")
+    return cap_by_unit(found, "doc_key", ref.MAX_LOCAL_FRAGMENTS)
 
 
 def archives(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
     landed = readers.read_archives(spark, path).withColumn("key", F.concat_ws("/", "owner", "repo"))
     found = readers.archive_fragments(readers.archive_entries(not_done(landed, "key")))
-    by_repo = found.withColumn("_repo", F.substring_index("doc_key", "/", 2))
+    by_repo = materialised(found.withColumn("_repo", F.substring_index("doc_key", "/", 2)), "archives")
     return cap_by_unit(by_repo, "_repo", ref.MAX_ARCHIVE_FRAGMENTS).drop("_repo")
 
 
 def dialogues(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
     pairs = spark.read.schema(PAIR_SCHEMA).json(path)
-    return take_first(readers.dialogue_fragments(pairs, "id"), ref.MAX_DIALOGUE_FRAGMENTS, FRAGMENT_ORDER)
+    found = materialised(readers.dialogue_fragments(pairs, "id"), "dialogues")
+    return take_first(found, ref.MAX_DIALOGUE_FRAGMENTS, FRAGMENT_ORDER)
 
 
 def subtitles(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
     pairs = spark.read.schema(PAIR_SCHEMA).json(path)
-    return take_first(readers.subtitle_fragments(pairs, "id"), ref.MAX_SUBTITLE_FRAGMENTS, FRAGMENT_ORDER)
+    found = materialised(readers.subtitle_fragments(pairs, "id"), "subtitles")
+    return take_first(found, ref.MAX_SUBTITLE_FRAGMENTS, FRAGMENT_ORDER)
 
 
+# A cap is found on the keys and applied to the rows, so the capped sources are stored before it: unpacking
+# and cleaning then run once.
 SOURCES = {
     "wikipedia": articles,
     "gutenberg": books,
@@ -77,7 +83,7 @@ def store_sources(spark: SparkSession, landed: dict[str, str], store: str) -> No
             return pending(keyed, done, ["doc_key"]).drop("doc_key")
 
         found = SOURCES[name](spark, path, not_done)
-        new = found if done is None else pending(found, done, ["doc_key"])
+        new = found if done is None or name in KEYED else pending(found, done, ["doc_key"])
         sinks.append_fragments(new, f"{store}/fragments")
 
 

@@ -19,6 +19,9 @@ def build_session(app: str = "textloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # a batch of whole texts must fit a Python worker
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key.replace("__", "."), value)
