@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.llm.bpe import decode_batches, encode_documents, read_ranks
 from textloom.llm.gam import quality_scores
 from textloom.llm.licenses import scan_licenses
+from textloom.llm.packing import pack_documents
 from textloom.llm.urls import filter_urls
 
 QUERIES, SQL = {}, {}
@@ -30,6 +38,24 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
 
 
+@query("op6_byte_level_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, ids, id_at, data, data_at in decode_batches(batches, ranks):
+            ids, data = memoryview(ids.astype("<u4").tobytes()), memoryview(data.tobytes())
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": rows.column("doc_id"),
+                "n_tokens": np.diff(id_at).astype(np.int64),
+                "ids_sha256": [hashlib.sha256(ids[4 * a : 4 * b]).hexdigest() for a, b in zip(id_at[:-1], id_at[1:], strict=True)],
+                "decoded_sha256": [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(data_at[:-1], data_at[1:], strict=True)],
+            })
+
+    return encoded.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 @query("op7_quality_classifier")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(~held_out()).select("doc_id", "quality")
@@ -46,6 +72,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), "page_id", URL_RULES)
 
 
+def packing_vocabulary() -> str:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return file.read()
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), packing_vocabulary())
+
+
 #: The phrases of the query's contract.
 LICENSE_PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
