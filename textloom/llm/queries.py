@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm.bpe import decode_batches, encode_documents, read_ranks
+from textloom.llm.fingerprints import edit_likeness
 from textloom.llm.gam import quality_scores
 from textloom.llm.licenses import scan_licenses
 from textloom.llm.packing import pack_documents
@@ -38,6 +39,11 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
 
 
+@query("op5_document_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_likeness(table(spark, sf_dir, "documents"))
+
+
 @query("op6_byte_level_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
