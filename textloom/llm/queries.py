@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textloom.llm.bpe import decode_batches, encode_documents, read_ranks
 from textloom.llm.fingerprints import edit_likeness
 from textloom.llm.gam import quality_scores
+from textloom.llm.jaccard import jaccard_components
 from textloom.llm.licenses import scan_licenses
 from textloom.llm.packing import pack_documents
 from textloom.llm.urls import filter_urls
@@ -39,6 +40,35 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+JACCARD_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+    WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id
+FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) c ON s.doc_id = c.a
+"""
+
+
+@query("op1_ngram_jaccard_join", JACCARD_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), 90, 100, words=3, extra=1.0)
+
+
 @query("op5_document_fingerprints")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(table(spark, sf_dir, "documents"))
