@@ -17,6 +17,7 @@ from textloom.llm.gam import quality_scores
 from textloom.llm.jaccard import jaccard_components
 from textloom.llm.licenses import scan_licenses
 from textloom.llm.packing import pack_documents
+from textloom.llm.suffixes import drop_repeated_passages
 from textloom.llm.urls import filter_urls
 
 QUERIES, SQL = {}, {}
@@ -69,6 +70,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), 90, 100, words=3, extra=1.0)
 
 
+@query("op4_suffix_array_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_passages(table(spark, sf_dir, "documents"), 200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op5_document_fingerprints")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_likeness(table(spark, sf_dir, "documents"))
