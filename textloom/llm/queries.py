@@ -16,6 +16,7 @@ from textloom.llm.fingerprints import edit_likeness
 from textloom.llm.gam import quality_scores
 from textloom.llm.jaccard import jaccard_components
 from textloom.llm.licenses import scan_licenses
+from textloom.llm.lm import score_against_target
 from textloom.llm.neighbours import near_duplicates
 from textloom.llm.packing import pack_documents
 from textloom.llm.suffixes import drop_repeated_passages
@@ -71,6 +72,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), 90, 100, words=3, extra=1.0)
 
 
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_against_target(table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations"))
+
+
 @query("op3_embedding_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
