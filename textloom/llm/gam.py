@@ -233,6 +233,16 @@ def score_quality(features: DataFrame, model: AdditiveModel, key: str = "doc_id"
     return features.mapInArrow(run, schema)
 
 
+def keep_quality(docs: DataFrame, model: AdditiveModel, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, whose whole text scores at least `threshold`; map-only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in chunks(batches, text):
+            yield rows.filter(pa.array(model.score(text_features(data, offsets)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_scores(
     docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS
 ) -> DataFrame:

@@ -47,12 +47,12 @@ def _shared(n: Column, num: int, den: int, extra: float) -> Column:
 
 
 def _incidence(docs: DataFrame, num: int, den: int, words: int, key: str, text: str, extra: float) -> DataFrame:
-    """Per document: `key`, `n`, `digest` of the set (null if empty) and its first n-grams in hash order.
+    """Per document: `key`, a hash of the text, `n`, `digest` of the set (null if empty) and its first n-grams
+    in hash order.
 
     The prefix has `slack + shared` n-grams. Two sets with an overlap of at least `n - slack` each have their
     first `shared` common n-grams, for the smaller `shared` of the two, within both prefixes.
     """
-    key_type = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list = []
@@ -61,7 +61,7 @@ def _incidence(docs: DataFrame, num: int, den: int, words: int, key: str, text:
             n = len(ordered)
             slack = n * (den - num) // den
             prefix = ordered[: slack + int(slack * extra) + 1]
-            out.append((rows.column(key)[i].as_py(), n, digest if n else None, prefix))
+            out.append((rows.column(key)[i].as_py(), rows.column("row_hash")[i].as_py(), n, digest if n else None, prefix))
             size += len(prefix)
             if size > 1 << 18:
                 yield batch(out)
@@ -70,12 +70,13 @@ def _incidence(docs: DataFrame, num: int, den: int, words: int, key: str, text:
             yield batch(out)
 
     def batch(out: list) -> pa.RecordBatch:
-        bounds = np.concatenate([[0], np.cumsum([len(r[3]) for r in out])])
-        prefixes = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([r[3] for r in out]).view(np.int64)))
-        keys, ns, digests = (pa.array([r[j] for r in out], pa.int64()) for j in range(3))
-        return pa.RecordBatch.from_arrays([keys, ns, digests, prefixes], names=[key, "n", "digest", "prefix"])
+        bounds = np.concatenate([[0], np.cumsum([len(r[4]) for r in out])])
+        prefixes = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate([r[4] for r in out]).view(np.int64)))
+        columns = [pa.array([r[j] for r in out], pa.int64()) for j in range(4)]
+        return pa.RecordBatch.from_arrays([*columns, prefixes], names=[key, "row_hash", "n", "digest", "prefix"])
 
-    return docs.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, f"{key} long, n long, digest long, prefix array<long>")
+    keyed = docs.select(F.col(key).cast("long").alias(key), F.xxhash64(text).alias("row_hash"), text)
+    return keyed.mapInArrow(run, f"{key} long, row_hash long, n long, digest long, prefix array<long>")
 
 
 def _candidates(documents: DataFrame, num: int, den: int, extra: float) -> DataFrame:
@@ -184,7 +185,7 @@ def _between(kept: DataFrame, blocks: DataFrame, sets: DataFrame, num: int, den:
 def jaccard_components(
     docs: DataFrame, num: int = 80, den: int = 100, words: int = 5, key: str = "doc_id", text: str = "text", extra: float = 0.5
 ) -> DataFrame:
-    """`key`, `n_shingles` and `component_id` of every document.
+    """`key`, `n_shingles`, `component_id` and `row_hash` (Spark's 64-bit hash of the text) of every document.
 
     A document's set are its distinct n-grams of `words` lower-cased words of the whole text; with fewer words
     the whole sequence is the only one, without words the set is empty. Documents link if
@@ -214,5 +215,17 @@ def jaccard_components(
     placed = known.select(key, "digest").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     least = placed.groupBy("root").agg(F.min(key).alias("component_id"))
     by_digest = placed.select("digest", "root").distinct().join(least, "root").select("digest", "component_id")
-    out = documents.select(key, F.col("n").alias("n_shingles"), "digest").join(by_digest, "digest", "left")
-    return out.select(key, "n_shingles", F.when(F.col(key).isNotNull(), F.coalesce("component_id", key)).alias("component_id"))
+    out = documents.select(key, "row_hash", F.col("n").alias("n_shingles"), "digest").join(by_digest, "digest", "left")
+    return out.select(key, "n_shingles", F.when(F.col(key).isNotNull(), F.coalesce("component_id", key)).alias("component_id"), "row_hash")
+
+
+def one_of_each(docs: DataFrame, num: int = 80, den: int = 100, words: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, of which only the one with the smallest key of each component stays.
+
+    Rows with the same key and text are one. Rows with a null key, and documents without words, stay.
+    """
+    found = jaccard_components(docs, num, den, words, key, text)
+    gone = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias("_key"), F.col("row_hash").alias("_hash"))
+    hashed = docs.withColumn("_text_hash", F.xxhash64(text))
+    left = hashed.join(gone.hint("merge"), (F.col(key).cast("long") == F.col("_key")) & (F.col("_text_hash") == F.col("_hash")), "left_anti")
+    return left.dropDuplicates([key, "_text_hash"]).select(*docs.columns)

@@ -69,7 +69,8 @@ FROM sets s JOIN (SELECT a, min(b) AS component_id FROM reached GROUP BY a) c ON
 
 @query("op1_ngram_jaccard_join", JACCARD_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"), 90, 100, words=3, extra=1.0)
+    found = jaccard_components(table(spark, sf_dir, "documents"), 90, 100, words=3, extra=1.0)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op2_lm_scoring")

@@ -271,45 +271,79 @@ def repeated_intervals(docs: DataFrame, length: int, text: str, steps: Steps) ->
     return covered.unionByName(found.filter("passage IS NULL").select("row_id", "row_hash", "low", "high")).unionByName(late)
 
 
-def _keep(batches: Iterator[pa.RecordBatch], key: str, text: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for value, found in zip(batch.column(text), batch.column("runs"), strict=True):
-            raw, runs = (value.as_py() or "").encode(), []
-            for low, high in sorted((r["low"], r["high"]) for r in found.as_py() or []):
-                if runs and low <= runs[-1][1]:
-                    runs[-1][1] = max(runs[-1][1], high)
-                else:
-                    runs.append([low, high])
-            ends = [0, *(b for run in runs for b in run), len(raw)]
-            out.append((len(raw), sum(b - a for a, b in runs), len(runs), b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))))
-        columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(key), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
-            names=[key, "n_bytes", "n_removed", "n_spans", "kept"],
-        )
+def _merged(found: list[dict] | None) -> list[list[int]]:
+    """Maximal runs of a document's intervals, in order."""
+    runs: list[list[int]] = []
+    for low, high in sorted((r["low"], r["high"]) for r in found or []):
+        if runs and low <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], high)
+        else:
+            runs.append([low, high])
+    return runs
+
+
+def _without(raw: bytes, runs: list[list[int]]) -> bytes:
+    ends = [0, *(b for run in runs for b in run), len(raw)]
+    return b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
+
+
+def _with_runs(docs: DataFrame, length: int, key: str, text: str) -> DataFrame:
+    """The rows of `docs` with `_runs`, the intervals to remove (null: none). `key` is a whole number."""
+    steps = Steps(docs.sparkSession, "passages")
+    number = F.col(key).cast("long")
+    row_id, row_hash = F.coalesce(number, F.lit(0)), F.xxhash64(number.isNull(), F.coalesce(text, F.lit("")))
+    rows = docs.select(row_id.alias("row_id"), row_hash.alias("row_hash"), F.col(text))
+    runs = repeated_intervals(rows, length, text, steps).distinct()
+    runs = runs.groupBy(F.col("row_id").alias("_row_id"), F.col("row_hash").alias("_row_hash"))
+    runs = steps.store(runs.agg(F.collect_list(F.struct("low", "high")).alias("_runs")), "runs")
+    steps.drop("covered", "found", "suffixes")
+    same = (row_id == F.col("_row_id")) & (row_hash == F.col("_row_hash"))
+    return docs.join(runs.hint("merge"), same, "left").drop("_row_id", "_row_hash")
 
 
 def drop_repeated_passages(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`key`, `n_bytes`, `n_removed`, `n_spans` and the `kept` bytes of every document.
 
-    Removes each byte of the UTF-8 text that lies in a string of `length` bytes (64 at least) which also starts anywhere
-    else, in another or the same document; overlaps count, and matches never cross documents. `n_spans`
-    counts maximal removed runs. `kept` may begin or end inside a character. Strings are compared by 64-bit
-    hashes within groups of equal 32-byte strings.
+    Removes each byte of the UTF-8 text that lies in a string of `length` bytes (64 at least) which also starts
+    anywhere else, in another or the same document; overlaps count, and matches never cross documents.
+    `n_spans` counts maximal removed runs. `kept` may begin or end inside a character. Strings are compared by
+    64-bit hashes within groups of equal 32-byte strings.
 
     A null text counts as empty; shorter texts are kept whole. Repeated rows and null keys stay: repeated rows
     are documents of their own. Other columns are not read. `key` is a whole number.
     """
-    steps = Steps(docs.sparkSession, "passages")
-    number = F.col(key).cast("long")
-    row_id, row_hash = F.coalesce(number, F.lit(0)).alias("row_id"), F.xxhash64(number.isNull(), F.coalesce(text, F.lit(""))).alias("row_hash")
-    rows = docs.select(row_id, row_hash, F.col(text))
-    runs = repeated_intervals(rows, length, text, steps).distinct()
-    runs = steps.store(runs.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("low", "high")).alias("runs")), "runs")
-    steps.drop("covered", "found", "suffixes")
-    whole = docs.select(F.col(key), F.col(text), row_id, row_hash).join(runs.hint("merge"), ["row_id", "row_hash"], "left")
-    key_type = docs.schema[key].dataType.simpleString()
-    return whole.select(key, text, "runs").mapInArrow(
-        lambda b: _keep(b, key, text), f"{key} {key_type}, n_bytes long, n_removed long, n_spans long, kept binary"
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for value, found in zip(batch.column(text), batch.column("_runs"), strict=True):
+                raw, runs = (value.as_py() or "").encode(), _merged(found.as_py())
+                out.append((len(raw), sum(b - a for a, b in runs), len(runs), _without(raw, runs)))
+            columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
+                names=[key, "n_bytes", "n_removed", "n_spans", "kept"],
+            )
+
+    rows = _with_runs(docs.select(key, text), length, key, text)
+    schema = f"{key} {docs.schema[key].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary"
+    return rows.mapInArrow(run, schema)
+
+
+def without_repeated_passages(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, with the passages of `drop_repeated_passages` cut out of the text.
+
+    Bytes of a character that was cut in two go as well. A null text stays null.
+    """
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            out = []
+            for value, found in zip(batch.column(text), batch.column("_runs"), strict=True):
+                value, runs = value.as_py(), _merged(found.as_py())
+                out.append(_without(value.encode(), runs).decode(errors="ignore") if runs else value)
+            yield batch.set_column(at, text, pa.array(out, pa.string())).select(columns)
+
+    return _with_runs(docs, length, key, text).mapInArrow(run, docs.schema)
