@@ -156,12 +156,12 @@ def edit_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", word
     )
     names = [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
-    def work(keys: list, texts: list[str], following: list[str], low: np.ndarray, next_low: np.ndarray) -> pa.RecordBatch:
+    def work(kind: pa.DataType, keys: list, texts: list[str], following: list[str], low: np.ndarray, next_low: np.ndarray) -> pa.RecordBatch:
         changed = [edited(a, b) for a, b in zip(texts, following, strict=True)]
         changed_low = fingerprints(*utf8(pa.array(changed, pa.string())), words, bins, bits)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(keys, pa.int64()),
+                pa.array(keys, kind),
                 pa.array([len(t) for t in texts], pa.int64()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed]),
                 pa.array(packed(low, bits), pa.string()),
@@ -183,7 +183,7 @@ def edit_likeness(docs: DataFrame, key: str = "doc_id", text: str = "text", word
             own = [i for i in range(len(keys) - 1) if not guest[i]]
             if own:
                 after = [i + 1 for i in own]
-                yield work([keys[i] for i in own], [texts[i] for i in own], [texts[i] for i in after], low[own], low[after])
+                yield work(rows.column(key).type, [keys[i] for i in own], [texts[i] for i in own], [texts[i] for i in after], low[own], low[after])
             held = low[-1:], keys[-1], texts[-1], guest[-1]
 
     return with_next(docs, key, text).mapInArrow(run, schema)

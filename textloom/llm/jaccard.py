@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.arrays import chunks, groups, mix, shingle_hashes
 from textloom.llm.components import components
+from textloom.llm.scratch import free_name
 from textloom.session import materialised
 
 #: Rows and n-grams of one tile of the product.
@@ -103,8 +104,8 @@ def _candidates(documents: DataFrame, num: int, den: int, extra: float) -> DataF
 
 def _blocks(kept: DataFrame) -> DataFrame:
     """`digest` and `block`: each set joins the richest set that it meets in one of its columns."""
-    richest = kept.groupBy("h").agg(F.max(F.struct("g", "digest")).alias("top"), F.min("digest").alias("least"))
-    richest = richest.filter(F.col("top.digest") != F.col("least")).select("h", "top")  # of two sets or more
+    richest = kept.groupBy("h").agg(F.max(F.struct("g", "digest")).alias("top"), F.min("digest").alias("x"), F.max("digest").alias("y"))
+    richest = richest.filter("x <> y").select("h", "top")  # of two sets or more
     return kept.join(richest, "h").groupBy("digest").agg(F.max("top")["digest"].alias("block"))
 
 
@@ -225,7 +226,8 @@ def one_of_each(docs: DataFrame, num: int = 80, den: int = 100, words: int = 5,
     Rows with the same key and text are one. Rows with a null key, and documents without words, stay.
     """
     found = jaccard_components(docs, num, den, words, key, text)
-    gone = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias("_key"), F.col("row_hash").alias("_hash"))
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text))
-    left = hashed.join(gone.hint("merge"), (F.col(key).cast("long") == F.col("_key")) & (F.col("_text_hash") == F.col("_hash")), "left_anti")
-    return left.dropDuplicates([key, "_text_hash"]).select(*docs.columns)
+    mark, other, hashed = (free_name(docs, name) for name in ("_text_hash", "_other_key", "_other_hash"))
+    gone = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias(other), F.col("row_hash").alias(hashed))
+    marked = docs.withColumn(mark, F.xxhash64(text))
+    left = marked.join(gone.hint("merge"), (F.col(key).cast("long") == F.col(other)) & (F.col(mark) == F.col(hashed)), "left_anti")
+    return left.dropDuplicates([key, mark]).select(*docs.columns)

@@ -33,8 +33,10 @@ _ONE = np.uint64(1)
 
 def _pack(values: np.ndarray) -> bytes:
     """Numbers by byte position, which compresses well where the upper bytes are alike."""
+    if not len(values):
+        return b""
     planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpack(packed: bytes, n: int, kind: type) -> np.ndarray:

@@ -10,6 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from textloom.session import shared_folder
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores behind it until no column of `df` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Steps:
     """Tables of an operator's run, each written once; a step that nothing reads any more is dropped."""
 
