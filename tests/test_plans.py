@@ -43,3 +43,24 @@ def test_all_sources(spark, tmp_path):
     quotas = {"wikipedia": 1, "dialogos_naturales": 2}
     build_corpus(spark, landed, store, output, quotas)
     assert read_jsonl(spark, output).count() == 3
+
+
+def test_inputs_without_fragments_are_read_once(spark, tmp_path):
+    landed = {"wikipedia": landed_files(tmp_path / "landed")["wikipedia"]}
+    folder = tmp_path / "landed" / "wikipedia"
+    (folder / "short.json").write_text(json.dumps({"query": {"pages": {"7": {"extract": "corto"}}}}))
+    store, output = str(tmp_path / "store"), str(tmp_path / "dataset")
+    first, second = (build_corpus(spark, landed, store, output).filter("source IS NOT NULL").first() for _ in range(2))
+    assert (first.succeeded, first.failed) == (3, 1)
+    assert (second.succeeded, second.failed, second.fragments) == (0, 0, 3)
+
+
+def test_caps_hold_over_runs(spark, tmp_path):
+    landed = landed_files(tmp_path / "landed")
+    store, output = str(tmp_path / "store"), str(tmp_path / "dataset")
+    caps = {"codigo_github": 1, "dialogos_naturales": 2, "codigo_local": 0}
+    for _ in range(2):
+        report = {r.source: r for r in build_corpus(spark, landed, store, output, caps=caps).collect()}
+        assert report["codigo_github"].fragments == 1 and report["dialogos_naturales"].fragments == 2
+        assert "codigo_local" not in report and report["wikipedia"].fragments == 3
+    assert spark.read.parquet(f"{output}-keyed").count() == report[None].fragments

@@ -32,8 +32,7 @@ def test_ordered_rank_and_running_sum(rows):
 def test_prefixes(rows):
     ordered = sorted((r.g, r.k) for r in rows.collect())
     for n in (0, 1, 777, 5000, 6000):
-        if n:
-            assert sorted((r.g, r.k) for r in ranking.take_first(rows, n, ["g", "k"]).collect()) == ordered[:n]
+        assert sorted((r.g, r.k) for r in ranking.take_first(rows, n, ["g", "k"]).collect()) == ordered[:n]
         assert sorted((r.g, r.k) for r in ranking.skip_first(rows, n, ["g", "k"]).collect()) == ordered[n:]
 
 
@@ -104,3 +103,28 @@ def test_top_k_keeps_ties(rows):
 def test_join_uneven(rows, share):
     counts = rows.groupBy("g").agg(F.count("*").alias("n"), F.max("v").alias("top"))
     same(join_uneven(rows, counts, ["g"], "n", share).select("k", "n", "top"), rows.join(counts, "g").select("k", "n", "top"))
+
+
+def test_quota_and_cap_of_zero(rows):
+    assert mix.take_quota(rows, {"hot": 0, "g1": 2, "g2": 10**9}, ["k"], "g").groupBy("g").count().filter("g = 'hot'").count() == 0
+    assert mix.take_quota(rows, {}, ["k"], "g").count() == 0
+    assert mix.cap_by_unit(rows, "g", 0).count() == 0
+
+
+def test_rows_without_a_unit_or_a_key(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("b", 4)], "g string, k long")
+    assert sorted(r.k for r in mix.cap_by_unit(rows, "g", 3).collect()) == [1, 2, 3]
+    counts = rows.groupBy("g").agg(F.count("*").alias("uses"))
+    assert sorted(r.k for r in join_uneven(rows, counts, ["g"], "uses", 0.4).collect()) == [1, 2, 3, 4]
+
+
+def test_top_k_of_one_large_group(spark):
+    """Nearly all rows in one group, all scores different, and a group without a name."""
+    rng = random.Random(2)
+    data = [("hot", i, rng.random()) for i in range(4000)] + [(None, 9000 + i, float(i)) for i in range(5)] + [("t", 1, 1.0), ("t", 2, 1.0), ("t", 3, 0.5)]
+    df = spark.createDataFrame(data, "g string, k long, s double")
+    kept = top_k_with_ties(df, ["g"], "s", 3).collect()
+    want = sorted((k for g, k, s in sorted((r for r in data if r[0] == "hot"), key=lambda r: -r[2])[:3]))
+    assert sorted(r.k for r in kept if r.g == "hot") == want
+    assert sorted(r.k for r in kept if r.g is None) == [9002, 9003, 9004]
+    assert sorted(r.k for r in kept if r.g == "t") == [1, 2, 3]

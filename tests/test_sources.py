@@ -97,14 +97,60 @@ def test_archives(spark, tmp_path):
                  "r/e.js": "x" * 200_001, "r/f.js": "tiny", "r/g.rs": b"\xff" + long.encode()})
     )
     (tmp_path / "me__bad.zip").write_bytes(b"not a zip")
-    entries = readers.archive_entries(readers.read_archives(spark, str(tmp_path)))
+    entries = readers.archive_entries(readers.read_archives(spark, str(tmp_path)), ref.FILES_PER_REPO)
     found = entries.groupBy("repo").count().collect()
     assert {r["repo"]: r["count"] for r in found} == {"many": ref.FILES_PER_REPO, "few": 3}
+    every = readers.archive_entries(readers.read_archives(spark, str(tmp_path)))
+    assert every.filter("repo = 'many'").count() == 80
     rows = readers.archive_fragments(entries.filter("repo = 'few'")).collect()
     assert {r.doc_key for r in rows} == {"me/few/r/a.PY", "me/few/r/g.rs"}
     assert all(r.text.startswith("# Repo: me/few | Archivo: ") for r in rows)
 
 
+def test_damaged_entries_and_names(spark, tmp_path):
+    """Only the damaged entries are lost; a repository's name may hold the separator."""
+    long = "some code line\n" * 20
+    good = {f"r/f{i}.py": long + str(i) for i in range(9)}
+    for kind in ("checksum", "stream"):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED if kind == "checksum" else zipfile.ZIP_DEFLATED) as z:
+            z.writestr("r/bad.py", "UNIQUE-MARK " * 30)
+            for name, content in good.items():
+                z.writestr(name, content)
+        raw = bytearray(buffer.getvalue())
+        at = raw.find(b"r/bad.py") + len("r/bad.py")
+        raw[at + 2 : at + 8] = b"\xff" * 6
+        (tmp_path / f"me__my__{kind}.zip").write_bytes(bytes(raw))
+    entries = readers.archive_entries(readers.read_archives(spark, str(tmp_path))).collect()
+    assert {(r.owner, r.repo) for r in entries} == {("me", "my__checksum"), ("me", "my__stream")}
+    assert sorted(r.path for r in entries if r.repo == "my__stream") == sorted(good)
+    assert sorted(r.path for r in entries if r.repo == "my__checksum") == sorted(good)
+
+
+def test_branches(spark, tmp_path):
+    long = "some code line\n" * 20
+    for name, content in (("a@master", long), ("a@main", b"damaged"), ("b@main", long), ("b@master", long), ("c@dev", long), ("d", long), ("d@main", long)):
+        raw = content if isinstance(content, bytes) else archive({f"r/{name}.py": content})
+        (tmp_path / f"me__{name}.zip").write_bytes(raw)
+    found = {(r.repo, r.path) for r in readers.archive_entries(readers.read_archives(spark, str(tmp_path))).collect()}
+    assert found == {("a", "r/a@master.py"), ("b", "r/b@main.py"), ("d", "r/d.py")}
+
+
+def test_line_ends_of_a_code_tree(spark, tmp_path):
+    lines = [f"line {i} of the file" for i in range(40)]
+    for name, end in (("lf", "\n"), ("crlf", "\r\n"), ("cr", "\r")):
+        (tmp_path / f"{name}.py").write_bytes(end.join(lines).encode())
+    files = readers.code_tree_files(readers.read_code_tree(spark, str(tmp_path), judge_root=False), root="")
+    assert {r.path: r.content for r in files.collect()} == {f"{n}.py": "\n".join(lines) for n in ("lf", "crlf", "cr")}
+
+
+def test_failed_replacement_keeps_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    sinks.replace_table(spark.range(3).toDF("id"), path)
+    sinks.replace_table(spark.read.schema("id long").json(path).filter("id < 2"), path)
+    assert spark.read.json(path).count() == 2
+
+
 def test_catalogue_and_ledger(spark, tmp_path):
     titles = [{"ordinal": i, "title": f"T{i}"} for i in range(5)]
     (tmp_path / "titles.json").write_text("\n".join(map(json.dumps, titles)))

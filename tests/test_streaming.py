@@ -33,3 +33,20 @@ def test_restarts(spark, tmp_path):
     land(landing, "c.json", ["k4"])
     assert run() == ["k1", "k2", "k3", "k4"]
     assert spark.read.parquet(ledger).select("batch").distinct().count() == 3
+
+
+def test_files_per_batch_do_not_matter(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "a.json", ["k1", "k2"])
+    (landing / "b.json").write_text((landing / "a.json").read_text().replace("text of", "later text of"))
+    got = []
+    for files in (1, 10):
+        store = str(tmp_path / f"store{files}")
+
+        def cut(batch):
+            return fragments(batch, F.col("source"), F.col("doc_key"), F.array("text"))
+
+        stream = landed_stream(spark, str(landing), files_per_batch=files)
+        store_batches(stream, cut, store, f"{store}-ledger", f"{store}-progress").awaitTermination()
+        got.append(sorted((r.doc_key, r.text) for r in spark.read.parquet(store).collect()))
+    assert got[0] == got[1] and [k for k, _ in got[0]] == ["k1", "k2"] and "later" not in got[0][0][1]

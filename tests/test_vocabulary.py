@@ -94,3 +94,32 @@ def test_training_rows(trained):
     assert {len(b) for b in per_batch.values()} == {3}
     train = {r.doc_id for r in rows if r.split == "train"}
     assert not train & {r.doc_id for r in rows if r.split == "val"}
+
+
+def test_long_words(spark):
+    import random
+    import time
+
+
+    rng = random.Random(4)
+    text = "".join(rng.choices("abcd", k=400))
+    counts = spark.createDataFrame([(text, 1), ("abab", 20), ("cdcd", 30)], "word string, freq long")
+    vocabulary, merges = V.train_vocabulary(counts, 200, 1)
+    encoder = V.WordEncoder({r.token: r.id for r in vocabulary.collect()}, [tuple(r) for r in merges.collect()])
+
+    def plain(word):
+        ids = [encoder.ids.get(encoder.standins[b], 1) for b in word.encode()]
+        while True:
+            found = [(encoder.merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in encoder.merges]
+            if not found:
+                return ids
+            _, at = min(found)
+            ids[at : at + 2] = [encoder.merges[ids[at], ids[at + 1]][1]]
+
+    for n in (0, 1, 2, 3, 50, 400):
+        word = "".join(rng.choices("abcd", k=n))
+        assert encoder.word(word) == plain(word)
+    assert encoder.word("aaaaaaa") == plain("aaaaaaa")
+    started = time.perf_counter()
+    encoder.word("".join(rng.choices("abcd", k=50_000)))
+    assert time.perf_counter() - started < 1.5

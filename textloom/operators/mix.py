@@ -46,11 +46,14 @@ def take_quota(
     order: list[str],
     source: str = "source",
 ) -> DataFrame:
-    """The first `quotas[s]` rows of each source `s`; sources without a quota are left out.
+    """The first `quotas[s]` rows of each source `s`; sources without a quota, or with one of 0, are left out.
 
     Only the key columns are ranked. What comes back from that is one row per source, the key of its last
     row within the quota; the fragments themselves are filtered against it without a shuffle.
     """
+    quotas = {name: quota for name, quota in quotas.items() if quota > 0}
+    if not quotas:
+        return fragments.filter(F.lit(False))
     wanted = fragments.filter(F.col(source).isin(list(quotas)))
     ranked = ordered_rank(wanted.select(source, *order), [source], order)
     at_quota = F.lit(False)
@@ -84,12 +87,15 @@ def sample_per_group(
 def cap_by_unit(fragments: DataFrame, unit: str, cap: int) -> DataFrame:
     """Whole units in order until their running total has reached `cap`; the last one may overshoot it.
 
-    Units are counted first, ranked by name, and the last admitted name filters the fragments in place.
+    Units are counted first, ranked by name, and the last admitted name filters the fragments in place. Rows
+    without a unit are the first one.
     """
+    if cap <= 0:
+        return fragments.filter(F.lit(False))
     units = fragments.groupBy(unit).agg(F.count("*").alias("_n"))
     running = ordered_running(units, [], [unit], "_n", "_total")
     last = running.filter(F.col("_total") - F.col("_n") < cap).agg(F.max(unit)).scalar()
-    return fragments.filter(F.col(unit) <= last)
+    return fragments.filter(F.col(unit).isNull() | (F.col(unit) <= last))
 
 
 def seeded_shuffle(df: DataFrame, key: list[str], seed: int = SEED) -> DataFrame:

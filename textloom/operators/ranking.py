@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.session import broadcast_if_small, materialised
+from textloom.session import materialised
 
 HASH_DIGITS = 4  # 65,536 buckets: a fixed, small table of counts
 
@@ -116,7 +116,7 @@ def ordered_rank(df: DataFrame, group: list[str], order: list[str], rank: str =
     """
     placed = _placed(df, group, order)
     parts = placed.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
-    offsets = broadcast_if_small(_part_offsets(parts, group, ["_n"]))
+    offsets = _part_offsets(parts, group, ["_n"])
     return (
         placed.alias("p")
         .join(offsets.alias("o"), _same_group("p", "o", group))
@@ -133,7 +133,7 @@ def ordered_running(
     parts = placed.groupBy(*group, "_part").agg(
         F.count("*").alias("_n"), F.min("_at").alias("_first"), F.sum(value).alias("_s")
     )
-    offsets = broadcast_if_small(_part_offsets(parts, group, ["_n", "_s"]))
+    offsets = _part_offsets(parts, group, ["_n", "_s"])
     # a window per group *and* partition: no larger than one partition, whatever the size of the group
     inside = W.partitionBy("_part", *group).orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
     summed = placed.withColumn("_inside", F.sum(value).over(inside))
@@ -160,7 +160,10 @@ def _key_at_rank(df: DataFrame, order: list[str], rank: int) -> Column:
 
 
 def take_first(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """The first `n` rows in the natural order. Only the keys are sorted; the rows are filtered in place."""
+    """The first `n` rows in the natural order, none if `n` is 0. Only the keys are sorted; the rows are filtered
+    in place."""
+    if n <= 0:
+        return df.filter(F.lit(False))
     last = _key_at_rank(df, order, n)
     return df.filter(last.isNull() | (_key(order) <= last))
 

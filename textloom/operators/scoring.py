@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,8 +41,16 @@ def join_uneven(rows: DataFrame, counts: DataFrame, keys: list[str], uses: str,
     limit = total * share
     hot = F.broadcast(counts.filter(F.col(uses) >= limit))
     cold = counts.filter(F.col(uses) < limit).hint("merge")
-    rest = rows.join(hot.select(*keys), keys, "left_anti")
-    return rows.join(hot, keys).unionByName(rest.join(cold, keys))
+
+
+    def meet(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        """Join on equal keys, where two nulls are equal; the keys of `left` stay."""
+        named = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+        same = reduce(and_, [left[k].eqNullSafe(named[f"_key_{k}"]) for k in keys])
+        return left.join(named, same, how).drop(*[f"_key_{k}" for k in keys])
+
+    rest = meet(rows, hot.select(*keys), "left_anti")
+    return meet(rows, hot, "inner").unionByName(meet(rest, cold, "inner"))
 
 
 def bigram_scores(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -72,20 +83,20 @@ def bigram_scores(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
 def _score_cutoffs(df: DataFrame, group: list[str], score: str, k: int) -> DataFrame:
     """Per group the lowest score kept, the highest, the softmax denominator and the number of rows.
 
-    Rows with equal scores are counted first, so a group arrives here as its distinct scores.
+    Rows with equal scores are counted first. Of the distinct scores only the best `k` can be kept; that limit
+    on a row number is applied before the shuffle, so a task sends at most `k` rows of a group.
     """
     equal = df.groupBy(*group, score).agg(F.count("*").alias("_c"))
-    better = W.partitionBy(*group).orderBy(F.col(score).desc()).rowsBetween(W.unboundedPreceding, -1)
-    marked = equal.withColumn("_kept", F.coalesce(F.sum("_c").over(better), F.lit(0)) < k).withColumn(
-        "_top", F.max(score).over(W.partitionBy(*group))
-    )
-    mass = F.when(F.col("_kept"), F.col("_c") * F.exp(F.col(score) - F.col("_top")))
-    return marked.groupBy(*group).agg(
-        F.min(F.when(F.col("_kept"), F.col(score))).alias("_cutoff"),
-        F.max("_top").alias("_top"),
-        F.sum(mass).alias("_mass"),
-        F.sum("_c").alias("_rows"),
+    ordered = W.partitionBy(*group).orderBy(F.col(score).desc())
+    best = equal.withColumn("_at", F.row_number().over(ordered)).filter(F.col("_at") <= k)
+    before = F.coalesce(F.sum("_c").over(ordered.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    kept = best.withColumn("_before", before).withColumn("_top", F.max(score).over(W.partitionBy(*group))).filter(F.col("_before") < k)
+    cutoffs = kept.groupBy(*group).agg(
+        F.min(score).alias("_cutoff"), F.max("_top").alias("_top"), F.sum(F.col("_c") * F.exp(F.col(score) - F.col("_top"))).alias("_mass")
     )
+    sizes = df.groupBy(*[F.col(g).alias(f"_of_{g}") for g in group]).agg(F.count("*").alias("_rows"))
+    same = reduce(and_, [cutoffs[g].eqNullSafe(sizes[f"_of_{g}"]) for g in group])
+    return cutoffs.join(sizes, same).drop(*[f"_of_{g}" for g in group])
 
 
 def top_k_with_ties(df: DataFrame, group: list[str], score: str, k: int) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from textloom.functions.arrays import MIN_TOKENS, SPECIAL_TOKENS, UNK
 from textloom.functions.text import base_name, extension, parent_path, strip, title_words
-from textloom.session import broadcast_if_small
 from textloom.sources import reference_values as ref
 
 
@@ -57,10 +56,10 @@ def wanted_name(path: Column) -> Column:
     return ~_contains_any(base_name(path), ref.SKIPPED_NAMES)
 
 
-def wanted_entry(path: Column, size: Column) -> Column:
+def wanted_entry(path: Column, size: Column, max_bytes: int = ref.MAX_ENTRY_BYTES) -> Column:
     """Archive entries: bounded size, a code extension, and no skipped folder in the path."""
     return (
-        (size <= ref.MAX_ENTRY_BYTES)
+        (size <= max_bytes)
         & code_extension(path)
         & ~_contains_any(F.lower(path), ref.SKIPPED_ENTRIES)
     )
@@ -111,7 +110,7 @@ def first_success(candidates: DataFrame, key: str, rank: str, ok: Column, keep:
 
 def token_ids(tokens: DataFrame, vocabulary: DataFrame, token: str = "token") -> DataFrame:
     """Attach `id` to every token; an unknown token gets the unknown id."""
-    table = broadcast_if_small(vocabulary.select(F.col("token").alias(token), "id"))
+    table = vocabulary.select(F.col("token").alias(token), "id")
     return tokens.join(table, token, "left").withColumn("id", F.coalesce("id", F.lit(UNK)))
 
 

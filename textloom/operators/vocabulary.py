@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from heapq import heappop, heappush
 from operator import or_
 
 import pandas as pd
@@ -258,9 +259,6 @@ def train_vocabulary(
     return vocabulary, spark.createDataFrame(merges, "rank int, left_id int, right_id int, id int")
 
 
-NO_MERGE = (1 << 31, -1)
-
-
 class WordEncoder:
     """Applies a merge table to single words; the size of both tables is bounded by the vocabulary."""
 
@@ -274,13 +272,32 @@ class WordEncoder:
     def word(self, word: str) -> list[int]:
         if word in self.reserved:
             return [self.reserved[word]]
-        ids = [self.ids.get(self.standins[b], UNK) for b in word.encode("utf-8")]
-        while len(ids) > 1:
-            (rank, new), at = min((self.merges.get(p, NO_MERGE), at) for at, p in enumerate(zip(ids, ids[1:])))
-            if rank == NO_MERGE[0]:
-                break
-            ids[at : at + 2] = [new]
-        return ids
+        # a linked list of the symbols and a heap of the pairs that have a rule: n log n for a long word
+        ids: list[int | None] = [self.ids.get(self.standins[b], UNK) for b in word.encode("utf-8")]
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        heap: list[tuple[int, int, int, int, int]] = []
+
+        def offer(at: int) -> None:
+            if at >= 0 and after[at] < len(ids):
+                pair = ids[at], ids[after[at]]
+                if pair in self.merges:
+                    rank, new = self.merges[pair]
+                    heappush(heap, (rank, at, *pair, new))
+
+        for at in range(len(ids) - 1):
+            offer(at)
+        while heap:
+            _, at, left, right, new = heappop(heap)
+            gone = after[at]
+            if ids[at] != left or gone >= len(ids) or ids[gone] != right:
+                continue  # one of the two has been merged since
+            ids[at], ids[gone] = new, None
+            after[at] = after[gone]
+            if after[at] < len(ids):
+                before[after[at]] = at
+            offer(before[at])
+            offer(at)
+        return [i for i in ids if i is not None]
 
 
 def encode(texts: DataFrame, vocabulary: DataFrame, merges: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ from textloom.operators.vocabulary import (
 )
 from textloom.session import materialised
 from textloom.sources.readers import fragments
-from textloom.sources.reference_values import SEED, SOURCE_QUOTAS
+from textloom.sources.reference_values import SEED
+
+log = logging.getLogger(__name__)
 
 FRAGMENT_KEY = ["source", "doc_key", "frag_idx"]
 
@@ -33,10 +37,15 @@ def mixed_dataset(
 ) -> DataFrame:
     """Quota per source, then one seeded shuffle over all sources.
 
-    `stored` should be a table: the quota reads its key columns once more than its text.
+    Without `quotas` every source is taken whole; with them, sources that they do not name are left out, which
+    is logged. `stored` should be a table: the quota reads its key columns once more than its text.
     """
-    chosen = take_quota(stored, quotas or SOURCE_QUOTAS, ["doc_key", "frag_idx"])
-    return seeded_shuffle(chosen, FRAGMENT_KEY, seed)
+    if quotas is None:
+        return seeded_shuffle(stored, FRAGMENT_KEY, seed)
+    unnamed = [r["source"] for r in stored.select("source").distinct().collect() if r["source"] not in quotas]
+    if unnamed:
+        log.warning("no quota for %s, left out", ", ".join(map(str, unnamed)))
+    return seeded_shuffle(take_quota(stored, quotas, ["doc_key", "frag_idx"]), FRAGMENT_KEY, seed)
 
 
 def build_dataset(documents: DataFrame, quotas: dict[str, int] | None = None, seed: int = SEED) -> DataFrame:

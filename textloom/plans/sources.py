@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.mix import cap_by_unit
 from textloom.operators.ranking import take_first
 from textloom.operators.reports import fragments_per_source
-from textloom.operators.select import pending
+from textloom.operators.select import pending, worth_caching
 from textloom.plans.corpus import mixed_dataset
 from textloom.session import materialised, path_exists
 from textloom.sources import readers, sinks
@@ -18,90 +16,142 @@ from textloom.sources import reference_values as ref
 
 PAIR_SCHEMA = "id long, translation map<string, string>, text string"
 FRAGMENT_ORDER = ["doc_key", "frag_idx"]
-KEYED = ("wikipedia", "gutenberg", "codigo_github")  # sources whose finished inputs are skipped before reading
+Done = DataFrame | None
 
-NotDone = Callable[[DataFrame, str], DataFrame]
 
+def _new_paths(spark: SparkSession, path: str, key: Column, done: Done, glob: str = "*") -> tuple[list[str], DataFrame]:
+    """Paths of the landed files whose key is not done, found before any content is read, and their keys.
 
-def articles(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
-    return readers.article_fragments(not_done(readers.read_payloads(spark, path), "path"), "path")
+    Spark keeps the list of a folder's files on the driver as well, so the paths are no more than that.
+    """
+    landed = readers.landed_paths(spark, path, glob).withColumn("key", key.cast("string"))
+    new = landed if done is None else pending(landed, done, ["key"])
+    return [r["path"] for r in new.select("path").collect()], new.select("key").distinct()
 
 
-def books(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
-    return readers.book_fragments(not_done(readers.read_books(spark, path), "book_id"))
+def articles(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return readers.article_fragments(readers.read_payloads(spark, paths), "path")
 
 
-def local_code(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
-    files = readers.code_tree_files(readers.read_code_tree(spark, path, judge_root=False), root="")
-    found = materialised(readers.code_tree_fragments(files), "local-code")
-    return cap_by_unit(found, "doc_key", ref.MAX_LOCAL_FRAGMENTS)
+def books(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return readers.book_fragments(readers.read_books(spark, paths))
 
 
-def archives(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
-    landed = readers.read_archives(spark, path).withColumn("key", F.concat_ws("/", "owner", "repo"))
-    found = readers.archive_fragments(readers.archive_entries(not_done(landed, "key")))
-    by_repo = materialised(found.withColumn("_repo", F.substring_index("doc_key", "/", 2)), "archives")
-    return cap_by_unit(by_repo, "_repo", ref.MAX_ARCHIVE_FRAGMENTS).drop("_repo")
+def archives(spark: SparkSession, paths: list[str], per_repo: int | None = None, max_bytes: int = ref.MAX_ENTRY_BYTES) -> DataFrame:
+    return readers.archive_fragments(readers.archive_entries(readers.read_archives(spark, paths), per_repo, max_bytes))
 
 
-def dialogues(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
-    pairs = spark.read.schema(PAIR_SCHEMA).json(path)
-    found = materialised(readers.dialogue_fragments(pairs, "id"), "dialogues")
-    return take_first(found, ref.MAX_DIALOGUE_FRAGMENTS, FRAGMENT_ORDER)
+def local_code(spark: SparkSession, path: str) -> DataFrame:
+    files = readers.code_tree_files(readers.read_code_tree(spark, path, judge_root=False), root="")
+    return readers.code_tree_fragments(files)
 
 
-def subtitles(spark: SparkSession, path: str, not_done: NotDone) -> DataFrame:
-    pairs = spark.read.schema(PAIR_SCHEMA).json(path)
-    found = materialised(readers.subtitle_fragments(pairs, "id"), "subtitles")
-    return take_first(found, ref.MAX_SUBTITLE_FRAGMENTS, FRAGMENT_ORDER)
+def dialogues(spark: SparkSession, path: str) -> DataFrame:
+    return readers.dialogue_fragments(spark.read.schema(PAIR_SCHEMA).json(path), "id")
 
 
-# A cap is found on the keys and applied to the rows, so the capped sources are stored before it: unpacking
-# and cleaning then run once.
-SOURCES = {
-    "wikipedia": articles,
-    "gutenberg": books,
-    "codigo_local": local_code,
-    "dialogos_naturales": dialogues,
-    "opensubtitles_es": subtitles,
-    "codigo_github": archives,
+def subtitles(spark: SparkSession, path: str) -> DataFrame:
+    return readers.subtitle_fragments(spark.read.schema(PAIR_SCHEMA).json(path), "id")
+
+
+# Sources whose finished inputs are known by a ledger of keys: the key of a file, its name pattern, the reader.
+KEYED = {
+    "wikipedia": (lambda: F.col("path"), "*", articles),
+    "gutenberg": (lambda: F.regexp_extract(F.col("path"), r"([0-9]+)[^/]*$", 1), "*", books),
+    "codigo_github": (lambda: F.concat_ws("/", *readers.archive_name(F.col("path"))[:2]), "*.zip", archives),
 }
+# The others leave out what they have stored already by its key.
+PLAIN = {"codigo_local": local_code, "dialogos_naturales": dialogues, "opensubtitles_es": subtitles}
+SOURCES = ("wikipedia", "gutenberg", "codigo_local", "dialogos_naturales", "opensubtitles_es", "codigo_github")
 
 
-def store_sources(spark: SparkSession, landed: dict[str, str], store: str) -> None:
-    """Append the fragments of every landed source to `store`, leaving out articles, books and archives done before.
+def _capped(found: DataFrame, source: str, cap: int | None, stored: int) -> DataFrame:
+    """What a source's cap leaves room for, after the rows stored before; None is no cap.
 
-    The other sources have no ledger of keys: what they have stored already is left out by its key.
+    A cap is found on the keys and applied to the rows, so the rows are stored before: unpacking and cleaning
+    then run once.
     """
-    for name, path in landed.items():
-        done = _done(spark, store, name)
+    if cap is None:
+        return found
+    found = materialised(found, "uncapped")
+    if source == "codigo_local":
+        return cap_by_unit(found, "doc_key", cap - stored)
+    if source == "codigo_github":
+        return cap_by_unit(found.withColumn("_repo", F.substring_index("doc_key", "/", 2)), "_repo", cap - stored).drop("_repo")
+    return take_first(found, cap - stored, FRAGMENT_ORDER)
 
-        def not_done(rows: DataFrame, key: str, done: DataFrame | None = done) -> DataFrame:
-            if done is None:
-                return rows
-            keyed = rows.withColumn("doc_key", F.col(key).cast("string"))
-            return pending(keyed, done, ["doc_key"]).drop("doc_key")
 
-        found = SOURCES[name](spark, path, not_done)
-        new = found if done is None or name in KEYED else pending(found, done, ["doc_key"])
+def store_sources(
+    spark: SparkSession,
+    landed: dict[str, str],
+    store: str,
+    caps: dict[str, int] | None = None,
+    per_repo: int | None = None,
+    max_entry_bytes: int = ref.MAX_ENTRY_BYTES,
+) -> DataFrame:
+    """Append the new fragments of every landed source to `store`, and the keys of the inputs to its ledger.
+
+    An input in the ledger is not read again, also if it yielded nothing. `caps` bounds the rows of a source
+    over all runs (the fixed values of `reference_values` are not applied unless given). Returns per source the
+    new inputs that yielded fragments worth storing, those that did not, and the rows that its cap left out.
+    """
+    reports = []
+    for source in landed:
+        if source not in SOURCES:
+            raise ValueError(f"unknown source {source}")
+        before = _stored(spark, store, source)
+        cap = (caps or {}).get(source)
+        number = 0 if before is None or cap is None else before.count()
+        if source in KEYED:
+            key, glob, read = KEYED[source]
+            ledger = f"{store}/ledger/{source}"
+            done = spark.read.parquet(ledger) if path_exists(spark, ledger) else None
+            paths, tried = _new_paths(spark, landed[source], key(), done, glob)
+            if not paths:
+                reports.append((source, 0, 0, 0))
+                continue
+            limits = (per_repo, max_entry_bytes) if source == "codigo_github" else ()
+            tried, found = materialised(tried, "tried"), read(spark, paths, *limits)
+        else:
+            tried, found = None, PLAIN[source](spark, landed[source])
+            if before is not None:
+                found = pending(found, before.select("doc_key").distinct(), ["doc_key"])
+        found = materialised(found.filter(worth_caching(F.col("text"))), "found")
+        new = _capped(found, source, cap, number)
         sinks.append_fragments(new, f"{store}/fragments")
+        if tried is not None:
+            sinks.write_ledger(tried if done is None else done.select("key").unionByName(tried), ledger)
+        unit = F.substring_index("doc_key", "/", 2) if source == "codigo_github" else F.col("doc_key")
+        good = found.select(unit.alias("key")).distinct().count()
+        left_out = 0 if cap is None else found.count() - new.count()
+        reports.append((source, good, max((tried.count() if tried is not None else good) - good, 0), left_out))
+    return spark.createDataFrame(reports, "source string, succeeded long, failed long, left_out long")
 
 
-def _done(spark: SparkSession, store: str, source: str) -> DataFrame | None:
-    """Keys with stored fragments; the archives are known by `owner/repo`."""
+def _stored(spark: SparkSession, store: str, source: str) -> Done:
+    """Stored fragments of a source, their keys only."""
     if not path_exists(spark, f"{store}/fragments/source={source}"):
         return None
-    keys = spark.read.parquet(f"{store}/fragments").filter(F.col("source") == source).select("doc_key")
-    if source == "codigo_github":
-        keys = keys.unionByName(keys.select(F.substring_index("doc_key", "/", 2).alias("doc_key")))
-    return keys.distinct()
+    return spark.read.parquet(f"{store}/fragments").filter(F.col("source") == source).select("doc_key")
 
 
 def build_corpus(
-    spark: SparkSession, landed: dict[str, str], store: str, output: str, quotas: dict[str, int] | None = None
+    spark: SparkSession,
+    landed: dict[str, str],
+    store: str,
+    output: str,
+    quotas: dict[str, int] | None = None,
+    caps: dict[str, int] | None = None,
+    per_repo: int | None = None,
 ) -> DataFrame:
-    """Landed files to the mixed dataset at `output`; returns the stored fragments per source and in total."""
-    store_sources(spark, landed, store)
+    """Landed files to the mixed dataset at `output`, with its keys beside it at `<output>-keyed`.
+
+    Returns per source, and in total, the stored fragments with this run's outcome: inputs that succeeded and
+    failed, and rows that a cap left out. Without `quotas` and `caps` everything is kept.
+    """
+    outcome = store_sources(spark, landed, store, caps, per_repo)
     stored = spark.read.parquet(f"{store}/fragments")
-    sinks.write_dataset(mixed_dataset(stored, quotas), output)
-    return fragments_per_source(stored)
+    mixed = mixed_dataset(stored, quotas)
+    sinks.replace_table(mixed, f"{output}-keyed", "parquet")
+    sinks.write_dataset(spark.read.parquet(f"{output}-keyed"), output)
+    return fragments_per_source(stored).join(outcome, "source", "left")

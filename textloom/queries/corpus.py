@@ -37,6 +37,15 @@ def w1(spark, sf):
     return take_quota(table(spark, sf, "documents").select("doc_id", "source"), QUOTAS, ["doc_id"])
 
 
+@query(
+    "w1_quota_zero",
+    f"SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn "
+    f"FROM documents) WHERE rn <= {QUOTA_SQL} AND source <> 'src3'",
+)
+def w1_zero(spark, sf):
+    return take_quota(table(spark, sf, "documents").select("doc_id", "source"), QUOTAS | {"src3": 0}, ["doc_id"])
+
+
 @query("o1_seeded_shuffle", "SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id)) - 1 AS pos FROM documents")
 def o1(spark, sf):
     """The position in the permutation, so that the check sees the order."""

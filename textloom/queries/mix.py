@@ -148,6 +148,25 @@ def w4(spark, sf):
     return take_first(kept, 300, ["lang", "doc_id"])
 
 
+@query("w4_cap_zero", "SELECT doc_id FROM documents WHERE false")
+def w4_zero(spark, sf):
+    return take_first(table(spark, sf, "documents").select("doc_id"), 0, ["doc_id"])
+
+
+@query(
+    "w3_cap_restart",
+    "SELECT conv_id, turn FROM conversations WHERE conv_id IN (SELECT conv_id FROM (SELECT conv_id, "
+    "sum(n) OVER (ORDER BY conv_id) - n AS before FROM (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id)) "
+    "WHERE before < 200)",
+)
+def w3_restart(spark, sf):
+    """A second run with what the first one stored taken off the cap adds nothing."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn")
+    first = materialised(cap_by_unit(turns, "conv_id", 200), "stored")
+    rest = select.pending(turns, first.select("conv_id").distinct(), ["conv_id"])
+    return first.unionByName(cap_by_unit(rest, "conv_id", 200 - first.count()))
+
+
 @query(
     "w5_resume_offset",
     "SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY lang, doc_id) AS rn FROM documents "

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from textloom.functions.packing import pack_paragraphs
@@ -49,6 +47,21 @@ def st1(spark, sf):
     return spark.read.parquet(f"{store}/fragments").drop("batch")
 
 
+@query(
+    "st1_many_files_per_batch",
+    PACKED
+    + f" SELECT d.source, CAST(k AS VARCHAR) AS doc_key, frag_idx, p.text FROM packed p JOIN documents d ON d.doc_id = p.k "
+    f"WHERE length({S.strip('p.text')}) > 50",
+)
+def st1_many(spark, sf):
+    """Every document lands twice, and all files are one batch: the same rows as one file at a time."""
+    landing, store = new_path(spark, "landing"), new_path(spark, "ingest")
+    land(spark, sf, landing)
+    land(spark, sf, landing)
+    ingest(spark, landing, store, files=1000)
+    return spark.read.parquet(f"{store}/fragments").drop("batch")
+
+
 @query("st2_bounded_batches", "SELECT source, CAST(doc_id AS VARCHAR) AS key, 1 AS times FROM documents")
 def st2(spark, sf):
     """Every key is in the ledger of exactly one of several micro-batches."""
@@ -61,8 +74,8 @@ def st2(spark, sf):
 
 @query("st3_running_counts", "SELECT source, count(*) AS landed FROM documents GROUP BY source")
 def st3(spark, sf):
-    landing, name = new_path(spark, "landing"), f"landed_{uuid.uuid4().hex}"
+    landing, counts = new_path(spark, "landing"), new_path(spark, "counts")
     land(spark, sf, landing)
     stream = landed_stream(spark, landing, files_per_batch=2)
-    progress_counts(stream, name, new_path(spark, "progress")).awaitTermination()
-    return spark.table(name).groupBy("source").agg(F.max("count").alias("landed"))
+    progress_counts(stream, counts, new_path(spark, "progress")).awaitTermination()
+    return spark.read.parquet(counts).groupBy("source").agg(F.max("count").alias("landed"))

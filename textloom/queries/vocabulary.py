@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from textloom.operators import select
 from textloom.operators import vocabulary as V
-from textloom.plans.corpus import learn_vocabulary
 from textloom.plans.examples import training_rows
-from textloom.queries import query, wide_table
+from textloom.plans.tuning import question_answer_rows
+from textloom.queries import query, table, wide_table
+from textloom.session import materialised
 
 # RE2 has no look-ahead: the last blank of a run is split off by a mark first.
 _MARKED = "regexp_replace(' ' || {0}, '(\\s)(\\s\\S)', '\\1' || chr(1) || '\\2', 'g')"
@@ -16,7 +17,7 @@ _WORDS = (
     "regexp_extract_all(" + _MARKED + ", "
     "'''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^\\s\\p{{L}}\\p{{N}}\\x01]+|\\s+')"
 )
-WORD_SIZE = 150  # vocabulary size of the registered queries
+RAREST = 400  # the registered queries merge pairs that are at least one in so many of all words
 
 
 @query(
@@ -41,7 +42,11 @@ def a8(spark, sf):
 
 
 def learned(spark, sf):
-    return learn_vocabulary(wide_table(spark, sf, "documents"), size=WORD_SIZE)
+    """Training at the full size; it ends when no pair is frequent enough, the operator's own rule."""
+    docs = wide_table(spark, sf, "documents")
+    counts = materialised(V.pretoken_counts(docs), "word-counts")
+    words = counts.agg(F.sum("freq")).first()[0] or 0
+    return V.train_vocabulary(counts, V.VOCABULARY_SIZE, max(V.MIN_FREQUENCY, words // RAREST))
 
 
 @query("t2_vocabulary")
@@ -75,3 +80,12 @@ def e3(spark, sf):
     docs = wide_table(spark, sf, "documents").select("doc_id", "text")
     rows = training_rows(docs, ["doc_id"], *learned(spark, sf), ranks=4, batch_size=3)
     return rows.select("split", "rank", "batch", "slot", "doc_id", F.md5(F.array_join(F.col("input").cast("array<string>"), ",")).alias("digest"))
+
+
+@query("e3_tuning_rows")
+def e3_tuning(spark, sf):
+    """Questions and answers to tuning rows: closed at their cut, the last validation batch kept."""
+    asked = question_answer_rows(table(spark, sf, "conversations"))
+    rows = training_rows(asked, ["conv_id", "turn"], *learned(spark, sf), ranks=4, batch_size=3, tuning=True)
+    digest = F.md5(F.array_join(F.concat("input", "target").cast("array<string>"), ","))
+    return rows.select("split", "rank", "batch", "slot", "conv_id", "turn", digest.alias("digest"))

@@ -31,14 +31,14 @@ def build_session(app: str = "textloom", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a temporary folder: on a cluster such a folder is not visible to
-    the other machines, so a missing setting is an error there.
+    Only a master that is one local process may fall back to a temporary folder: on a cluster such a folder is
+    not visible to the other machines, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
+            if sc.master != "local" and not sc.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="textloom-")
         sc.setCheckpointDir(folder)
@@ -81,13 +81,3 @@ def spread(scan: DataFrame) -> DataFrame:
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only after checking that `df` has at most `max_rows` rows.
-
-    The check stops reading at `max_rows + 1` rows. A larger table is returned without the hint, and the
-    planner joins it by shuffle.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
 import io
-import os
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,6 +25,7 @@ from textloom.functions.text import (
     trim_banner,
 )
 from textloom.operators import select
+from textloom.operators.mix import sample_per_group
 from textloom.session import path_exists, qualified
 from textloom.sources import reference_values as ref
 
@@ -56,6 +56,12 @@ def fragments(df: DataFrame, source: Column | str, key: Column, pieces: Column)
     )
 
 
+def landed_paths(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Paths of the files below a folder; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    return files.load(path).select("path")
+
+
 # --- encyclopedia payloads -------------------------------------------------------------------------
 
 PAYLOAD_SCHEMA = "query struct<pages: map<string, struct<extract: string>>>"
@@ -68,7 +74,7 @@ def article_text(payload: Column) -> Column:
     return F.when((page["key"] != "-1") & (strip(extract) != ""), extract)
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+def read_payloads(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
         F.input_file_name().alias("path"), F.col("value").alias("payload")
     )
@@ -83,7 +89,7 @@ def article_fragments(payloads: DataFrame, key: str, payload: str = "payload") -
 # --- books -----------------------------------------------------------------------------------------
 
 
-def read_books(spark: SparkSession, path: str) -> DataFrame:
+def read_books(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Whole text files named `<book id>-<rank>.txt`, one row per landed copy of a book."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = base_name(F.col("path"))
@@ -133,8 +139,10 @@ def read_code_tree(spark: SparkSession, root: str, judge_root: bool = True) -> D
     base = qualified(spark, root)
     if not judge_root:
         files = files.withColumn("path", F.substring("path", F.lit(len(base) + 2), F.length("path")))
+    # files are read in text mode: every kind of line end counts as one line feed
+    text = F.regexp_replace(decoded(F.col("content")), "\r\n?", "\n")
     return files.filter(_wanted_path(base if judge_root else "")).select(
-        "path", F.col("length").alias("size"), decoded(F.col("content")).alias("content")
+        "path", F.col("length").alias("size"), text.alias("content")
     )
 
 
@@ -154,57 +162,111 @@ def code_tree_fragments(files: DataFrame) -> DataFrame:
 # --- repository archives ---------------------------------------------------------------------------
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Zip archives named `<owner>__<repo>.zip`."""
+def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Zip archives named `<owner>__<repo>.zip` or, for a certain branch, `<owner>__<repo>@<branch>.zip`.
+
+    Everything behind the first `__` is the repository's name. Without a branch in the name `branch` is NULL.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.zip")
         .load(path)
     )
-    stem = F.regexp_extract(base_name(F.col("path")), r"^(.*)\.zip$", 1)
-    return files.select(
-        F.split(stem, "__")[0].alias("owner"), F.split(stem, "__")[1].alias("repo"), F.col("content").alias("archive")
-    )
+    return files.select(*archive_name(F.col("path")), F.col("content").alias("archive"))
 
 
-def _wanted_entries(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
-    entries = []
-    for entry in archive.infolist():
-        path = entry.filename.lower()
-        small_file = not entry.is_dir() and entry.file_size <= ref.MAX_ENTRY_BYTES
-        if small_file and os.path.splitext(path)[1] in ref.CODE_EXTENSIONS:
-            if not any(term in path for term in ref.SKIPPED_ENTRIES):
-                entries.append(entry)
-    return entries
+def archive_name(path: Column) -> list[Column]:
+    """Owner, repository and branch in the name of an archive's file."""
+    stem = F.regexp_extract(base_name(path), r"^(.*)\.zip$", 1)
+    parts = F.split(stem, "__", 2)
+    named = F.get(parts, F.lit(1))
+    return [
+        F.get(parts, F.lit(0)).alias("owner"),
+        F.split(named, "@", 2)[0].alias("repo"),
+        F.get(F.split(named, "@", 2), F.lit(1)).alias("branch"),
+    ]
 
 
-def archive_entries(archives: DataFrame, per_repo: int = ref.FILES_PER_REPO, seed: int = ref.SEED) -> DataFrame:
-    """One row per chosen file of an archive: at most `per_repo` wanted entries, picked by hash.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError, OSError)
 
-    Size, extension and path are judged on the archive's own index; only chosen entries are unpacked. A
-    damaged archive gives no rows.
-    """
 
-    def order(entry: zipfile.ZipInfo) -> str:
-        return hashlib.md5(f"{seed}:{entry.filename}".encode()).hexdigest()
+def archive_index(archives: DataFrame) -> DataFrame:
+    """The archives' own lists of files, without unpacking: one row per entry; a damaged archive gives none."""
 
-    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                rows = []
                 try:
                     with zipfile.ZipFile(io.BytesIO(row.archive)) as archive:
-                        for entry in sorted(_wanted_entries(archive), key=order)[:per_repo]:
-                            content = archive.read(entry).decode("utf-8", errors="ignore")
-                            rows.append((row.owner, row.repo, entry.filename, entry.file_size, content))
-                except zipfile.BadZipFile:
-                    pass
-                yield pd.DataFrame(rows, columns=["owner", "repo", "path", "size", "content"])
+                        rows = [(e.filename, e.file_size) for e in archive.infolist() if not e.is_dir()]
+                except UNREADABLE:
+                    continue
+                found = pd.DataFrame(rows, columns=["path", "size"])
+                yield found.assign(owner=row.owner, repo=row.repo, branch=row.branch)[INDEX_COLUMNS]
+
+    return _with_branch(archives).mapInPandas(listed, "owner string, repo string, branch string, path string, size long")
+
+
+INDEX_COLUMNS = ["owner", "repo", "branch", "path", "size"]
 
-    return archives.select("owner", "repo", "archive").mapInPandas(
-        unpack, "owner string, repo string, path string, size long, content string"
+
+def _with_branch(archives: DataFrame) -> DataFrame:
+    branch = F.col("branch") if "branch" in archives.columns else F.lit(None).cast("string").alias("branch")
+    return archives.select("owner", "repo", branch, "archive")
+
+
+def first_branches(index: DataFrame, branch: str = "main") -> DataFrame:
+    """Entries of one archive per repository: of the branches to try, the first whose archive can be read.
+
+    An archive without a branch in its name comes first.
+    """
+    rank = F.coalesce(F.array_position(select.branch_candidates(F.lit(branch)), F.col("branch")), F.lit(0))
+    tried = index.select("owner", "repo", "branch").distinct().withColumn("_try", F.when(F.col("branch").isNull(), 0).otherwise(rank))
+    keyed = tried.filter(F.col("branch").isNull() | (F.col("_try") > 0)).withColumn("_key", F.struct("owner", "repo"))
+    best = select.first_success(keyed, "_key", "_try", F.lit(True), ["branch"])
+    best = best.select("_key.*", F.col("branch").alias("_branch"))
+    same = (index["owner"] == best["owner"]) & (index["repo"] == best["repo"]) & index["branch"].eqNullSafe(best["_branch"])
+    return index.join(best, same, "left_semi")
+
+
+def archive_entries(
+    archives: DataFrame,
+    per_repo: int | None = None,
+    max_bytes: int = ref.MAX_ENTRY_BYTES,
+    branch: str = "main",
+    seed: int = ref.SEED,
+) -> DataFrame:
+    """One row per chosen file of each repository: `owner, repo, path, size, content`.
+
+    Size, extension and path are judged on the archives' own lists; with `per_repo`, so many of the wanted
+    entries are picked by hash. Only chosen entries are unpacked. A damaged archive gives no rows, a damaged
+    entry is left out alone. `archives` is read twice.
+    """
+    wanted = first_branches(archive_index(archives), branch).filter(
+        select.wanted_entry(F.col("path"), F.col("size"), max_bytes)
     )
+    if per_repo is not None:
+        wanted = sample_per_group(wanted, ["owner", "repo"], ["path"], per_repo, seed)
+    lists = wanted.groupBy("owner", "repo", "branch").agg(F.collect_list("path").alias("_paths"))
+    lists = lists.select(F.col("owner").alias("_owner"), F.col("repo").alias("_repo"), F.col("branch").alias("_branch"), "_paths")
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                rows = []
+                with zipfile.ZipFile(io.BytesIO(row.archive)) as archive:
+                    for path in row.paths:
+                        try:
+                            raw = archive.read(path)
+                        except UNREADABLE:
+                            continue
+                        rows.append((row.owner, row.repo, path, archive.getinfo(path).file_size, raw.decode("utf-8", errors="ignore")))
+                yield pd.DataFrame(rows, columns=["owner", "repo", "path", "size", "content"])
+
+    same = (F.col("owner") == F.col("_owner")) & (F.col("repo") == F.col("_repo")) & F.col("branch").eqNullSafe(F.col("_branch"))
+    chosen = _with_branch(archives).join(lists, same).select("owner", "repo", "archive", F.col("_paths").alias("paths"))
+    return chosen.mapInPandas(unpack, "owner string, repo string, path string, size long, content string")
 
 
 def archive_fragments(entries: DataFrame) -> DataFrame:

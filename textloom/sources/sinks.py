@@ -42,11 +42,15 @@ def replace_table(df: DataFrame, path: str, fmt: str = "json") -> None:
     df.write.format(fmt).save(fresh.toString())
     place = jvm.org.apache.hadoop.fs.Path(target)
     fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(place):
-        fs.rename(place, old)
+    replaced = fs.exists(place)
+    if replaced and not fs.rename(place, old):
+        raise OSError(f"could not move {place} away; the new table is at {fresh}")
     if not fs.rename(fresh, place):
+        if replaced:
+            fs.rename(old, place)
         raise OSError(f"could not move {fresh} to {place}")
-    fs.delete(old, True)
+    if replaced:
+        fs.delete(old, True)
 
 
 def write_ledger(keys: DataFrame, path: str) -> None:

@@ -20,6 +20,16 @@ def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000, s
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
+def _one_per_key(batch: DataFrame) -> DataFrame:
+    """Of the rows of a batch with the same source and key, the one of the first file, then the smallest text."""
+    named = batch.withColumn("_file", F.input_file_name())
+    rest = [c for c in batch.columns if c not in ("source", "doc_key")]
+    first = F.min(F.struct("_file", *rest)).alias("_first")
+    keyed = named.filter("doc_key IS NOT NULL").groupBy("source", "doc_key").agg(first)
+    kept = keyed.select("source", "doc_key", "_first.*").drop("_file").select(*batch.columns)
+    return kept.unionByName(batch.filter("doc_key IS NULL"))
+
+
 def store_batches(
     landed: DataFrame,
     to_fragments: Callable[[DataFrame], DataFrame],
@@ -32,18 +42,24 @@ def store_batches(
     The checkpoint keeps a file from being read twice, the ledger of earlier batches a key that lands again
     in another file. Every micro-batch overwrites its own folder, fragments first and then the keys it
     finished. A batch that is repeated after a failure replaces its own output, so nothing is stored twice.
+    Of rows with the same key the one of the first file by name counts, in one batch as over several, so the
+    result does not depend on the number of files per batch. Rows without a key are all kept.
     """
 
     def store_batch(batch: DataFrame, number: int) -> None:
-        new = batch
+        new = _one_per_key(batch)
         if path_exists(batch.sparkSession, ledger):
             finished = batch.sparkSession.read.schema(LEDGER_SCHEMA).parquet(ledger)
             earlier = finished.filter(F.col("batch") < number).withColumnRenamed("key", "doc_key")
             new = pending(batch, earlier, ["source", "doc_key"])
-        kept = to_fragments(new).filter(worth_caching(F.col("text")))
-        kept.write.mode("overwrite").parquet(f"{store}/batch={number}")
-        done = new.select("source", F.col("doc_key").alias("key")).distinct()
-        done.write.mode("overwrite").parquet(f"{ledger}/batch={number}")
+        new = new.persist()  # the fragments and the keys come from the same reading
+        try:
+            kept = to_fragments(new).filter(worth_caching(F.col("text")))
+            kept.write.mode("overwrite").parquet(f"{store}/batch={number}")
+            done = new.filter("doc_key IS NOT NULL").select("source", F.col("doc_key").alias("key")).distinct()
+            done.write.mode("overwrite").parquet(f"{ledger}/batch={number}")
+        finally:
+            new.unpersist()
 
     return (
         landed.writeStream.foreachBatch(store_batch)
@@ -53,14 +69,17 @@ def store_batches(
     )
 
 
-def progress_counts(landed: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Running number of landed rows per source, updated with every micro-batch."""
+def progress_counts(landed: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Running number of landed rows per source, a small table per micro-batch below `path`."""
+
+    def store_counts(counts: DataFrame, number: int) -> None:
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
     return (
         landed.groupBy("source")
         .count()
         .writeStream.outputMode("update")
-        .format("memory")
-        .queryName(name)
+        .foreachBatch(store_counts)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
