@@ -4,6 +4,9 @@ import io
 import json
 import zipfile
 
+import pytest
+
+from textloom.plans.chain import checked_vocabulary, prepare_training
 from textloom.plans.sources import build_corpus
 from textloom.sources.readers import read_jsonl
 
@@ -64,3 +67,22 @@ def test_caps_hold_over_runs(spark, tmp_path):
         assert report["codigo_github"].fragments == 1 and report["dialogos_naturales"].fragments == 2
         assert "codigo_local" not in report and report["wikipedia"].fragments == 3
     assert spark.read.parquet(f"{output}-keyed").count() == report[None].fragments
+
+
+def test_chain_to_training_rows(spark, tmp_path):
+    landed = landed_files(tmp_path / "landed")
+    output = tmp_path / "out"
+    report = prepare_training(spark, landed, str(tmp_path / "store"), str(output), ranks=2, batch_size=2, size=300, min_frequency=2)
+    assert {r.source: r.fragments for r in report.collect()}[None] == 20
+    rows = spark.read.parquet(str(output / "rows"))
+    assert rows.filter("split = 'train'").count() == 16  # of 18 rows, nine a rank, in whole batches of two
+    for folder in (output / "rows").glob("split=train/rank=*"):
+        slots = [r.slot for f in sorted(folder.glob("*.parquet")) for r in spark.read.parquet(str(f)).collect()]
+        assert slots == sorted(slots) and len(slots) == 8
+    assert spark.read.parquet(str(output / "vocabulary")).count() <= 300
+
+
+def test_vocabulary_is_checked(spark):
+    bad = spark.createDataFrame([(0, "<unk>"), (1, "<pad>")], "id int, token string")
+    with pytest.raises(ValueError, match="reserved tokens"):
+        checked_vocabulary(bad)
