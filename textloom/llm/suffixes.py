@@ -5,14 +5,13 @@ smallest hash (the leftmost of equal ones). Equal passages have their anchors at
 one, so only about one suffix in a hundred is needed. Anchors whose string occurs once in the corpus go.
 The suffixes of the others are range-partitioned by their leading bytes between sampled splitters; every bucket
 is sorted by multikey quicksort, once by what follows the anchors and once by what stands before them, and
-the common lengths with the neighbours bound the passages to compare. What continues in the next bucket is
-compared across buckets.
+the common lengths with the neighbours bound the passages to compare. A group of equal anchors that is larger
+than a bucket is cut, and compared across the buckets' boundaries.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.arrays import chunks, mix, prefix_hash, span_hash
-from textloom.llm.scratch import Steps
+from textloom.llm.scratch import Steps, free_name
 
 GRAM = 32
 #: Positions that are told apart in one search for anchors; the upper bits hold the hash.
@@ -155,7 +154,7 @@ def _words(matrix: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.pad(matrix, ((0, 0), (0, pad)))).view(">u8").astype(np.uint64)
 
 
-_SUFFIXES = "row_id long, row_hash long, first long, weight int, anchor long, bytes binary"
+_SUFFIXES = "row_id long, row_hash long, first long, weight int, large boolean, anchor long, bytes binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch], text: str, length: int) -> Iterator[pa.RecordBatch]:
@@ -166,7 +165,7 @@ def _cut(batches: Iterator[pa.RecordBatch], text: str, length: int) -> Iterator[
             found = row["spans"]
             yield pa.RecordBatch.from_pydict({
                 "row_id": [row["row_id"]] * len(found), "row_hash": [row["row_hash"]] * len(found),
-                "first": [s["first"] for s in found], "weight": pa.array([s["weight"] for s in found], pa.int32()),
+                "first": [s["first"] for s in found], "weight": pa.array([s["weight"] for s in found], pa.int32()), "large": [s["large"] for s in found],
                 "anchor": [s["at"] - s["first"] for s in found], "bytes": [raw[s["first"] : s["last"] + length] for s in found],
             })
 
@@ -174,13 +173,13 @@ def _cut(batches: Iterator[pa.RecordBatch], text: str, length: int) -> Iterator[
 _FOUND = "row_id long, row_hash long, low long, high long, passage long"
 
 
-def _bucket(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _bucket(batches: list[pa.RecordBatch], length: int, cut: bool) -> Iterator[pa.RecordBatch]:
     """Passages that occur twice among the suffixes of a bucket, as intervals of the documents (`passage` null).
 
-    The first and the last group of equal anchors may go on in another bucket: all their passages are passed
-    on by their hash.
+    With `cut`, the first and the last group of equal anchors may go on in another bucket: their passages are
+    passed on by their hash, each one once.
     """
-    table = pa.Table.from_batches(list(batches)) if batches else None
+    table = pa.Table.from_batches(batches) if batches else None
     if table is None or not table.num_rows:
         return
     table = table.combine_chunks()
@@ -203,25 +202,29 @@ def _bucket(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
     near = np.where(group[by_left[:-1]] == group[by_left[1:]], _common(left, at, by_left), 0)
     np.maximum.at(before, by_left[:-1], near)
     np.maximum.at(before, by_left[1:], near)
-    open_end = (group == 0) | (group == group_in_order[-1])
+    open_end = ((group == 0) | (group == group_in_order[-1])) & cut
+    edge = np.zeros(m, bool)  # rows whose neighbour in the order is in another bucket
+    edge[order[[0, -1]]] = cut
     # offsets of the anchor in the passages that can occur elsewhere
-    least = np.maximum(at - passages + 1, np.where(open_end, 0, length - after))
+    least = np.maximum(at - passages + 1, np.where(edge, 0, length - after))
     most = np.minimum(at, np.where(open_end, length, before))
     count = np.maximum(most - least + 1, 0)
     row = np.repeat(np.arange(m), count)
     offset = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + least[row]
     begin = bounds[row] + at[row] - offset
     passage = mix(span_hash(prefix_hash(data), begin, begin + length) + mix(offset.astype(np.uint64)))
-    _, number, times = np.unique(passage, return_inverse=True, return_counts=True)
-    twice = (times[number] > 1) & ~open_end[row] & (weight[row] == 1)
-    start = (at[row] - offset + base[row])[twice]
-    yield from _intervals(ids[row[twice]], hashes[row[twice]], row[twice], start, length)
-    out = np.flatnonzero(open_end[row])
-    for part in np.array_split(out, max(1, -(-len(out) // 100_000))):
-        low = at[row[part]] - offset[part] + base[row[part]]
+    _, one, number, times = np.unique(passage, return_index=True, return_inverse=True, return_counts=True)
+    twice = (times[number] > 1) & (weight[row] == 1)
+    start = at[row] - offset + base[row]
+    yield from _intervals(ids[row[twice]], hashes[row[twice]], row[twice], start[twice], length)
+    # other buckets hear of each passage once; only those that are single here wait for an answer
+    out = one[open_end[row[one]]]
+    sure = (times[number[out]] > 1) | (weight[row[out]] > 1)
+    for part in np.array_split(np.arange(len(out)), max(1, -(-len(out) // 100_000))):
+        low = start[out[part]]
         yield pa.RecordBatch.from_pydict({
-            "row_id": ids[row[part]], "row_hash": hashes[row[part]], "low": low, "high": np.where(weight[row[part]] > 1, -1, low + length),
-            "passage": passage[part].view(np.int64),
+            "row_id": ids[row[out[part]]], "row_hash": hashes[row[out[part]]], "low": low, "high": np.where(sure[part], -1, low + length),
+            "passage": passage[out[part]].view(np.int64),
         })
 
 
@@ -238,6 +241,10 @@ def _intervals(ids: np.ndarray, hashes: np.ndarray, row: np.ndarray, start: np.n
     })
 
 
+def _sorted_bucket(length: int, cut: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return lambda batches: _bucket(list(batches), length, cut)
+
+
 def repeated_intervals(docs: DataFrame, length: int, text: str, steps: Steps) -> DataFrame:
     """`row_id`, `row_hash`, `low`, `high`: byte intervals whose union is what passages found elsewhere cover.
 
@@ -248,22 +255,30 @@ def repeated_intervals(docs: DataFrame, length: int, text: str, steps: Steps) ->
     spans = anchors.filter("gram IS NOT NULL").groupBy("gram", "span").agg(F.sum("weight").alias("weight"), F.min(one).alias("one"))
     grams = spans.groupBy("gram").agg(F.count("*").alias("spans"), F.sum("weight").alias("n"), F.min("weight").alias("least")).filter("n > 1")
     # a span that occurs twice is covered whole; a single one may share passages with others of its gram
-    spans = steps.store(spans.join(grams, "gram").select("gram", "span", "weight", "one", ((F.col("spans") > 1) & (F.col("least") == 1)).alias("mixed")), "spans")
+    mixed = ((F.col("spans") > 1) & (F.col("least") == 1)).alias("mixed")
+    large = (F.col("spans") * 2 * length > _BUCKET_BYTES).alias("large")
+    spans = steps.store(spans.join(grams, "gram").select("gram", "span", "weight", "one", mixed, large), "spans")
     covered = anchors.join(spans.filter("weight > 1").select("gram", "span").hint("merge"), ["gram", "span"])
     interval = ["row_id", "row_hash", F.col("first").alias("low"), (F.col("last") + length).alias("high")]
     covered = steps.store(covered.select(*interval).unionByName(anchors.filter("gram IS NULL").select(*interval)), "covered")
     steps.drop("anchors")
 
-    wanted = spans.filter("mixed").select("weight", "one.*")
+    wanted = spans.filter("mixed").select("weight", "large", "one.*")
     # a document's passages are a list no longer than its text
-    lists = wanted.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("first", "last", "at", "weight")).alias("spans"))
+    lists = wanted.groupBy("row_id", "row_hash").agg(F.collect_list(F.struct("first", "last", "at", "weight", "large")).alias("spans"))
     suffixes = docs.join(lists.hint("merge"), ["row_id", "row_hash"]).mapInArrow(lambda b: _cut(b, text, length), _SUFFIXES)
     suffixes = steps.store(suffixes, "suffixes")
     steps.drop("spans")
-    total = suffixes.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    leading = F.substring("bytes", F.col("anchor") + 1, F.lit(length))
-    buckets = suffixes.repartitionByRange(1 + total // _BUCKET_BYTES, leading, "bytes")
-    found = steps.store(buckets.mapInArrow(lambda b: _bucket(list(b), length), _FOUND), "found")
+    found = None
+    for large in (False, True):
+        # anchors with the same leading bytes stay together; only a group beyond a bucket's size is cut
+        part = suffixes.filter(F.col("large") == large)
+        total = part.agg(F.sum(F.length("bytes"))).first()[0] or 0
+        leading = F.substring("bytes", F.col("anchor") + 1, F.lit(length if large else GRAM))
+        buckets = part.repartitionByRange(1 + total // _BUCKET_BYTES, leading, *["bytes"] * large)
+        rows = buckets.mapInArrow(_sorted_bucket(length, large), _FOUND)
+        found = rows if found is None else found.unionByName(rows)
+    found = steps.store(found, "found")
     across = found.filter("passage IS NOT NULL")
     # a weight above one stands for passages that occur twice by themselves
     twice = across.groupBy("passage").agg(F.sum(F.when(F.col("high") < 0, 2).otherwise(1)).alias("n")).filter("n > 1").select("passage")
@@ -287,18 +302,19 @@ def _without(raw: bytes, runs: list[list[int]]) -> bytes:
     return b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
 
 
-def _with_runs(docs: DataFrame, length: int, key: str, text: str) -> DataFrame:
-    """The rows of `docs` with `_runs`, the intervals to remove (null: none). `key` is a whole number."""
+def _with_runs(docs: DataFrame, length: int, key: str, text: str, out: str = "_runs") -> DataFrame:
+    """The rows of `docs` with `out`, the intervals to remove (null: none). `key` is a whole number."""
     steps = Steps(docs.sparkSession, "passages")
     number = F.col(key).cast("long")
     row_id, row_hash = F.coalesce(number, F.lit(0)), F.xxhash64(number.isNull(), F.coalesce(text, F.lit("")))
     rows = docs.select(row_id.alias("row_id"), row_hash.alias("row_hash"), F.col(text))
     runs = repeated_intervals(rows, length, text, steps).distinct()
-    runs = runs.groupBy(F.col("row_id").alias("_row_id"), F.col("row_hash").alias("_row_hash"))
-    runs = steps.store(runs.agg(F.collect_list(F.struct("low", "high")).alias("_runs")), "runs")
+    names = free_name(docs, "_row_id"), free_name(docs, "_row_hash")
+    runs = runs.groupBy(F.col("row_id").alias(names[0]), F.col("row_hash").alias(names[1]))
+    runs = steps.store(runs.agg(F.collect_list(F.struct("low", "high")).alias(out)), "runs")
     steps.drop("covered", "found", "suffixes")
-    same = (row_id == F.col("_row_id")) & (row_hash == F.col("_row_hash"))
-    return docs.join(runs.hint("merge"), same, "left").drop("_row_id", "_row_hash")
+    same = (row_id == F.col(names[0])) & (row_hash == F.col(names[1]))
+    return docs.join(runs.hint("merge"), same, "left").drop(*names)
 
 
 def drop_repeated_passages(docs: DataFrame, length: int = 200, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -335,15 +351,15 @@ def without_repeated_passages(docs: DataFrame, length: int = 200, key: str = "do
 
     Bytes of a character that was cut in two go as well. A null text stays null.
     """
-    columns = docs.columns
+    columns, hidden = docs.columns, free_name(docs, "_runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
             out = []
-            for value, found in zip(batch.column(text), batch.column("_runs"), strict=True):
+            for value, found in zip(batch.column(text), batch.column(hidden), strict=True):
                 value, runs = value.as_py(), _merged(found.as_py())
                 out.append(_without(value.encode(), runs).decode(errors="ignore") if runs else value)
             yield batch.set_column(at, text, pa.array(out, pa.string())).select(columns)
 
-    return _with_runs(docs, length, key, text).mapInArrow(run, docs.schema)
+    return _with_runs(docs, length, key, text, hidden).mapInArrow(run, docs.schema)
