@@ -15,7 +15,6 @@ import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from textloom.llm.arrays import chunks
 from textloom.llm.pretokens import distinct_words, gather

@@ -180,7 +180,9 @@ def _losses(documents: pa.Table, replies: pa.Table, key: str, buckets: int, sums
     )
 
 
-def score_against_target(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", target_text: str = "text", prior: float = PRIOR) -> DataFrame:
+def score_against_target(
+    docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", target_text: str = "text", prior: float = PRIOR
+) -> DataFrame:
     """`key`, `n_tokens`, `target_loss`, `background_loss` and `score` of every document.
 
     The background model is counted over all of `docs`, the target model over all of `target`. Tokens are

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -89,7 +87,7 @@ def _search(index: pa.Table, batch: pa.Table, threshold: float) -> pa.Table:
         todo = np.array(again, np.int64)
         if not len(todo):
             linked = np.array([len(f) > 1 for f in found])
-            sample = np.concatenate([np.flatnonzero(linked)[:: max(1, linked.sum() // AUDITED)], np.flatnonzero(~linked)[:: max(1, (~linked).sum() // AUDITED)]])
+            sample = np.concatenate([np.flatnonzero(side)[:: max(1, side.sum() // AUDITED)] for side in (linked, ~linked)])
             if beam < n and _audit(found, queries, unit, threshold, sample) < RECALL:
                 todo = np.arange(len(rows))
         beam = min(2 * beam, n)
@@ -125,7 +123,14 @@ def _links(ids: np.ndarray, rows: np.ndarray, found: list[np.ndarray]) -> pa.Tab
 _RESULT = pa.schema([("row", pa.int64()), ("hits", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, key: str = "vec_id", vector: str = "embedding", label: str = "label", shard_rows: int = SHARD_ROWS) -> DataFrame:
+def near_duplicates(
+    vectors: DataFrame,
+    threshold: float = 0.93,
+    key: str = "vec_id",
+    vector: str = "embedding",
+    label: str = "label",
+    shard_rows: int = SHARD_ROWS,
+) -> DataFrame:
     """`key`, `n_links`, `component_id` and `kept` of every vector.
 
     Two rows link if their labels are equal and not null and their cosine, in double precision, is found to be
