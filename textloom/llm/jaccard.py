@@ -2,8 +2,9 @@
 
 The matrix is first cut to the columns and rows that can matter. A document keeps its first n-grams in a hash
 order, so many that two similar documents must share a number of them that follows from their sizes. Columns
-with one document and documents with too few shared columns go; both steps lose no pair. The rows that are
-left fall into blocks of documents around a common one. Within a block, tiles of the product accumulate the
+with one document and documents with too few shared columns go; both steps lose no pair. The whole sets of the
+documents that are left go through the same steps, in which columns are in the order of their frequency. The
+rest falls into blocks of documents around a common one. Within a block, tiles of the product accumulate the
 overlap counts of all n-grams, and between blocks those of the pairs that still share a rare column.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.arrays import chunks, groups, mix, shingle_hashes
 from textloom.llm.components import components
-from textloom.llm.scratch import free_name
+from textloom.llm.scratch import Steps, free_name
 from textloom.session import materialised
 
 #: Rows and n-grams of one tile of the product.
@@ -80,18 +81,18 @@ def _incidence(docs: DataFrame, num: int, den: int, words: int, key: str, text:
     return keyed.mapInArrow(run, f"{key} long, row_hash long, n long, digest long, prefix array<long>")
 
 
-def _candidates(documents: DataFrame, num: int, den: int, extra: float) -> DataFrame:
-    """`digest`, `n`, `h`: for every set its rarest shared columns, so many that similar sets meet in one.
+def _rarest(rows: DataFrame, need: Column, steps: Steps, name: str) -> DataFrame:
+    """`digest`, `n`, `h`, `g`: for every set its rarest shared columns, so many that similar sets meet in one.
 
-    Columns and rows of the prefix matrix that cannot matter are dropped twice: with one set, and with fewer
-    shared columns than the smallest similar set asks for.
+    `rows` are `digest`, `n` and column `h`; similar sets have `need` columns of a set or more in common there.
+    Columns with one set and sets with fewer shared columns are dropped, three times and twice; `g` columns
+    of a set are left.
     """
-    rows = documents.select("digest", "n", F.explode("prefix").alias("h"))
     often = rows.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
     shared = rows.join(often.hint("merge"), "h").distinct()
-    need = _shared(F.ceil(F.col("n") * num / den), num, den, extra)
-    for _ in range(2):
-        shared = materialised(shared.select("digest", "n", "h"), "shared")
+    for turn in range(2):
+        shared = steps.store(shared.select("digest", "n", "h"), f"{name}-{turn}")
+        steps.drop()
         df = shared.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
         met = shared.join(df, "h")
         enough = met.groupBy("digest", "n").agg(F.count("*").alias("g")).filter(F.col("g") >= need)
@@ -99,14 +100,23 @@ def _candidates(documents: DataFrame, num: int, den: int, extra: float) -> DataF
     # a set has at most as many rows here as its text has words
     rarest = W.partitionBy("digest").orderBy("df", "h")
     kept = shared.withColumn("at", F.row_number().over(rarest)).filter(F.col("at") <= F.col("g") - need + 1)
-    return kept.select("digest", "n", "h", "g")
+    kept = steps.store(kept.select("digest", "n", "h", "g"), name)
+    steps.drop(f"{name}-0", f"{name}-1")
+    return kept
 
 
 def _blocks(kept: DataFrame) -> DataFrame:
-    """`digest` and `block`: each set joins the richest set that it meets in one of its columns."""
+    """`digest` and `block`: each set joins the richest set that it meets in one of its columns, and that one's.
+
+    Following the richer set twice brings a group of near copies together whose members meet different ones.
+    """
     richest = kept.groupBy("h").agg(F.max(F.struct("g", "digest")).alias("top"), F.min("digest").alias("x"), F.max("digest").alias("y"))
     richest = richest.filter("x <> y").select("h", "top")  # of two sets or more
-    return kept.join(richest, "h").groupBy("digest").agg(F.max("top")["digest"].alias("block"))
+    blocks = materialised(kept.join(richest, "h").groupBy("digest").agg(F.max("top")["digest"].alias("block")), "richest")
+    for _ in range(2):
+        onward = blocks.select(F.col("digest").alias("block"), F.col("block").alias("next"))
+        blocks = blocks.join(onward, "block", "left").select("digest", F.coalesce("next", "block").alias("block"))
+    return blocks
 
 
 def _tile_links(table: pa.Table, num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -198,11 +208,13 @@ def jaccard_components(
     Null texts have empty sets; an empty set and a row with a null key link with nothing (its component is its
     key). Repeated rows stay. Other columns are not read. `key` is a whole number.
     """
-    documents = materialised(_incidence(docs, num, den, words, key, text, extra), "incidence")
+    steps = Steps(docs.sparkSession, "jaccard")
+    documents = steps.store(_incidence(docs, num, den, words, key, text, extra), "incidence")
     known = documents.filter(F.col("digest").isNotNull() & F.col(key).isNotNull())
-    kept = materialised(_candidates(known, num, den, extra), "candidates")
-    blocks = materialised(_blocks(kept).join(kept.select("digest", "n").distinct(), "digest"), "blocks")
-    one = known.select("digest", key).join(blocks.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.min(key).alias(key))
+    # first by the prefixes of all documents, then by the whole sets of those that are left
+    smallest = _shared(F.ceil(F.col("n") * num / den), num, den, extra)
+    near = _rarest(known.select("digest", "n", F.explode("prefix").alias("h")), smallest, steps, "near")
+    one = known.select("digest", key).join(near.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.min(key).alias(key))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, i, ordered, digest in _sets(batches, text, words):
@@ -210,7 +222,11 @@ def jaccard_components(
                 yield pa.RecordBatch.from_pydict({"digest": [digest], "hashes": [ordered.view(np.int64)]})
 
     texts = docs.select(F.col(key).cast("long").alias(key), text).join(one.hint("merge"), key)
-    full = materialised(texts.mapInArrow(sets, "digest long, hashes array<long>").dropDuplicates(["digest"]), "sets")
+    full = steps.store(texts.mapInArrow(sets, "digest long, hashes array<long>").dropDuplicates(["digest"]), "sets")
+    steps.drop("near")
+    size = F.size("hashes").cast("long").alias("n")
+    kept = _rarest(full.select("digest", size, F.explode("hashes").alias("h")), F.col("n") - _slack(F.col("n"), num, den), steps, "kept")
+    blocks = steps.store(_blocks(kept).join(kept.select("digest", "n").distinct(), "digest"), "blocks")
     links = _inside(blocks, full, num, den).unionByName(_between(kept, blocks, full, num, den))
     roots = components(links).withColumnRenamed("id", "digest")
     placed = known.select(key, "digest").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
