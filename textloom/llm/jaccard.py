@@ -209,20 +209,26 @@ def jaccard_components(
     key). Repeated rows stay. Other columns are not read. `key` is a whole number.
     """
     steps = Steps(docs.sparkSession, "jaccard")
-    documents = steps.store(_incidence(docs, num, den, words, key, text, extra), "incidence")
-    known = documents.filter(F.col("digest").isNotNull() & F.col(key).isNotNull())
+    incidence = steps.store(_incidence(docs, num, den, words, key, text, extra), "incidence")
+    usable = F.col("digest").isNotNull() & F.col(key).isNotNull()
+    documents = steps.store(incidence.drop("prefix"), "documents")
+    known = documents.filter(usable)
     # first by the prefixes of all documents, then by the whole sets of those that are left
     smallest = _shared(F.ceil(F.col("n") * num / den), num, den, extra)
-    near = _rarest(known.select("digest", "n", F.explode("prefix").alias("h")), smallest, steps, "near")
+    near = _rarest(incidence.filter(usable).select("digest", "n", F.explode("prefix").alias("h")), smallest, steps, "near")
+    steps.drop("incidence")
     one = known.select("digest", key).join(near.select("digest").distinct(), "digest", "left_semi").groupBy("digest").agg(F.min(key).alias(key))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the join brings equal keys one after the other; a repeated set does no harm later
         for rows, i, ordered, digest in _sets(batches, text, words):
-            if digest == rows.column("digest")[i].as_py():  # another row of the same key has another text
+            # another row of the same key may have another text
+            if digest == rows.column("digest")[i].as_py() and digest != last:
+                last = digest
                 yield pa.RecordBatch.from_pydict({"digest": [digest], "hashes": [ordered.view(np.int64)]})
 
     texts = docs.select(F.col(key).cast("long").alias(key), text).join(one.hint("merge"), key)
-    full = steps.store(texts.mapInArrow(sets, "digest long, hashes array<long>").dropDuplicates(["digest"]), "sets")
+    full = steps.store(texts.mapInArrow(sets, "digest long, hashes array<long>"), "sets")
     steps.drop("near")
     size = F.size("hashes").cast("long").alias("n")
     kept = _rarest(full.select("digest", size, F.explode("hashes").alias("h")), F.col("n") - _slack(F.col("n"), num, den), steps, "kept")
@@ -241,7 +247,7 @@ def one_of_each(docs: DataFrame, num: int = 80, den: int = 100, words: int = 5,
 
     Rows with the same key and text are one. Rows with a null key, and documents without words, stay.
     """
-    found = jaccard_components(docs, num, den, words, key, text)
+    found = jaccard_components(docs, num, den, words, key, text, extra=0.25)
     mark, other, hashed = (free_name(docs, name) for name in ("_text_hash", "_other_key", "_other_hash"))
     gone = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias(other), F.col("row_hash").alias(hashed))
     marked = docs.withColumn(mark, F.xxhash64(text))
