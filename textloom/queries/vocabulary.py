@@ -17,7 +17,7 @@ _WORDS = (
     "regexp_extract_all(" + _MARKED + ", "
     "'''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^\\s\\p{{L}}\\p{{N}}\\x01]+|\\s+')"
 )
-RAREST = 400  # the registered queries merge pairs that are at least one in so many of all words
+RAREST = 80  # the registered queries merge pairs that are at least one in so many of all words
 
 
 @query(
