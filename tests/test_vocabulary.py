@@ -12,6 +12,7 @@ from tokenizers.trainers import BpeTrainer
 from textloom.functions.arrays import BOS, EOS, PAD, SPECIAL_TOKENS
 from textloom.operators import vocabulary as V
 from textloom.plans.examples import example_rows, training_rows
+from textloom.queries.vocabulary import learned
 from textloom.sources.reference_values import ROUND_TRIP_TEXTS
 
 ODD = ["aaaa aaaaa aaaaaaa", "  dos  espacios \n\n\n y ﬁn ①②", "日本語 한국어 😀😀", "\t\ttab", "it's we'll don't", "x\n\n\ny"]
@@ -123,3 +124,33 @@ def test_long_words(spark):
     started = time.perf_counter()
     encoder.word("".join(rng.choices("abcd", k=50_000)))
     assert time.perf_counter() - started < 1.5
+
+
+def test_registered_training_is_whole(spark, sf_dir, tmp_path):
+    """The queries' vocabulary: 32,000 ids, or every pair that occurs ten times."""
+    corpus = tmp_path / "corpus.txt"
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    corpus.write_text("".join(t + "\n" for t in texts if t is not None), encoding="utf-8", newline="\n")
+    package = Tokenizer(BPE(unk_token="<unk>"))
+    package.normalizer, package.pre_tokenizer = NFKC(), ByteLevel(add_prefix_space=True)
+    package.train([str(corpus)], BpeTrainer(vocab_size=32_000, min_frequency=10, special_tokens=SPECIAL_TOKENS, show_progress=False))
+    assert {r.token: r.id for r in learned(spark, sf_dir)[0].collect()} == package.get_vocab()
+
+
+def test_held_words_train_alike(spark):
+    """Counted rounds, bands of held words and all words at once choose the same merges."""
+    import random
+
+    rng = random.Random(8)
+    stems = ["".join(rng.choices("abcde", k=rng.randint(1, 5))) for _ in range(60)]
+    words = {" " + "".join(rng.choices(stems, k=rng.randint(1, 4))): rng.randint(1, 40) for _ in range(400)} | {" aaaaaaa": 9, "aaaa": 7}
+    counts = spark.createDataFrame(list(words.items()), "word string, freq long").cache()
+
+    def trained(held_symbols, per_table):
+        found = V.train_vocabulary(counts, 60, 6, merges_per_table=per_table, held_symbols=held_symbols)
+        return [sorted(tuple(r) for r in t.collect()) for t in found]
+
+    want = trained(10**6, 64)
+    assert len(want[1]) > 30
+    assert trained(0, 64) == want
+    assert trained(2500, 1) == want

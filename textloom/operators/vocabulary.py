@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache, reduce
-from heapq import heappop, heappush
+from heapq import heapify, heappop, heappush
 from operator import or_
 
 import pandas as pd
@@ -21,6 +21,8 @@ from textloom.session import materialised
 
 VOCABULARY_SIZE = 32_000
 MIN_FREQUENCY = 10
+#: Symbols of the words that the driver holds at a time in training, whatever the size of the corpus.
+HELD_SYMBOLS = 4_000_000
 
 # Fixed value: the word split of byte-level vocabularies (letters, digits, contractions, other, blanks). The
 # alternatives that begin alike keep their order; letters come first because most words are.
@@ -198,20 +200,111 @@ def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     return words.select(w.alias("w"), "freq")
 
 
+def _floor(words: DataFrame, min_frequency: int, held_symbols: int, least: int) -> int | None:
+    """The lowest count such that the words with a pair at least so frequent have at most `held_symbols` symbols.
+
+    None if fewer than `least` pairs are that frequent.
+    """
+    pairs = _pairs(words).groupBy("pair").agg(F.sum("freq").alias("n"), F.sum(F.length("w")).alias("load"))
+    steps = pairs.filter(F.col("n") >= min_frequency).groupBy("n").agg(F.sum("load").alias("load"), F.count("*").alias("pairs"))
+    floor, load, found = None, 0, 0
+    for row in steps.orderBy(F.col("n").desc()).limit(100_000).collect():
+        load, found = load + row.load, found + row.pairs
+        if load > held_symbols:
+            found -= row.pairs
+            break
+        floor = row.n
+    return floor if found >= least else None
+
+
+def _train_held(
+    words: list[tuple[str, int]],
+    floor: int,
+    whole: bool,
+    size: int,
+    names: list[str],
+    tokens: dict[str, int],
+    merges: list[tuple[int, int, int, int]],
+) -> list[tuple[str, int]]:
+    """Merges one pair at a time while one makes up `floor` or more; returns the words as they are then.
+
+    `words` are all words with a pair that frequent (`whole`: all words there are). A merge changes only words
+    that hold its pair, and every pair it creates lies in them, so these words alone decide all merges down to
+    `floor`. Only a pair whose text is a token already raises counts elsewhere, too: after it the words must be
+    chosen again unless they are the whole table. Counts are kept by what a merge changes.
+    """
+    spelled, freq = [w for w, _ in words], [f for _, f in words]
+    counts: dict[str, int] = {}
+    places: dict[str, set[int]] = {}
+    for i, (w, f) in enumerate(words):
+        for at in range(len(w) - 1):
+            pair = w[at : at + 2]
+            counts[pair] = counts.get(pair, 0) + f
+            places.setdefault(pair, set()).add(i)
+    heap = [(-n, pair) for pair, n in counts.items() if n >= floor]
+    heapify(heap)
+    while heap and len(names) < size:
+        n, pair = heappop(heap)
+        now = counts[pair]
+        if now != -n:  # it has changed since; a count that rose has an entry of its own
+            if floor <= now < -n:
+                heappush(heap, (-now, pair))
+            continue
+        a, b = pair
+        left, right = symbol_id(a), symbol_id(b)
+        text = names[left] + names[right]
+        known = text in tokens
+        if not known:
+            tokens[text] = len(names)
+            names.append(text)
+        merges.append((len(merges), left, right, tokens[text]))
+        new = symbol(tokens[text])
+        change: dict[str, int] = {}
+        for i in places.pop(pair):
+            parts, f = spelled[i].split(pair), freq[i]
+            if len(parts) == 1:
+                continue
+            spelled[i] = new.join(parts)
+            change[pair] = change.get(pair, 0) - f * (len(parts) - 1)
+            beside = []  # pairs at the edges of the merged places, before and after
+            for k in range(1, len(parts)):
+                if parts[k - 1]:
+                    beside.append((parts[k - 1][-1] + a, parts[k - 1][-1] + new))
+                elif k > 1:
+                    beside.append((b + a, new + new))
+                if parts[k]:
+                    beside.append((b + parts[k][0], new + parts[k][0]))
+            for old, created in beside:
+                change[old] = change.get(old, 0) - f
+                change[created] = change.get(created, 0) + f
+                places.setdefault(created, set()).add(i)
+        for other, d in change.items():
+            counts[other] = counts.get(other, 0) + d
+            if d > 0 and counts[other] >= floor:
+                heappush(heap, (-counts[other], other))
+        if known and not whole:
+            break
+    return list(zip(spelled, freq, strict=True))
+
+
 def train_vocabulary(
     counts: DataFrame,
     size: int = VOCABULARY_SIZE,
     min_frequency: int = MIN_FREQUENCY,
     candidates: int = 512,
     merges_per_table: int = 64,
+    held_symbols: int = HELD_SYMBOLS,
 ) -> tuple[DataFrame, DataFrame]:
     """Tables `vocabulary(id, token)` and `merges(rank, left_id, right_id, id)` from word counts.
 
-    Ids: reserved tokens, then the bytes seen in order of their stand-ins, then merges. Each round counts
-    pairs, takes every merge that is already certain (`_certain_merges`) and applies them together; the
-    result equals merging one pair per round, the most frequent first and on ties the one with smaller ids.
-    What reaches the driver per round is at most `candidates` pairs. Words that are down to one symbol drop out
-    whenever the table is rewritten.
+    Ids: reserved tokens, then the bytes seen in order of their stand-ins, then merges. The result equals merging
+    one pair at a time, the most frequent first and on ties the one with smaller ids.
+
+    While the most frequent pairs lie in too many words to hold, a round counts pairs, takes every merge that is
+    already certain (`_certain_merges`) and applies them together; at most `candidates` pairs reach the driver.
+    As soon as the words with the most frequent pairs have at most `held_symbols` symbols together, the driver
+    holds those words, merges as far as they decide (`_train_held`) and returns them to the table. Words that are
+    down to one symbol drop out whenever the table is rewritten.
     """
     spark = counts.sparkSession
     spelled = materialised(
@@ -222,6 +315,7 @@ def train_vocabulary(
     names = [*SPECIAL_TOKENS, *alphabet]
     tokens = {t: i for i, t in enumerate(names)}
     merges: list[tuple[int, int, int, int]] = []
+    least = max(min_frequency, 1)
 
     start = "".join(symbol(tokens[c]) for c in alphabet)
     words = spelled.withColumn("w", F.translate("w", "".join(alphabet), start)) if alphabet else spelled
@@ -232,15 +326,27 @@ def train_vocabulary(
         if table is None or len(waiting) >= merges_per_table:
             rest = _merged(words if table is None else table, waiting).filter(F.length("w") > 1)
             table, waiting = materialised(rest.repartition(parallel), "words"), []
+            whole = (table.agg(F.sum(F.length("w"))).first()[0] or 0) <= held_symbols
+            if whole:
+                _train_held([tuple(r) for r in table.collect()], least, True, size, names, tokens, merges)
+                break
+            while len(names) < size and (floor := _floor(table, least, held_symbols, merges_per_table)):
+                frequent = _pair_counts(table).filter(F.col("n") >= floor)
+                holding = materialised(_pairs(table).join(frequent, "pair", "left_semi").select("w").distinct(), "holding")
+                held = [tuple(r) for r in table.join(holding, "w", "left_semi").select("w", "freq").collect()]
+                after = [(w, f) for w, f in _train_held(held, floor, False, size, names, tokens, merges) if len(w) > 1]
+                others = table.join(holding, "w", "left_anti").select("w", "freq")
+                back = spark.createDataFrame(after, "w string, freq long")
+                table = materialised(others.unionByName(back).repartition(parallel), "words")
         current = _merged(table, waiting)
         best = (
             _pair_counts(current)
-            .filter(F.col("n") >= max(min_frequency, 1))
+            .filter(F.col("n") >= least)
             .orderBy(F.col("n").desc(), "pair")
             .limit(width)
             .collect()
         )
-        if not best:
+        if not best or len(names) >= size:
             break
         beside = Neighbours(current, [r.pair for r in best])
         chosen = _certain_merges([(r.pair, r.n) for r in best], beside, tokens, names)

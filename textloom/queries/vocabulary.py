@@ -9,7 +9,6 @@ from textloom.operators import vocabulary as V
 from textloom.plans.examples import training_rows
 from textloom.plans.tuning import question_answer_rows
 from textloom.queries import query, table, wide_table
-from textloom.session import materialised
 
 # RE2 has no look-ahead: the last blank of a run is split off by a mark first.
 _MARKED = "regexp_replace(' ' || {0}, '(\\s)(\\s\\S)', '\\1' || chr(1) || '\\2', 'g')"
@@ -17,7 +16,6 @@ _WORDS = (
     "regexp_extract_all(" + _MARKED + ", "
     "'''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^\\s\\p{{L}}\\p{{N}}\\x01]+|\\s+')"
 )
-RAREST = 80  # the registered queries merge pairs that are at least one in so many of all words
 
 
 @query(
@@ -43,10 +41,7 @@ def a8(spark, sf):
 
 def learned(spark, sf):
     """Training at the full size; it ends when no pair is frequent enough, the operator's own rule."""
-    docs = wide_table(spark, sf, "documents")
-    counts = materialised(V.pretoken_counts(docs), "word-counts")
-    words = counts.agg(F.sum("freq")).first()[0] or 0
-    return V.train_vocabulary(counts, V.VOCABULARY_SIZE, max(V.MIN_FREQUENCY, words // RAREST))
+    return V.train_vocabulary(V.pretoken_counts(wide_table(spark, sf, "documents")), V.VOCABULARY_SIZE, V.MIN_FREQUENCY)
 
 
 @query("t2_vocabulary")
