@@ -299,6 +299,20 @@ def test_packing(awkward, pairs, vocabulary):
     assert len(sequences) <= 1.02 * math.ceil(sum(r["length"] for r in got) / 64) + 1
 
 
+def test_packing_added_tokens(spark, vocabulary):
+    """The file's added token in the text has its own id, as in the library's default encoding."""
+    end = "<|endoftext|>"
+    texts = ["ab" + end + "cd", end, end * 3, "<|endof", "text|>", f" a {end} b\n\n{end}  é", None, "", end[:-1], f"<{end}>", "plain text", "😀" + end]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    library, want = Tokenizer.from_str(vocabulary), Counter()
+    for k, t in enumerate(texts):
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 0]
+        want.update((k, s, tuple(ids[s : s + 4]), len(ids)) for s in range(0, len(ids), 4))
+    got = rows(packing.pack_documents(df, vocabulary, limit=4, with_ids=True))
+    assert multiset((r["doc_id"], r["start"], tuple(r["ids"]), r["doc_tokens"]) for r in got) == want
+    assert (0, 0, (397, 50256, 10210, 0), 4) in want
+
+
 def test_shortest_pack_first():
     patterns = packing.shortest_pack_first({6: 2, 4: 3, 3: 2, 1: 1}, 10)
     used = Counter()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -25,19 +26,51 @@ _STAND_IN = dict(zip([*_SELF, *(b for b in range(256) if b not in _SELF)], [*_SE
 #: Words that a Python worker remembers from one task to the next.
 REMEMBERED = 700_000
 
-_encoders: dict[int, WordEncoder] = {}
-
-
-def word_encoder(vocabulary: str) -> WordEncoder:
-    """The encoder of a vocabulary file's content, kept by the Python worker. Special tokens are ordinary text."""
+_encoders: dict[int, TextEncoder] = {}
+
+
+class TextEncoder:
+    """Ids of the texts of a chunk as the library's `encode` gives them: texts are split at the file's added tokens,
+    which have ids of their own, and the parts between them are pre-tokens."""
+
+    def __init__(self, words: WordEncoder, added: dict[bytes, int]):
+        self.words, self.added = words, added
+        longest_first = sorted(added, key=len, reverse=True)
+        self._pattern = re.compile(b"|".join(map(re.escape, longest_first))) if added else None
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows one after the other, and where each row's begin (rows + 1)."""
+        raw = data.tobytes()
+        if self._pattern is None or not self._pattern.search(raw):
+            return self.words(data, offsets)
+        rows = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+        found = [(m.start(), m.end(), self.added[m.group()]) for a, b in rows for m in self._pattern.finditer(raw, a, b)]
+        begin, end, token = np.array(found, np.int64).reshape(-1, 3).T
+        bounds = np.sort(np.concatenate([offsets, begin, end]))
+        ids, at = self.words(data, bounds)
+        part = np.searchsorted(bounds, begin, "right") - 1  # the parts that are added tokens: one id each
+        size, lone = np.diff(at), np.zeros(len(bounds) - 1, bool)
+        lone[part] = True
+        dropped = np.repeat(lone, size)
+        dropped[at[part]] = False
+        ids[at[part]] = token
+        first = np.concatenate([[0], np.cumsum(np.where(lone, 1, size))])
+        return ids[~dropped], first[np.searchsorted(bounds, offsets)]
+
+
+def text_encoder(vocabulary: str) -> TextEncoder:
+    """The encoder of a vocabulary file's content, kept by the Python worker."""
     if (key := hash(vocabulary)) not in _encoders:
-        model = Tokenizer.from_str(vocabulary).model
+        library = Tokenizer.from_str(vocabulary)
+        model, added = library.model, library.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError("added tokens are only known as plain strings, found in the text as it is")
 
         def encode(words: list[bytes]) -> list[list[int]]:
             return [[t.id for t in model.tokenize(w.decode("latin-1").translate(_STAND_IN))] for w in words]
 
         _encoders.clear()
-        _encoders[key] = WordEncoder(encode, REMEMBERED)
+        _encoders[key] = TextEncoder(WordEncoder(encode, REMEMBERED), {t.content.encode(): i for i, t in added.items()})
     return _encoders[key]
 
 
@@ -51,7 +84,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, limit: int, end_id: int, key:
     names = [key, "start", "length", "ids_crc32", "doc_tokens", "_part", "_at", *["ids"] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen = word_encoder(vocabulary), TaskContext.get().partitionId(), np.zeros(limit + 1, np.int64)
+        encoder, part, seen = text_encoder(vocabulary), TaskContext.get().partitionId(), np.zeros(limit + 1, np.int64)
         for rows, data, offsets in chunks(batches, text):
             ids, first = encoder(data, offsets)
             ids = np.insert(ids, first[1:], end_id).astype("<u4")
@@ -150,7 +183,7 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece of a document: `key`, `start`, `length`, `ids_crc32`, `doc_tokens`, `sequence_id`, `offset`.
 
-    `vocabulary` is the content of a byte-level tokenizer file. A document is its ids and `end_id`, cut every
+    `vocabulary` is the content of a byte-level tokenizer file, whose added tokens are found in the texts. A document is its ids and `end_id`, cut every
     `limit` ids; a null or empty text is `end_id` alone. Sequences hold at most `limit` ids and have no gaps.
     Null keys and repeated rows stay and are packed like any other; other columns are not read; an empty
     table gives no rows. With `with_ids` every piece carries its `ids`.
