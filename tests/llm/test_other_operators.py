@@ -116,6 +116,24 @@ def test_recall_on_embeddings(spark):
     assert all(got[k] <= n for k, n in true.items())
 
 
+def test_large_groups_are_whole(spark):
+    """Groups of copies, and of near copies that fill most of a shard, keep all their links."""
+    rng = np.random.default_rng(5)
+    one, other = rng.normal(size=(2, 16))
+    rows = [(i, one.tolist(), 0) for i in range(700)]
+    rows += [(1000 + i, (other + rng.normal(size=16) * 0.02).tolist(), 0) for i in range(1200)]
+    rows += [(3000 + i, rng.normal(size=16).tolist(), 0) for i in range(300)]
+    unit = np.array([v for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    true = dict(zip([k for k, _, _ in rows], ((unit @ unit.T >= 0.93).sum(1) - 1).tolist(), strict=True))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = {r["vec_id"]: r for r in neighbours.near_duplicates(df, 0.93).collect()}
+    assert all(got[k]["n_links"] == true[k] for k in range(700))
+    assert sum(got[k]["n_links"] for k in true) >= 0.99 * sum(true.values())
+    assert all(got[k]["n_links"] <= n for k, n in true.items())
+    assert {got[k]["component_id"] for k in range(700)} == {0}
+
+
 # --- 8
 
 

@@ -22,27 +22,39 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(-1, dim).astype(np.float64)
 
 
+def _distinct(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of each distinct vector, and which of them every vector is."""
+    whole = np.ascontiguousarray(vectors + 0.0)  # one kind of zero
+    _, first, which = np.unique(whole.view(np.dtype((np.void, whole.itemsize * whole.shape[1]))).ravel(), return_index=True, return_inverse=True)
+    return first, which.ravel()
+
+
 def _build(table: pa.Table) -> pa.Table:
-    """One row with the graph of a shard."""
+    """One row with the graph of a shard. Equal vectors are one node, whose rows lie one after the other."""
     table = table.combine_chunks()
     rows = table.column("row").to_numpy()
     dim = table.column("dim")[0].as_py()
     vectors = _matrix(table.column("vector").combine_chunks(), dim)
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    draw = (mix(rows.astype(np.uint64)) >> np.uint64(11)).astype(np.float64) / 2.0**53
+    first, which = _distinct(vectors)
+    distinct = vectors[first]
+    unit = distinct / np.linalg.norm(distinct, axis=1, keepdims=True)
+    draw = (mix(rows[first].astype(np.uint64)) >> np.uint64(11)).astype(np.float64) / 2.0**53
     graph, order = hnsw.build(unit, np.maximum(draw, 1e-12))
+    node = np.empty(len(order), np.int64)
+    node[order] = np.arange(len(order))
+    by_node = np.lexsort((rows, node[which]))
     return pa.Table.from_pydict({
-        "cell": table.column("cell")[:1], "shard": table.column("shard")[:1], "dim": [dim],
-        "rows": [rows[order].tobytes()], "vectors": [vectors[order].tobytes()],
+        "cell": table.column("cell")[:1], "shard": table.column("shard")[:1], "dim": [dim], "rows": [rows[by_node].tobytes()],
+        "sizes": [np.bincount(node[which], minlength=len(order)).astype(np.int64).tobytes()], "vectors": [distinct[order].tobytes()],
         "links": [[level.astype(np.int32).tobytes() for level in graph.links]],
     }, schema=_INDEX)
 
 
 _INDEX = pa.schema([
-    ("cell", pa.int64()), ("shard", pa.int32()), ("dim", pa.int32()), ("rows", pa.binary()), ("vectors", pa.binary()),
-    ("links", pa.list_(pa.binary())),
+    ("cell", pa.int64()), ("shard", pa.int32()), ("dim", pa.int32()), ("rows", pa.binary()), ("sizes", pa.binary()),
+    ("vectors", pa.binary()), ("links", pa.list_(pa.binary())),
 ])
-_INDEX_SQL = "cell long, shard int, dim int, rows binary, vectors binary, links array<binary>"
+_INDEX_SQL = "cell long, shard int, dim int, rows binary, sizes binary, vectors binary, links array<binary>"
 
 
 def _audit(found: list[np.ndarray], queries: np.ndarray, unit: np.ndarray, threshold: float, sample: np.ndarray) -> float:
@@ -52,51 +64,80 @@ def _audit(found: list[np.ndarray], queries: np.ndarray, unit: np.ndarray, thres
     return hit / max(int(true.sum()), 1)
 
 
+def _compared(queries: np.ndarray, unit: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """The true links of every query, by comparison with all vectors, in blocks."""
+    found, step = [], max(1, (4 << 20) // max(len(unit), 1))
+    for start in range(0, len(queries), step):
+        part = queries[start : start + step]
+        for q, like in zip(part, part @ unit.T, strict=True):
+            candidates = np.flatnonzero(like >= threshold - 1e-9)
+            found.append(candidates[unit[candidates] @ q >= threshold])
+    return found
+
+
 def _search(index: pa.Table, batch: pa.Table, threshold: float) -> pa.Table:
     """Per query the number of links into the shard, and links that connect what its links connect.
 
-    A beam that is full of links is doubled for its query. Then a sample, links first, is audited against all
-    vectors; while it misses its recall, all beams are doubled.
+    Equal queries are searched once. A beam that is full of links is doubled for its query. Then a sample, links
+    first, is audited against all vectors; while it misses its recall, all beams are doubled. Beams that would be
+    wider than an eighth of the shard's nodes give way to a comparison with all vectors, which misses nothing.
     """
     if not index.num_rows or not batch.num_rows:
         return _RESULT.empty_table()
     shard, batch = index.to_pylist()[0], batch.combine_chunks()
     dim = shard["dim"]
     ids, rows = np.frombuffer(shard["rows"], np.int64), batch.column("row").to_numpy()
+    sizes = np.frombuffer(shard["sizes"], np.int64)
     vectors = np.frombuffer(shard["vectors"], np.float64).reshape(-1, dim)
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    n = len(ids)
+    n = len(unit)
     links = [np.frombuffer(x, np.int32).reshape(n, -1).astype(np.int64) for x in shard["links"]]
     graph = hnsw.Graph(unit.astype(np.float32), links)
     raw = _matrix(batch.column("vector").combine_chunks(), dim)
-    queries = raw / np.linalg.norm(raw, axis=1, keepdims=True)
-    found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(rows)
-    beam, todo = min(BEAM, n), np.arange(len(rows))
+    first, which = _distinct(raw)
+    queries = raw[first] / np.linalg.norm(raw[first], axis=1, keepdims=True)
+    found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
+    beam, todo, exact = min(BEAM, n), np.arange(len(queries)), np.zeros(len(queries), bool)
     while len(todo):
         again = []
-        step = max(1, (16 << 20) // max(n, 1))
-        for start in range(0, len(todo), step):
-            part = todo[start : start + step]
-            near, _ = graph.search(queries[part].astype(np.float32), beam)
-            for q, candidates in zip(part, near, strict=True):
-                candidates = candidates[candidates >= 0]
-                hits = candidates[unit[candidates] @ queries[q] >= threshold]  # double precision decides
+        if beam > max(BEAM, n // 8):
+            exact[todo] = True
+            for q, hits in zip(todo, _compared(queries[todo], unit, threshold), strict=True):
                 found[q] = hits
-                if len(hits) == len(candidates) == beam < n:
-                    again.append(q)
+        else:
+            step = max(1, (16 << 20) // max(n, 1))
+            for start in range(0, len(todo), step):
+                part = todo[start : start + step]
+                near, _ = graph.search(queries[part].astype(np.float32), beam)
+                for q, candidates in zip(part, near, strict=True):
+                    candidates = candidates[candidates >= 0]
+                    hits = candidates[unit[candidates] @ queries[q] >= threshold]  # double precision decides
+                    found[q] = hits
+                    if len(hits) == len(candidates) == beam:
+                        again.append(q)
         todo = np.array(again, np.int64)
-        if not len(todo):
+        if not len(todo) and not exact.all():
+            walked = ~exact
             linked = np.array([len(f) > 1 for f in found])
-            sample = np.concatenate([np.flatnonzero(side)[:: max(1, side.sum() // AUDITED)] for side in (linked, ~linked)])
-            if beam < n and _audit(found, queries, unit, threshold, sample) < RECALL:
-                todo = np.arange(len(rows))
-        beam = min(2 * beam, n)
-    return _links(ids, rows, found)
+            sample = np.concatenate([np.flatnonzero(side)[:: max(1, side.sum() // AUDITED)] for side in (walked & linked, walked & ~linked)])
+            if _audit(found, queries, unit, threshold, sample) < RECALL:
+                todo = np.flatnonzero(walked)
+        beam *= 2
+    return _links(ids, sizes, rows, [found[i] for i in which])
+
 
+def _links(ids: np.ndarray, sizes: np.ndarray, rows: np.ndarray, found: list[np.ndarray]) -> pa.Table:
+    """Counts without the vector itself, and a spanning forest of the links between queries and shard.
 
-def _links(ids: np.ndarray, rows: np.ndarray, found: list[np.ndarray]) -> pa.Table:
-    """Counts without the vector itself, and a spanning forest of the links between queries and shard."""
-    counts = np.array([int((ids[f] != q).sum()) for f, q in zip(found, rows, strict=True)], np.int64)
+    A node stands for its first row. Each row is a query of its own shard once, where it meets its node; so the
+    other rows of a node are linked with the first one there.
+    """
+    first = np.cumsum(sizes) - sizes
+    order = np.argsort(ids)
+    place = order[np.minimum(np.searchsorted(ids, rows, sorter=order), len(ids) - 1)]
+    own = np.where(ids[place] == rows, np.searchsorted(first, place, "right") - 1, -1)  # node of a query of this shard
+    found = [f if o < 0 or o in f else np.append(f, o) for o, f in zip(own, found, strict=True)]
+    counts = np.array([int(sizes[f].sum()) - (o >= 0) for o, f in zip(own, found, strict=True)], np.int64)
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -107,7 +148,7 @@ def _links(ids: np.ndarray, rows: np.ndarray, found: list[np.ndarray]) -> pa.Tab
 
     a, b = [], []
     for q, f in zip(rows.tolist(), found, strict=True):
-        for x in ids[f].tolist():
+        for x in ids[first[f]].tolist():
             left, right = root(q), root(x)
             if left != right:
                 parent[left] = right
@@ -136,8 +177,8 @@ def near_duplicates(
     Two rows link if their labels are equal and not null and their cosine, in double precision, is found to be
     at least `threshold`. The vectors of a label are dealt to shards of about `shard_rows` rows by a hash; each
     shard has a graph, and all vectors of the label search each of its graphs in chunks. `component_id` is the
-    smallest key that links lead to, `kept` says that it is the row's own. All vectors are indexed; the search
-    is approximate, and audited against exact comparison (see `RECALL`).
+    smallest key that links lead to, `kept` says that it is the row's own. All vectors are indexed, equal ones of a
+    shard as one; the search is approximate, audited against exact comparison (see `RECALL`), and gives way to it.
 
     Vectors that are null, empty or zero or hold null or non-finite numbers, and rows with a null label or key,
     link with nothing; vectors of different lengths do not link. Repeated rows stay and link with each other
