@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.vectors import cosine
 from textloom.operators import reports, select
+from textloom.plans import sources
 from textloom.plans.tuning import repaired_lines
 from textloom.sources import readers, sinks
 from textloom.sources import reference_values as ref
@@ -136,6 +137,20 @@ def test_branches(spark, tmp_path):
     assert found == {("a", "r/a@master.py"), ("b", "r/b@main.py"), ("d", "r/d.py")}
 
 
+def test_archives_on_any_branch(spark, tmp_path):
+    code = "value = compute(1)\n" * 30
+    for name in ("a@develop", "b@7.1", "b@master", "c@canary", "c@main"):
+        (tmp_path / f"me__{name}.zip").write_bytes(archive({f"r/{name.replace('@', '_')}.py": code}))
+    named = spark.createDataFrame([("me", "c", "canary")], "owner string, repo string, branch string")
+    paths = [str(p) for p in tmp_path.iterdir()]
+
+    def keys(branches):
+        return {r.doc_key for r in sources.archives(spark, paths, branches=branches).collect()}
+
+    assert keys(None) == {"me/a/r/a_develop.py", "me/b/r/b_master.py", "me/c/r/c_main.py"}
+    assert keys(named) == {"me/a/r/a_develop.py", "me/b/r/b_master.py", "me/c/r/c_canary.py"}
+
+
 def test_line_ends_of_a_code_tree(spark, tmp_path):
     lines = [f"line {i} of the file" for i in range(40)]
     for name, end in (("lf", "\n"), ("crlf", "\r\n"), ("cr", "\r")):

@@ -31,12 +31,13 @@ def prepare_training(
     quotas: dict[str, int] | None = None,
     size: int = VOCABULARY_SIZE,
     min_frequency: int = MIN_FREQUENCY,
+    branches: DataFrame | None = None,
 ) -> DataFrame:
     """Everything below `output`: `dataset` (text), `dataset-keyed`, `vocabulary`, `merges` and `rows`.
 
     Vocabulary and rows come from the mixed dataset, so quotas hold for them too. Returns the build's report.
     """
-    report = build_corpus(spark, landed, store, f"{output}/dataset", quotas)
+    report = build_corpus(spark, landed, store, f"{output}/dataset", quotas, branches=branches)
     texts = spark.read.parquet(f"{output}/dataset-keyed")
     vocabulary, merges = learn_vocabulary(texts, size, min_frequency)
     sinks.replace_table(checked_vocabulary(vocabulary), f"{output}/vocabulary", "parquet")

@@ -37,8 +37,11 @@ def books(spark: SparkSession, paths: list[str]) -> DataFrame:
     return readers.book_fragments(readers.read_books(spark, paths))
 
 
-def archives(spark: SparkSession, paths: list[str], per_repo: int | None = None, max_bytes: int = ref.MAX_ENTRY_BYTES) -> DataFrame:
-    return readers.archive_fragments(readers.archive_entries(readers.read_archives(spark, paths), per_repo, max_bytes))
+def archives(
+    spark: SparkSession, paths: list[str], per_repo: int | None = None, max_bytes: int = ref.MAX_ENTRY_BYTES, branches: DataFrame | None = None
+) -> DataFrame:
+    entries = readers.archive_entries(readers.read_archives(spark, paths), per_repo, max_bytes, any_branch=True, branches=branches)
+    return readers.archive_fragments(entries)
 
 
 def local_code(spark: SparkSession, path: str) -> DataFrame:
@@ -88,9 +91,11 @@ def store_sources(
     caps: dict[str, int] | None = None,
     per_repo: int | None = None,
     max_entry_bytes: int = ref.MAX_ENTRY_BYTES,
+    branches: DataFrame | None = None,
 ) -> DataFrame:
     """Append the new fragments of every landed source to `store`, and the keys of the inputs to its ledger.
 
+    `branches` (`owner`, `repo`, `branch`) names the branch that is read if several of a repository landed together.
     An input in the ledger is not read again, also if it yielded nothing. `caps` bounds the rows of a source
     over all runs (the fixed values of `reference_values` are not applied unless given). Returns per source the
     new inputs that yielded fragments worth storing, those that did not, and the rows that its cap left out.
@@ -110,7 +115,7 @@ def store_sources(
             if not paths:
                 reports.append((source, 0, 0, 0))
                 continue
-            limits = (per_repo, max_entry_bytes) if source == "codigo_github" else ()
+            limits = (per_repo, max_entry_bytes, branches) if source == "codigo_github" else ()
             tried, found = materialised(tried, "tried"), read(spark, paths, *limits)
         else:
             tried, found = None, PLAIN[source](spark, landed[source])
@@ -143,13 +148,14 @@ def build_corpus(
     quotas: dict[str, int] | None = None,
     caps: dict[str, int] | None = None,
     per_repo: int | None = None,
+    branches: DataFrame | None = None,
 ) -> DataFrame:
     """Landed files to the mixed dataset at `output`, with its keys beside it at `<output>-keyed`.
 
     Returns per source, and in total, the stored fragments with this run's outcome: inputs that succeeded and
     failed, and rows that a cap left out. Without `quotas` and `caps` everything is kept.
     """
-    outcome = store_sources(spark, landed, store, caps, per_repo)
+    outcome = store_sources(spark, landed, store, caps, per_repo, branches=branches)
     stored = spark.read.parquet(f"{store}/fragments")
     mixed = mixed_dataset(stored, quotas)
     sinks.replace_table(mixed, f"{output}-keyed", "parquet")

@@ -216,14 +216,21 @@ def _with_branch(archives: DataFrame) -> DataFrame:
     return archives.select("owner", "repo", branch, "archive")
 
 
-def first_branches(index: DataFrame, branch: str = "main") -> DataFrame:
+def first_branches(index: DataFrame, branch: str = "main", any_branch: bool = False, branches: DataFrame | None = None) -> DataFrame:
     """Entries of one archive per repository: of the branches to try, the first whose archive can be read.
 
-    An archive without a branch in its name comes first.
+    An archive without a branch in its name comes first. `branches` (`owner`, `repo`, `branch`) names the branch
+    of a repository, others have `branch`. With `any_branch` archives on other branches come last, by name;
+    without it they are not read.
     """
-    rank = F.coalesce(F.array_position(select.branch_candidates(F.lit(branch)), F.col("branch")), F.lit(0))
-    tried = index.select("owner", "repo", "branch").distinct().withColumn("_try", F.when(F.col("branch").isNull(), 0).otherwise(rank))
-    keyed = tried.filter(F.col("branch").isNull() | (F.col("_try") > 0)).withColumn("_key", F.struct("owner", "repo"))
+    tried, wanted = index.select("owner", "repo", "branch").distinct(), F.lit(branch)
+    if branches is not None:
+        named = branches.groupBy("owner", "repo").agg(F.min("branch").alias("_wanted"))
+        tried, wanted = tried.join(named, ["owner", "repo"], "left"), F.coalesce("_wanted", wanted)
+    rank = F.coalesce(F.array_position(select.branch_candidates(wanted), F.col("branch")), F.lit(0))
+    other = F.col("branch").isNotNull() & (rank == 0)
+    tried = tried.withColumn("_try", F.struct(other.alias("other"), F.when(F.col("branch").isNull(), 0).otherwise(rank).alias("rank"), "branch"))
+    keyed = (tried if any_branch else tried.filter(~F.col("_try.other"))).withColumn("_key", F.struct("owner", "repo"))
     best = select.first_success(keyed, "_key", "_try", F.lit(True), ["branch"])
     best = best.select("_key.*", F.col("branch").alias("_branch"))
     same = (index["owner"] == best["owner"]) & (index["repo"] == best["repo"]) & index["branch"].eqNullSafe(best["_branch"])
@@ -236,14 +243,16 @@ def archive_entries(
     max_bytes: int = ref.MAX_ENTRY_BYTES,
     branch: str = "main",
     seed: int = ref.SEED,
+    any_branch: bool = False,
+    branches: DataFrame | None = None,
 ) -> DataFrame:
     """One row per chosen file of each repository: `owner, repo, path, size, content`.
 
     Size, extension and path are judged on the archives' own lists; with `per_repo`, so many of the wanted
     entries are picked by hash. Only chosen entries are unpacked. A damaged archive gives no rows, a damaged
-    entry is left out alone. `archives` is read twice.
+    entry is left out alone. `archives` is read twice. `first_branches` chooses a repository's archive.
     """
-    wanted = first_branches(archive_index(archives), branch).filter(
+    wanted = first_branches(archive_index(archives), branch, any_branch, branches).filter(
         select.wanted_entry(F.col("path"), F.col("size"), max_bytes)
     )
     if per_repo is not None:
