@@ -299,6 +299,14 @@ def test_packing(awkward, pairs, vocabulary):
     assert len(sequences) <= 1.02 * math.ceil(sum(r["length"] for r in got) / 64) + 1
 
 
+def test_rows_without_a_key_stay(spark):
+    text = "the same words in every one of these rows"
+    docs = [(None, text), (None, text), (None, None), (None, None), (None, ""), (5, text), (5, text), (6, text), (7, None), (7, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    got = multiset((r["doc_id"], r["text"]) for r in jaccard.one_of_each(df).collect())
+    assert got == Counter([*docs[:5], (5, text), (7, None)])
+
+
 def test_packing_added_tokens(spark, vocabulary):
     """The file's added token in the text has its own id, as in the library's default encoding."""
     end = "<|endoftext|>"

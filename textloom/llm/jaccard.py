@@ -248,8 +248,9 @@ def one_of_each(docs: DataFrame, num: int = 80, den: int = 100, words: int = 5,
     Rows with the same key and text are one. Rows with a null key, and documents without words, stay.
     """
     found = jaccard_components(docs, num, den, words, key, text, extra=0.25)
-    mark, other, hashed = (free_name(docs, name) for name in ("_text_hash", "_other_key", "_other_hash"))
+    mark, other, hashed, lone = (free_name(docs, name) for name in ("_text_hash", "_other_key", "_other_hash", "_lone"))
     gone = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias(other), F.col("row_hash").alias(hashed))
-    marked = docs.withColumn(mark, F.xxhash64(text))
+    # a row without a key repeats no other one
+    marked = docs.withColumn(mark, F.xxhash64(text)).withColumn(lone, F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
     left = marked.join(gone.hint("merge"), (F.col(key).cast("long") == F.col(other)) & (F.col(mark) == F.col(hashed)), "left_anti")
-    return left.dropDuplicates([key, mark]).select(*docs.columns)
+    return left.dropDuplicates([key, mark, lone]).select(*docs.columns)
