@@ -161,6 +161,21 @@ def test_passages(awkward, pairs, bucket, monkeypatch):
     assert multiset(tuple(r) for r in got.collect()) == multiset(brute_passages(short, 100))
 
 
+@pytest.mark.parametrize("bucket", [8 << 20, 3000])
+def test_passages_with_runs_of_nul(spark, bucket, monkeypatch):
+    """Texts that others continue with U+0000 only, so that they differ in length alone."""
+    monkeypatch.setattr(suffixes, "_BUCKET_BYTES", bucket)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(40):
+        x = "".join(rng.choice(list("abcdefgh \x00"), rng.integers(128, 170)))
+        rows += [(4 * i, x + "\x00" * 75), (4 * i + 1, x), (4 * i + 2, x + "\x00" * 75), (4 * i + 3, "\x00" * int(i) + x + "\x00" * 40)]
+    rows += [(1000 + i, "same start " + "\x00" * (180 + i)) for i in range(60)]  # one large group
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffixes.drop_repeated_passages(df, 200)
+    assert multiset(tuple(r) for r in got.collect()) == multiset(brute_passages(rows, 200))
+
+
 def test_passages_of_long_texts(awkward, pairs):
     long = [(k, t.encode()) for k, t in pairs if k in (410, 411)]
     times = Counter(hash(t[i : i + 200]) for _, t in long for i in range(len(t) - 199))

@@ -154,6 +154,11 @@ def _words(matrix: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.pad(matrix, ((0, 0), (0, pad)))).view(">u8").astype(np.uint64)
 
 
+def _held(size: np.ndarray, width: int) -> np.ndarray:
+    """Bytes of each row that are not padding, as the last word to compare: a row goes before its extension by NULs."""
+    return np.minimum(size, width)[:, None].astype(np.uint64)
+
+
 _SUFFIXES = "row_id long, row_hash long, first long, weight int, large boolean, anchor long, bytes binary"
 
 
@@ -190,7 +195,7 @@ def _bucket(batches: list[pa.RecordBatch], length: int, cut: bool) -> Iterator[p
     size, m = np.diff(bounds), len(table)
     passages = size - length + 1
     right, left = _rows_of_bytes(data, bounds[:-1] + at, size - at, length, 1), _rows_of_bytes(data, bounds[:-1] + at - 1, at, length - GRAM, -1)
-    order = multikey_order(_words(right))
+    order = multikey_order(np.concatenate([_words(right), _held(size - at, length)], axis=1))
     common = _common(right, size - at, order)
     group_in_order = np.concatenate([[0], np.cumsum(common < GRAM)])
     group = np.empty(m, np.int64)
@@ -198,7 +203,7 @@ def _bucket(batches: list[pa.RecordBatch], length: int, cut: bool) -> Iterator[p
     after, before = np.zeros(m, np.int64), np.zeros(m, np.int64)
     np.maximum.at(after, order[:-1], common)
     np.maximum.at(after, order[1:], common)
-    by_left = multikey_order(np.concatenate([group[:, None].astype(np.uint64), _words(left)], axis=1))
+    by_left = multikey_order(np.concatenate([group[:, None].astype(np.uint64), _words(left), _held(at, length - GRAM)], axis=1))
     near = np.where(group[by_left[:-1]] == group[by_left[1:]], _common(left, at, by_left), 0)
     np.maximum.at(before, by_left[:-1], near)
     np.maximum.at(before, by_left[1:], near)
