@@ -31,7 +31,7 @@ for _first in b"Aa":
     PARTS[_first : _first + 26] = False
 
 _ACCUMULATORS = 8 << 20  # numbers in the accumulators of a task
-_BLOCK = 500_000  # postings of a block of terms, or as many as the accumulators that it adds, if those are more
+_BLOCK = 50_000  # postings of a block of terms, or as many as the accumulators that it adds, if those are more
 _EXPANDED = 1 << 20  # postings scattered at once
 
 _COUNTS = "lang string, source string, term string, n long, docs long"
