@@ -10,6 +10,7 @@ from textloom.plans.corpus import FRAGMENT_KEY, learn_vocabulary
 from textloom.plans.examples import training_rows
 from textloom.plans.sources import build_corpus
 from textloom.sources import sinks
+from textloom.sources.reference_values import MAX_ENTRY_BYTES
 
 
 def checked_vocabulary(vocabulary: DataFrame) -> DataFrame:
@@ -32,12 +33,14 @@ def prepare_training(
     size: int = VOCABULARY_SIZE,
     min_frequency: int = MIN_FREQUENCY,
     branches: DataFrame | None = None,
+    caps: dict[str, int] | None = None,
+    max_entry_bytes: int = MAX_ENTRY_BYTES,
 ) -> DataFrame:
     """Everything below `output`: `dataset` (text), `dataset-keyed`, `vocabulary`, `merges` and `rows`.
 
     Vocabulary and rows come from the mixed dataset, so quotas hold for them too. Returns the build's report.
     """
-    report = build_corpus(spark, landed, store, f"{output}/dataset", quotas, branches=branches)
+    report = build_corpus(spark, landed, store, f"{output}/dataset", quotas, caps, branches=branches, max_entry_bytes=max_entry_bytes)
     texts = spark.read.parquet(f"{output}/dataset-keyed")
     vocabulary, merges = learn_vocabulary(texts, size, min_frequency)
     sinks.replace_table(checked_vocabulary(vocabulary), f"{output}/vocabulary", "parquet")

@@ -18,6 +18,7 @@ from textloom.queries import sqltext as S
 from textloom.session import shared_folder
 from textloom.sources import readers, sinks
 from textloom.sources import reference_values as ref
+from textloom.sources.archives import write_file
 
 
 def page_path(url: Column) -> Column:
@@ -98,8 +99,8 @@ def s3(spark, sf):
     return readers.code_tree_fragments(readers.code_tree_files(page_files(spark, sf).select("path", "content")))
 
 
-def zipped(files: DataFrame) -> DataFrame:
-    """One archive per file: a folder entry and the file itself."""
+def land_archives(files: DataFrame, folder: str) -> None:
+    """One archive per file, with a folder entry and the file itself, written by the executors below `folder`."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -108,11 +109,11 @@ def zipped(files: DataFrame) -> DataFrame:
                 with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
                     archive.writestr(zipfile.ZipInfo("src.py/"), "")
                     archive.writestr(row.path, row.content)
-                yield pd.DataFrame({"owner": [row.owner], "repo": [row.repo], "archive": [buffer.getvalue()]})
+                write_file(f"{folder}/{row.owner}__{row.repo}.zip", buffer.getvalue())
+            yield pd.DataFrame({"n": [len(frame)]})
 
-    return files.select("owner", "repo", "path", "content").mapInPandas(
-        pack, "owner string, repo string, archive binary"
-    )
+    written = files.select("owner", "repo", "path", "content").mapInPandas(pack, "n long")
+    written.agg(F.sum("n")).collect()
 
 
 ENTRIES_SQL = f"""SELECT split_part(path, '/', 1) AS owner, CAST(page_id AS VARCHAR) AS repo, path,
@@ -125,7 +126,9 @@ def page_archives(spark, sf) -> DataFrame:
     files = page_files(spark, sf).withColumns(
         {"owner": F.split("path", "/")[0], "repo": F.col("page_id").cast("string")}
     )
-    return zipped(files)
+    folder = new_path(spark, "archives")
+    land_archives(files, folder)
+    return readers.read_archives(spark, folder)
 
 
 @query("s4_archive_entries", f"SELECT * FROM ({ENTRIES_SQL})")

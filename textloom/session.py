@@ -44,19 +44,20 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path as that system's object."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, place = _file_system(spark, path)
+    fs, place = file_system(spark, path)
     return fs.exists(place)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """`path` as Spark reports it for the files it reads: absolute and with its scheme."""
-    fs, place = _file_system(spark, path)
+    fs, place = file_system(spark, path)
     return fs.makeQualified(place).toString().rstrip("/")
 
 

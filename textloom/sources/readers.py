@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,8 +23,9 @@ from textloom.functions.text import (
 )
 from textloom.operators import select
 from textloom.operators.mix import sample_per_group
-from textloom.session import path_exists, qualified
+from textloom.session import materialised, path_exists, qualified
 from textloom.sources import reference_values as ref
+from textloom.sources.archives import EntryReader, archive_list
 
 FRAGMENT_SCHEMA = "source string, doc_key string, frag_idx int, text string"
 
@@ -75,9 +73,8 @@ def article_text(payload: Column) -> Column:
 
 
 def read_payloads(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
-        F.input_file_name().alias("path"), F.col("value").alias("payload")
-    )
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select("path", decoded(F.col("content")).alias("payload"))
 
 
 def article_fragments(payloads: DataFrame, key: str, payload: str = "payload") -> DataFrame:
@@ -89,13 +86,18 @@ def article_fragments(payloads: DataFrame, key: str, payload: str = "payload") -
 # --- books -----------------------------------------------------------------------------------------
 
 
+def book_number(path: Column) -> Column:
+    """Number at the start of a file's name, NULL if there is none."""
+    return F.regexp_extract(base_name(path), r"^(\d+)", 1).try_cast("int")
+
+
 def read_books(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Whole text files named `<book id>-<rank>.txt`, one row per landed copy of a book."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = base_name(F.col("path"))
     return files.select(
-        F.regexp_extract(name, r"^(\d+)", 1).cast("int").alias("book_id"),
-        F.regexp_extract(name, r"^\d+-(\d+)", 1).cast("int").alias("url_rank"),
+        book_number(F.col("path")).alias("book_id"),
+        F.regexp_extract(name, r"^\d+-(\d+)", 1).try_cast("int").alias("url_rank"),
         decoded(F.col("content")).alias("text"),
     )
 
@@ -123,22 +125,31 @@ def _wanted_path(root: str | None) -> Column:
     return select.code_extension(path) & select.wanted_name(path) & in_tree
 
 
-def read_code_tree(spark: SparkSession, root: str, judge_root: bool = True) -> DataFrame:
-    """Wanted files below `root`. The extension is checked while listing, the path before the text is decoded.
+def tree_glob() -> str:
+    """Name pattern of the files of a source tree."""
+    return f"*{{{','.join(_any_case(e) for e in ref.CODE_EXTENSIONS)}}}"
+
+
+def below(spark: SparkSession, root: str, path: Column) -> Column:
+    """A listed path without its root."""
+    return F.substring(path, F.lit(len(qualified(spark, root)) + 2), F.length(path))
+
+
+def read_code_tree(spark: SparkSession, root: str, judge_root: bool = True, paths: list[str] | None = None) -> DataFrame:
+    """Wanted files below `root`, or those of them in `paths`. The extension is checked while listing, the path before the text is decoded.
 
     The directory rule looks at whole paths, so a root such as `/tmp/x` rules out all of its directories;
     without `judge_root` it looks at paths relative to the root.
     """
-    wanted = ",".join(_any_case(e) for e in ref.CODE_EXTENSIONS)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{{{wanted}}}")
-        .load(root)
+        .option("pathGlobFilter", tree_glob())
+        .load(root if paths is None else paths)
     )
     base = qualified(spark, root)
     if not judge_root:
-        files = files.withColumn("path", F.substring("path", F.lit(len(base) + 2), F.length("path")))
+        files = files.withColumn("path", below(spark, root, F.col("path")))
     # files are read in text mode: every kind of line end counts as one line feed
     text = F.regexp_replace(decoded(F.col("content")), "\r\n?", "\n")
     return files.filter(_wanted_path(base if judge_root else "")).select(
@@ -163,9 +174,10 @@ def code_tree_fragments(files: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Zip archives named `<owner>__<repo>.zip` or, for a certain branch, `<owner>__<repo>@<branch>.zip`.
+    """Landed zip archives, not opened yet: `owner`, `repo`, `branch` and `file`.
 
-    Everything behind the first `__` is the repository's name. Without a branch in the name `branch` is NULL.
+    They are named `<owner>__<repo>.zip` or, for a certain branch, `<owner>__<repo>@<branch>.zip`. Everything behind
+    the first `__` is the repository's name. Without a branch in the name `branch` is NULL.
     """
     files = (
         spark.read.format("binaryFile")
@@ -173,7 +185,7 @@ def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("pathGlobFilter", "*.zip")
         .load(path)
     )
-    return files.select(*archive_name(F.col("path")), F.col("content").alias("archive"))
+    return files.select(*archive_name(F.col("path")), F.col("path").alias("file"))
 
 
 def archive_name(path: Column) -> list[Column]:
@@ -188,32 +200,25 @@ def archive_name(path: Column) -> list[Column]:
     ]
 
 
-UNREADABLE = (zipfile.BadZipFile, zlib.error, NotImplementedError, RuntimeError, EOFError, OSError)
+INDEX_SCHEMA = "owner string, repo string, branch string, file string, path string, size long, at long, packed long"
 
 
 def archive_index(archives: DataFrame) -> DataFrame:
-    """The archives' own lists of files, without unpacking: one row per entry; a damaged archive gives none."""
+    """The archives' own lists of files, one row per entry with its place; a damaged archive gives none.
+
+    The executors read the lists from the ends of the files, so a large archive costs no more than its list.
+    """
 
     def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(row.archive)) as archive:
-                        rows = [(e.filename, e.file_size) for e in archive.infolist() if not e.is_dir()]
-                except UNREADABLE:
-                    continue
-                found = pd.DataFrame(rows, columns=["path", "size"])
-                yield found.assign(owner=row.owner, repo=row.repo, branch=row.branch)[INDEX_COLUMNS]
-
-    return _with_branch(archives).mapInPandas(listed, "owner string, repo string, branch string, path string, size long")
-
+                found = pd.DataFrame(list(archive_list(row.file)), columns=["path", "size", "at", "packed"])
+                yield found.assign(owner=row.owner, repo=row.repo, branch=row.branch, file=row.file)[INDEX_COLUMNS]
 
-INDEX_COLUMNS = ["owner", "repo", "branch", "path", "size"]
+    return archives.select("owner", "repo", "branch", "file").mapInPandas(listed, INDEX_SCHEMA)
 
 
-def _with_branch(archives: DataFrame) -> DataFrame:
-    branch = F.col("branch") if "branch" in archives.columns else F.lit(None).cast("string").alias("branch")
-    return archives.select("owner", "repo", branch, "archive")
+INDEX_COLUMNS = ["owner", "repo", "branch", "file", "path", "size", "at", "packed"]
 
 
 def first_branches(index: DataFrame, branch: str = "main", any_branch: bool = False, branches: DataFrame | None = None) -> DataFrame:
@@ -221,20 +226,53 @@ def first_branches(index: DataFrame, branch: str = "main", any_branch: bool = Fa
 
     An archive without a branch in its name comes first. `branches` (`owner`, `repo`, `branch`) names the branch
     of a repository, others have `branch`. With `any_branch` archives on other branches come last, by name;
-    without it they are not read.
+    without it they are not read. Of several files on one branch the first by path is taken.
     """
-    tried, wanted = index.select("owner", "repo", "branch").distinct(), F.lit(branch)
+    tried, wanted = index.select("owner", "repo", "branch", "file").distinct(), F.lit(branch)
     if branches is not None:
         named = branches.groupBy("owner", "repo").agg(F.min("branch").alias("_wanted"))
         tried, wanted = tried.join(named, ["owner", "repo"], "left"), F.coalesce("_wanted", wanted)
     rank = F.coalesce(F.array_position(select.branch_candidates(wanted), F.col("branch")), F.lit(0))
     other = F.col("branch").isNotNull() & (rank == 0)
-    tried = tried.withColumn("_try", F.struct(other.alias("other"), F.when(F.col("branch").isNull(), 0).otherwise(rank).alias("rank"), "branch"))
+    order = F.struct(other.alias("other"), F.when(F.col("branch").isNull(), 0).otherwise(rank).alias("rank"), "branch", "file")
+    tried = tried.withColumn("_try", order)
     keyed = (tried if any_branch else tried.filter(~F.col("_try.other"))).withColumn("_key", F.struct("owner", "repo"))
-    best = select.first_success(keyed, "_key", "_try", F.lit(True), ["branch"])
-    best = best.select("_key.*", F.col("branch").alias("_branch"))
-    same = (index["owner"] == best["owner"]) & (index["repo"] == best["repo"]) & index["branch"].eqNullSafe(best["_branch"])
-    return index.join(best, same, "left_semi")
+    best = select.first_success(keyed, "_key", "_try", F.lit(True), ["file"]).select("file")
+    return index.join(best, "file", "left_semi")
+
+
+def chosen_entries(index: DataFrame, per_repo: int | None = None, max_bytes: int = ref.MAX_ENTRY_BYTES, seed: int = ref.SEED) -> DataFrame:
+    """Entries of an index that size, extension and path admit; with `per_repo`, so many of them picked by hash."""
+    wanted = index.filter(select.wanted_entry(F.col("path"), F.col("size"), max_bytes))
+    return wanted if per_repo is None else sample_per_group(wanted, ["owner", "repo"], ["path"], per_repo, seed)
+
+
+def unpacked(entries: DataFrame) -> DataFrame:
+    """`owner, repo, path, size, content` of the entries of an index; a damaged entry is left out alone.
+
+    Tasks get ranges of entries of about `RANGE_BYTES`, in the order of their files, whatever the sizes of the
+    archives are, and go from entry to entry by seeking. `entries` is read more than once: a stored table.
+    """
+    total = entries.agg(F.sum(F.col("packed") + 1)).first()[0] or 0
+    ranges = max(entries.sparkSession.sparkContext.defaultParallelism, 1 + total // RANGE_BYTES)
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files = EntryReader()
+        for frame in frames:
+            rows = []
+            for row in frame.itertuples(index=False):
+                raw = files.read(row.file, row.at, row.packed, row.size)
+                if raw is not None:
+                    rows.append((row.owner, row.repo, row.path, row.size, raw.decode("utf-8", errors="ignore")))
+            yield pd.DataFrame(rows, columns=["owner", "repo", "path", "size", "content"])
+        files.close()
+
+    placed = entries.repartitionByRange(ranges, "file", "at").sortWithinPartitions("file", "at")
+    return placed.mapInPandas(unpack, "owner string, repo string, path string, size long, content string")
+
+
+#: Compressed bytes that a task unpacks.
+RANGE_BYTES = 64 << 20
 
 
 def archive_entries(
@@ -248,34 +286,12 @@ def archive_entries(
 ) -> DataFrame:
     """One row per chosen file of each repository: `owner, repo, path, size, content`.
 
-    Size, extension and path are judged on the archives' own lists; with `per_repo`, so many of the wanted
-    entries are picked by hash. Only chosen entries are unpacked. A damaged archive gives no rows, a damaged
-    entry is left out alone. `archives` is read twice. `first_branches` chooses a repository's archive.
+    `archives` comes from `read_archives`. The archives' lists are read once and stored; size, extension and path are
+    judged on them. Only chosen entries are unpacked, each from its own place, so no archive is read whole or held
+    in a row. A damaged archive gives no rows. `first_branches` chooses a repository's archive.
     """
-    wanted = first_branches(archive_index(archives), branch, any_branch, branches).filter(
-        select.wanted_entry(F.col("path"), F.col("size"), max_bytes)
-    )
-    if per_repo is not None:
-        wanted = sample_per_group(wanted, ["owner", "repo"], ["path"], per_repo, seed)
-    lists = wanted.groupBy("owner", "repo", "branch").agg(F.collect_list("path").alias("_paths"))
-    lists = lists.select(F.col("owner").alias("_owner"), F.col("repo").alias("_repo"), F.col("branch").alias("_branch"), "_paths")
-
-    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                rows = []
-                with zipfile.ZipFile(io.BytesIO(row.archive)) as archive:
-                    for path in row.paths:
-                        try:
-                            raw = archive.read(path)
-                        except UNREADABLE:
-                            continue
-                        rows.append((row.owner, row.repo, path, archive.getinfo(path).file_size, raw.decode("utf-8", errors="ignore")))
-                yield pd.DataFrame(rows, columns=["owner", "repo", "path", "size", "content"])
-
-    same = (F.col("owner") == F.col("_owner")) & (F.col("repo") == F.col("_repo")) & F.col("branch").eqNullSafe(F.col("_branch"))
-    chosen = _with_branch(archives).join(lists, same).select("owner", "repo", "archive", F.col("_paths").alias("paths"))
-    return chosen.mapInPandas(unpack, "owner string, repo string, path string, size long, content string")
+    index = first_branches(materialised(archive_index(archives), "archive-index"), branch, any_branch, branches)
+    return unpacked(materialised(chosen_entries(index, per_repo, max_bytes, seed), "archive-entries"))
 
 
 def archive_fragments(entries: DataFrame) -> DataFrame:
