@@ -50,3 +50,25 @@ def test_files_per_batch_do_not_matter(spark, tmp_path):
         store_batches(stream, cut, store, f"{store}-ledger", f"{store}-progress").awaitTermination()
         got.append(sorted((r.doc_key, r.text) for r in spark.read.parquet(store).collect()))
     assert got[0] == got[1] and [k for k, _ in got[0]] == ["k1", "k2"] and "later" not in got[0][0][1]
+
+
+def test_repeated_keys_in_a_later_batch(spark, tmp_path):
+    """Two files of a later batch hold the same new key, and rows without a key come with each."""
+    landing = tmp_path / "landing"
+    store, ledger = str(tmp_path / "store"), str(tmp_path / "ledger")
+
+    def run():
+        def cut(batch):
+            return fragments(batch, F.col("source"), F.col("doc_key"), F.array("text"))
+
+        stream = landed_stream(spark, str(landing), files_per_batch=10)
+        store_batches(stream, cut, store, ledger, str(tmp_path / "progress")).awaitTermination()
+        return sorted((str(r.doc_key), "later" in r.text) for r in spark.read.parquet(store).collect())
+
+    land(landing, "a.json", ["k1", None])
+    assert run() == [("None", False), ("k1", False)]
+    land(landing, "b.json", ["k2", "k1", None])
+    for name in ("c.json", "d.json"):
+        (landing / name).write_text((landing / "b.json").read_text().replace("text of", "later text of"))
+    assert run() == [("None", False), ("None", False), ("None", True), ("None", True), ("k1", False), ("k2", False)]
+    assert sorted(r.key for r in spark.read.parquet(ledger).collect()) == ["k1", "k2"]

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators import select
+from textloom.plans.sources import store_sources
 from textloom.plans.tuning import repaired_lines
 from textloom.queries import query, table, wide_table
 from textloom.queries import sqltext as S
@@ -19,6 +20,7 @@ from textloom.session import shared_folder
 from textloom.sources import readers, sinks
 from textloom.sources import reference_values as ref
 from textloom.sources.archives import write_file
+from textloom.sources.store import FragmentStore
 
 
 def page_path(url: Column) -> Column:
@@ -328,6 +330,41 @@ def k6(spark, sf):
     return stored.select("epoch", F.round("train_loss", 6).alias("train_loss"))
 
 
+# --- plans ------------------------------------------------------------------------------------------
+
+
+def land_books(spark, sf) -> str:
+    """One book per source of the documents, its paragraphs in order, as files of a folder."""
+    docs = table(spark, sf, "documents").groupBy("source").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("docs"))
+    books = docs.select(F.substring("source", 4, 10).alias("book"), F.array_join("docs.text", "\n\n").alias("text"))
+    folder = new_path(spark, "books")
+
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                write_file(f"{folder}/{row.book}-0.txt", row.text.encode())
+            yield pd.DataFrame({"n": [len(frame)]})
+
+    books.mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    return folder
+
+
+@query(
+    "e1_capped_then_uncapped",
+    S.prose_of(
+        f"SELECT substr(source, 4) AS k, string_agg(text, {S.NL} || {S.NL} ORDER BY doc_id) AS raw FROM documents GROUP BY source"
+    )
+    + f" SELECT 'gutenberg' AS source, k AS doc_key, frag_idx, text FROM packed WHERE length({S.strip('text')}) > 50",
+)
+def e1_capped(spark, sf):
+    """A run with a cap, then one without: nothing that the cap left out is lost, and nothing is stored twice."""
+    landed, store = {"gutenberg": land_books(spark, sf)}, new_path(spark, "store")
+    store_sources(spark, landed, store, caps={"gutenberg": 60})
+    for _ in range(2):  # the third run finds nothing new
+        store_sources(spark, landed, store)
+    return FragmentStore(spark, store).fragments()
+
+
 # --- F -----------------------------------------------------------------------------------------------
 
 

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from textloom.operators.select import pending, worth_caching
-from textloom.session import path_exists
+from textloom.operators.select import worth_caching
 
 LANDED_SCHEMA = "source string, doc_key string, text string"
-LEDGER_SCHEMA = "source string, key string, batch long"
 
 
 def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000, schema: str = LANDED_SCHEMA) -> DataFrame:
@@ -20,14 +20,36 @@ def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000, s
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def _one_per_key(batch: DataFrame) -> DataFrame:
-    """Of the rows of a batch with the same source and key, the one of the first file, then the smallest text."""
-    named = batch.withColumn("_file", F.input_file_name())
-    rest = [c for c in batch.columns if c not in ("source", "doc_key")]
-    first = F.min(F.struct("_file", *rest)).alias("_first")
-    keyed = named.filter("doc_key IS NOT NULL").groupBy("source", "doc_key").agg(first)
-    kept = keyed.select("source", "doc_key", "_first.*").drop("_file").select(*batch.columns)
-    return kept.unionByName(batch.filter("doc_key IS NULL"))
+def _rank(value) -> tuple:
+    """Order of values as Spark has it in a struct: nulls first."""
+    missing = value is None or value != value
+    return not missing, "" if missing else value
+
+
+def first_per_key(landed: DataFrame) -> DataFrame:
+    """A stream's rows without those whose source and key came before; rows without a key are all kept.
+
+    The state store holds, per key, the file that it came from, so a batch looks up its own keys only, however many
+    there have been. Of rows with a new key in one batch the one of the first file by name stays, then the smallest.
+    """
+    columns = landed.columns
+    named = landed.withColumn("_file", F.col("_metadata.file_path"))
+    order = ["_file", *[c for c in columns if c not in ("source", "doc_key")]]
+
+    def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best, place = None, None
+        for frame in frames:
+            ranks = [tuple(map(_rank, row)) for row in frame[order].itertuples(index=False)]
+            at = min(range(len(ranks)), key=ranks.__getitem__)
+            if best is None or ranks[at] < place:
+                best, place = frame.iloc[[at]], ranks[at]
+        if best is not None and not state.exists:
+            state.update((best["_file"].iloc[0],))
+            yield best[columns]
+
+    keyed = named.filter("doc_key IS NOT NULL").groupBy("source", "doc_key")
+    kept = keyed.applyInPandasWithState(first, landed.schema, "file string", "append", GroupStateTimeout.NoTimeout)
+    return kept.unionByName(named.filter("doc_key IS NULL").select(*columns))
 
 
 def store_batches(
@@ -39,20 +61,18 @@ def store_batches(
 ) -> StreamingQuery:
     """Process what is new and stop. A later run continues where this one ended.
 
-    The checkpoint keeps a file from being read twice, the ledger of earlier batches a key that lands again
-    in another file. Every micro-batch overwrites its own folder, fragments first and then the keys it
-    finished. A batch that is repeated after a failure replaces its own output, so nothing is stored twice.
-    Of rows with the same key the one of the first file by name counts, in one batch as over several, so the
-    result does not depend on the number of files per batch. Rows without a key are all kept.
+    The checkpoint keeps a file from being read twice and, in its state store, a key that lands again from being
+    stored twice (`first_per_key`). Every micro-batch overwrites its own folder, fragments first and then the keys
+    it finished; a batch that is repeated after a failure starts from the same state and replaces its own output. Of
+    rows with the same key the one of the first file by name counts, in one batch as over several, so the result does
+    not depend on the number of files per batch. The ledger is a record for readers; no batch reads it.
+
+    The number of state partitions is that of the shuffle partitions of the first run. With very many keys, set
+    `spark.sql.streaming.stateStore.providerClass` to the RocksDB provider, which keeps them on disk.
     """
 
     def store_batch(batch: DataFrame, number: int) -> None:
-        new = _one_per_key(batch)
-        if path_exists(batch.sparkSession, ledger):
-            finished = batch.sparkSession.read.schema(LEDGER_SCHEMA).parquet(ledger)
-            earlier = finished.filter(F.col("batch") < number).withColumnRenamed("key", "doc_key")
-            new = pending(batch, earlier, ["source", "doc_key"])
-        new = new.persist()  # the fragments and the keys come from the same reading
+        new = batch.persist()  # the fragments and the keys come from the same reading
         try:
             kept = to_fragments(new).filter(worth_caching(F.col("text")))
             kept.write.mode("overwrite").parquet(f"{store}/batch={number}")
@@ -62,7 +82,7 @@ def store_batches(
             new.unpersist()
 
     return (
-        landed.writeStream.foreachBatch(store_batch)
+        first_per_key(landed).writeStream.foreachBatch(store_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
