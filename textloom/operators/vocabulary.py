@@ -6,10 +6,11 @@ A word is held as a string with one character per symbol (`symbol`). Merging a p
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache, reduce
 from heapq import heapify, heappop, heappush
-from operator import or_
+from itertools import pairwise
+from operator import itemgetter, or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,8 +22,12 @@ from textloom.session import materialised
 
 VOCABULARY_SIZE = 32_000
 MIN_FREQUENCY = 10
-#: Symbols of the words that the driver holds at a time in training, whatever the size of the corpus.
+#: Symbols of the words that a task holds at a time in training, whatever the size of the corpus.
 HELD_SYMBOLS = 4_000_000
+#: Pairs, and links between them, that the driver sees in a round of training.
+LIVE_PAIRS = 100_000
+#: Tasks that bring the links of all words together.
+FOREST_TASKS = 8
 
 # Fixed value: the word split of byte-level vocabularies (letters, digits, contractions, other, blanks). The
 # alternatives that begin alike keep their order; letters come first because most words are.
@@ -200,50 +205,113 @@ def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     return words.select(w.alias("w"), "freq")
 
 
-def _floor(words: DataFrame, min_frequency: int, held_symbols: int, least: int) -> int | None:
-    """The lowest count such that the words with a pair at least so frequent have at most `held_symbols` symbols.
+def _live_pairs(words: DataFrame, least: int) -> tuple[list[tuple[str, int, int]], bool]:
+    """The most frequent pairs, at most `LIVE_PAIRS`, with their counts and the symbols of their words, in the order
+    in which they would be merged; and whether these are all that occur `least` times. Counts are not cut in between."""
+    counts = _pairs(words).groupBy("pair").agg(F.sum("freq").alias("n"), F.sum(F.length("w")).alias("load"))
+    first = counts.filter(F.col("n") >= least).orderBy(F.col("n").desc(), "pair").limit(LIVE_PAIRS + 1).toPandas()
+    rows = list(zip(first["pair"], first["n"].tolist(), first["load"].tolist(), strict=True))
+    if len(rows) <= LIVE_PAIRS:
+        return rows, True
+    return [r for r in rows if r[1] > rows[-1][1]], False
 
-    None if fewer than `least` pairs are that frequent.
+
+class Joined:
+    """Sets of numbers that links have joined."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = i = self.up[self.up[i]]
+        return i
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.up[b] = a
+        return a != b
+
+
+def _forest(links: Iterable[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """Of links (a, b), a < b, the fewest that join the same numbers, whichever number the links are cut at."""
+    joined = Joined(n)
+    return [(a, b) for a, b in sorted(links, key=itemgetter(1)) if joined.join(a, b)]
+
+
+def _shared_words(words: DataFrame, pairs: list[str]) -> list[tuple[int, int]]:
+    """Links between pairs that words have in common, by their places in `pairs`: a forest of them.
+
+    Every task sends a forest of at most one link per pair, and few tasks merge those, so what reaches the driver does
+    not grow with the words.
     """
-    pairs = _pairs(words).groupBy("pair").agg(F.sum("freq").alias("n"), F.sum(F.length("w")).alias("load"))
-    steps = pairs.filter(F.col("n") >= min_frequency).groupBy("n").agg(F.sum("load").alias("load"), F.count("*").alias("pairs"))
-    floor, load, found = None, 0, 0
-    for row in steps.orderBy(F.col("n").desc()).limit(100_000).collect():
-        load, found = load + row.load, found + row.pairs
-        if load > held_symbols:
-            found -= row.pairs
+    place, n = {pair: i for i, pair in enumerate(pairs)}, len(pairs)
+
+    def of_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        links: set[tuple[int, int]] = set()
+        for frame in frames:
+            for w in frame["w"]:
+                found = sorted({place[p] for p in map("".join, pairwise(w)) if p in place})
+                links.update(pairwise(found))  # the first pairs of a word are linked without the later ones
+            if len(links) > 4 * n:
+                links = set(_forest(links, n))
+        yield pd.DataFrame(_forest(links, n), columns=["a", "b"], dtype="int32")
+
+    def of_links(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        links: set[tuple[int, int]] = set()
+        for frame in frames:
+            links = set(_forest(links.union(zip(frame["a"].tolist(), frame["b"].tolist(), strict=True)), n))
+        yield pd.DataFrame(_forest(links, n), columns=["a", "b"], dtype="int32")
+
+    found = words.select("w").mapInPandas(of_words, "a int, b int").repartition(FOREST_TASKS).mapInPandas(of_links, "a int, b int").toPandas()
+    return list(zip(found["a"].tolist(), found["b"].tolist(), strict=True))
+
+
+def _band(live: list[tuple[str, int, int]], links: list[tuple[int, int]], held_symbols: int) -> tuple[int, list[int]]:
+    """How many of the live pairs, the first ones, fall into groups without a common word whose words have at most
+    `held_symbols` symbols each, and the group of each of them."""
+    joined, load, at = Joined(len(live)), [n for _, _, n in live], 0
+    links = sorted(links, key=itemgetter(1))
+    cut = len(live)
+    for i in range(len(live)):
+        while at < len(links) and links[at][1] == i:
+            a, b = joined.root(links[at][0]), joined.root(i)
+            if joined.join(a, b):
+                load[a] += load[b]
+            at += 1
+        if load[joined.root(i)] > held_symbols:
+            cut = next(j for j in range(i + 1) if live[j][1] == live[i][1])
             break
-        floor = row.n
-    return floor if found >= least else None
-
-
-def _train_held(
-    words: list[tuple[str, int]],
-    floor: int,
-    whole: bool,
-    size: int,
-    names: list[str],
-    tokens: dict[str, int],
-    merges: list[tuple[int, int, int, int]],
-) -> list[tuple[str, int]]:
-    """Merges one pair at a time while one makes up `floor` or more; returns the words as they are then.
-
-    `words` are all words with a pair that frequent (`whole`: all words there are). A merge changes only words
-    that hold its pair, and every pair it creates lies in them, so these words alone decide all merges down to
-    `floor`. Only a pair whose text is a token already raises counts elsewhere, too: after it the words must be
-    chosen again unless they are the whole table. Counts are kept by what a merge changes.
+    groups = Joined(cut)
+    for a, b in links:
+        if b < cut:
+            groups.join(a, b)
+    return cut, [groups.root(i) for i in range(cut)]
+
+
+def _merges_of_group(
+    words: list[tuple[str, int]], floor: int, limit: int, names: list[str], tokens: dict[str, int], alone: bool
+) -> list[tuple[int, int, int]]:
+    """Merges one pair at a time while one makes up `floor` or more: count and the two ids of each.
+
+    `words` are all words with a pair that frequent that is linked to theirs. A merge changes only words that hold
+    its pair, and every pair it creates lies in them, so these words alone decide their merges down to `floor`. New
+    tokens get the next ids here, in their order; the caller gives them their ids. Only a pair whose text is a token
+    already raises counts in other words, too: it is the last merge unless these are all words (`alone`). Counts
+    are kept by what a merge changes.
     """
     spelled, freq = [w for w, _ in words], [f for _, f in words]
     counts: dict[str, int] = {}
     places: dict[str, set[int]] = {}
     for i, (w, f) in enumerate(words):
-        for at in range(len(w) - 1):
-            pair = w[at : at + 2]
+        for pair in map("".join, pairwise(w)):
             counts[pair] = counts.get(pair, 0) + f
             places.setdefault(pair, set()).add(i)
     heap = [(-n, pair) for pair, n in counts.items() if n >= floor]
     heapify(heap)
-    while heap and len(names) < size:
+    base, texts, own = len(names), [], {}
+    out: list[tuple[int, int, int]] = []
+    while heap and len(texts) < limit:
         n, pair = heappop(heap)
         now = counts[pair]
         if now != -n:  # it has changed since; a count that rose has an entry of its own
@@ -251,14 +319,16 @@ def _train_held(
                 heappush(heap, (-now, pair))
             continue
         a, b = pair
-        left, right = symbol_id(a), symbol_id(b)
-        text = names[left] + names[right]
-        known = text in tokens
-        if not known:
-            tokens[text] = len(names)
-            names.append(text)
-        merges.append((len(merges), left, right, tokens[text]))
-        new = symbol(tokens[text])
+        ids = symbol_id(a), symbol_id(b)
+        text = "".join(names[i] if i < base else texts[i - base] for i in ids)
+        out.append((now, *ids))
+        known = tokens.get(text, own.get(text))
+        if known is None:
+            known = own[text] = base + len(texts)
+            texts.append(text)
+        elif not alone:
+            break
+        new = symbol(known)
         change: dict[str, int] = {}
         for i in places.pop(pair):
             parts, f = spelled[i].split(pair), freq[i]
@@ -282,9 +352,113 @@ def _train_held(
             counts[other] = counts.get(other, 0) + d
             if d > 0 and counts[other] >= floor:
                 heappush(heap, (-counts[other], other))
-        if known and not whole:
-            break
-    return list(zip(spelled, freq, strict=True))
+    return out
+
+
+class Vocabulary:
+    """Token texts by id, ids by text, and the merges so far: what training has decided."""
+
+    def __init__(self, names: list[str]):
+        self.names, self.tokens = names, {t: i for i, t in enumerate(names)}
+        self.merges: list[tuple[int, int, int, int]] = []
+
+    def merge(self, left: int, right: int) -> tuple[int, bool]:
+        """Id of the merged token, and whether its text was a token before."""
+        text = self.names[left] + self.names[right]
+        known = text in self.tokens
+        if not known:
+            self.tokens[text] = len(self.names)
+            self.names.append(text)
+        self.merges.append((len(self.merges), left, right, self.tokens[text]))
+        return self.tokens[text], known
+
+
+def _interleaved(groups: dict[int, list[tuple[int, int, int]]], found: Vocabulary, size: int, alone: bool) -> None:
+    """The groups' merges in the order of one-by-one training: always the next merge of a group that is the most
+    frequent, on ties the one with smaller ids. A group's order does not depend on the others, its new ids do."""
+    base = len(found.names)
+    own: dict[int, list[int]] = {g: [] for g in groups}
+    heap: list[tuple[int, int, int, int, int]] = []
+
+    def offer(g: int, at: int) -> None:
+        if at < len(groups[g]):
+            n, *ids = groups[g][at]
+            heappush(heap, (-n, *(i if i < base else own[g][i - base] for i in ids), g, at))
+
+    for g in groups:
+        offer(g, 0)
+    while heap and len(found.names) < size:
+        _, left, right, g, at = heappop(heap)
+        merged, known = found.merge(left, right)
+        if known and not alone:
+            return  # counts elsewhere have risen
+        if merged >= base and merged not in own[g]:
+            own[g].append(merged)
+        offer(g, at + 1)
+
+
+def _merged_in_order(words: DataFrame, merges: list[tuple[int, int, int, int]]) -> DataFrame:
+    """The words of groups (`part`) after the merges, each applied once, in their order."""
+    ranks: dict[str, list[int]] = {}
+    for rank, (_, left, right, _) in enumerate(merges):
+        ranks.setdefault(symbol(left) + symbol(right), []).append(rank)
+    whole = [symbol(new) for *_, new in merges]
+
+    def merged(w: str) -> str:
+        last = -1
+        while True:
+            later = [(r, p) for p in set(map("".join, pairwise(w))) for r in ranks.get(p, ()) if r > last]
+            if not later:
+                return w
+            last, pair = min(later)
+            w = w.replace(pair, whole[last])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            w = [merged(w) if part >= 0 else w for w, part in zip(frame["w"], frame["part"], strict=True)]
+            yield pd.DataFrame({"w": w, "freq": frame["freq"]})
+
+    return words.mapInPandas(run, "w string, freq long")
+
+
+def _band_of_merges(table: DataFrame, found: Vocabulary, size: int, least: int, held_symbols: int, enough: int) -> DataFrame | None:
+    """Take all merges of a band of counts and return the words after them; None if the most frequent pairs lie in
+    too many words for `enough` pairs to be a band.
+
+    Pairs that no word links to each other cannot change each other's counts. The executors therefore merge each group
+    of linked pairs by itself, one pair at a time, and the driver only puts the groups' merges in order.
+    """
+    live, complete = _live_pairs(table, least)
+    if not live:
+        return table.filter("w IS NULL")
+    cut, group = _band(live, _shared_words(table, [p for p, *_ in live]), held_symbols)
+    if not (cut == len(live) and complete) and cut < enough:
+        return None
+    floor = least if cut == len(live) and complete else live[cut - 1][1]
+    alone = floor == least and len(set(group)) == 1
+    part_of = {pair: g for (pair, *_), g in zip(live, group, strict=False)}
+    names, tokens, room = found.names, found.tokens, size - len(found.names)
+
+    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            part = [next((part_of[p] for p in map("".join, pairwise(w)) if p in part_of), -1) for w in frame["w"]]
+            yield frame.assign(part=part)[["w", "freq", "part"]]
+
+    def trained(frame: pd.DataFrame) -> pd.DataFrame:
+        words = list(zip(frame["w"], frame["freq"].tolist(), strict=True))
+        rows = _merges_of_group(words, floor, room, names, tokens, alone)
+        out = pd.DataFrame(rows, columns=["n", "left_id", "right_id"], dtype="int64")
+        return out.assign(part=frame["part"].iloc[0], at=range(len(rows)))[["part", "at", "n", "left_id", "right_id"]]
+
+    words = materialised(table.mapInPandas(placed, "w string, freq long, part int"), "words")
+    rows = words.filter("part >= 0").groupBy("part").applyInPandas(trained, "part int, at int, n long, left_id int, right_id int")
+    chosen = rows.toPandas().sort_values(["part", "at"])  # no more than the band's pairs and the tokens that may follow
+    groups: dict[int, list[tuple[int, int, int]]] = {}
+    for part, n, left, right in zip(*(chosen[c].tolist() for c in ("part", "n", "left_id", "right_id")), strict=True):
+        groups.setdefault(part, []).append((n, left, right))
+    before = len(found.merges)
+    _interleaved(groups, found, size, alone)
+    return _merged_in_order(words, found.merges[before:])
 
 
 def train_vocabulary(
@@ -300,11 +474,11 @@ def train_vocabulary(
     Ids: reserved tokens, then the bytes seen in order of their stand-ins, then merges. The result equals merging
     one pair at a time, the most frequent first and on ties the one with smaller ids.
 
-    While the most frequent pairs lie in too many words to hold, a round counts pairs, takes every merge that is
-    already certain (`_certain_merges`) and applies them together; at most `candidates` pairs reach the driver.
-    As soon as the words with the most frequent pairs have at most `held_symbols` symbols together, the driver
-    holds those words, merges as far as they decide (`_train_held`) and returns them to the table. Words that are
-    down to one symbol drop out whenever the table is rewritten.
+    While the most frequent pairs lie in too many words, a round counts pairs, takes every merge that is already
+    certain (`_certain_merges`) and applies them together; at most `candidates` pairs reach the driver. As soon as
+    the most frequent pairs fall into groups that share no word, of at most `held_symbols` symbols each, a round takes
+    a whole band of counts, each group merged by a task of its own (`_band_of_merges`). The driver sees pairs, their
+    counts and their merges, never words. Words that are down to one symbol drop out whenever the table is rewritten.
     """
     spark = counts.sparkSession
     spelled = materialised(
@@ -312,32 +486,25 @@ def train_vocabulary(
     )
     seen = spelled.select(F.explode(F.split("w", "")).alias("c")).filter("c <> ''").distinct()
     alphabet = sorted(r.c for r in seen.collect())  # at most 256 rows
-    names = [*SPECIAL_TOKENS, *alphabet]
-    tokens = {t: i for i, t in enumerate(names)}
-    merges: list[tuple[int, int, int, int]] = []
+    found = Vocabulary([*SPECIAL_TOKENS, *alphabet])
     least = max(min_frequency, 1)
 
-    start = "".join(symbol(tokens[c]) for c in alphabet)
+    start = "".join(symbol(found.tokens[c]) for c in alphabet)
     words = spelled.withColumn("w", F.translate("w", "".join(alphabet), start)) if alphabet else spelled
     parallel = spark.sparkContext.defaultParallelism
+
+    def rewritten(words: DataFrame) -> DataFrame:
+        return materialised(words.filter(F.length("w") > 1).repartition(parallel), "words")
+
     table, waiting = None, []  # the words as last written, and the merges applied to them since
     width = 32  # pairs looked at in a round: twice as many as the last round could use
-    while len(names) < size:
+    while len(found.names) < size:
         if table is None or len(waiting) >= merges_per_table:
-            rest = _merged(words if table is None else table, waiting).filter(F.length("w") > 1)
-            table, waiting = materialised(rest.repartition(parallel), "words"), []
-            whole = (table.agg(F.sum(F.length("w"))).first()[0] or 0) <= held_symbols
-            if whole:
-                _train_held([tuple(r) for r in table.collect()], least, True, size, names, tokens, merges)
-                break
-            while len(names) < size and (floor := _floor(table, least, held_symbols, merges_per_table)):
-                frequent = _pair_counts(table).filter(F.col("n") >= floor)
-                holding = materialised(_pairs(table).join(frequent, "pair", "left_semi").select("w").distinct(), "holding")
-                held = [tuple(r) for r in table.join(holding, "w", "left_semi").select("w", "freq").collect()]
-                after = [(w, f) for w, f in _train_held(held, floor, False, size, names, tokens, merges) if len(w) > 1]
-                others = table.join(holding, "w", "left_anti").select("w", "freq")
-                back = spark.createDataFrame(after, "w string, freq long")
-                table = materialised(others.unionByName(back).repartition(parallel), "words")
+            table, waiting = rewritten(_merged(words if table is None else table, waiting)), []
+            while len(found.names) < size and (after := _band_of_merges(table, found, size, least, held_symbols, merges_per_table)) is not None:
+                table = rewritten(after)
+                if table.isEmpty():
+                    break
         current = _merged(table, waiting)
         best = (
             _pair_counts(current)
@@ -346,23 +513,18 @@ def train_vocabulary(
             .limit(width)
             .collect()
         )
-        if not best or len(names) >= size:
+        if not best or len(found.names) >= size:
             break
         beside = Neighbours(current, [r.pair for r in best])
-        chosen = _certain_merges([(r.pair, r.n) for r in best], beside, tokens, names)
+        chosen = _certain_merges([(r.pair, r.n) for r in best], beside, found.tokens, found.names)
         width = min(max(2 * len(chosen), 32), candidates)
         for pair in chosen:
-            if len(names) >= size:
+            if len(found.names) >= size:
                 break
-            left, right = symbol_id(pair[0]), symbol_id(pair[1])
-            text = names[left] + names[right]
-            if text not in tokens:
-                tokens[text] = len(names)
-                names.append(text)
-            merges.append((len(merges), left, right, tokens[text]))
-            waiting.append((pair, symbol(tokens[text])))
-    vocabulary = spark.createDataFrame(list(enumerate(names)), "id int, token string")
-    return vocabulary, spark.createDataFrame(merges, "rank int, left_id int, right_id int, id int")
+            merged, _ = found.merge(symbol_id(pair[0]), symbol_id(pair[1]))
+            waiting.append((pair, symbol(merged)))
+    vocabulary = spark.createDataFrame(list(enumerate(found.names)), "id int, token string")
+    return vocabulary, spark.createDataFrame(found.merges, "rank int, left_id int, right_id int, id int")
 
 
 class WordEncoder:
