@@ -154,3 +154,29 @@ def test_held_words_train_alike(spark):
     assert len(want[1]) > 30
     assert trained(0, 64) == want
     assert trained(2500, 1) == want
+
+
+def test_vocabulary_is_trained_once(spark, tmp_path, monkeypatch):
+    counts = spark.createDataFrame([(" abab", 5), (" ab", 2), (" zz", 1)], "word string, freq long")
+    first = [sorted(map(tuple, t.collect())) for t in V.stored_vocabulary(counts, str(tmp_path), 1000, 2)]
+    assert first == [sorted(map(tuple, t.collect())) for t in V.train_vocabulary(counts, 1000, 2)]
+
+    def not_again(*args, **kwargs):
+        raise AssertionError("trained again")
+
+    monkeypatch.setattr(V, "train_vocabulary", not_again)
+    again = V.stored_vocabulary(counts.repartition(3), str(tmp_path), 1000, 2)
+    assert [sorted(map(tuple, t.collect())) for t in again] == first
+    for other in (counts.filter("freq > 1"), counts.withColumn("freq", F.col("freq") + 1)):
+        with pytest.raises(AssertionError, match="trained again"):
+            V.stored_vocabulary(other, str(tmp_path), 1000, 2)
+
+
+def test_linked_pairs_are_one_group():
+    live = [("ab", 9, 10), ("cd", 8, 10), ("ef", 7, 10), ("gh", 7, 10), ("ij", 6, 10)]
+    links = [(0, 2), (1, 3), (2, 4), (3, 4)]
+    assert V._band(live, links, 100) == (5, [V._band(live, links, 100)[1][0]] * 5)
+    cut, group = V._band(live, links, 25)  # the last pair would join all
+    assert cut == 4 and group[0] == group[2] != group[1] == group[3]
+    assert V._band(live, links, 15)[0] == 2  # pairs of one count are taken together
+    assert V._band(live, links, 5)[0] == 0

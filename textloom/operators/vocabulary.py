@@ -6,6 +6,8 @@ A word is held as a string with one character per symbol (`symbol`). Merging a p
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, reduce
 from heapq import heapify, heappop, heappush
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.arrays import SPECIAL_TOKENS, UNK
 from textloom.functions.text import nfkc, strip
-from textloom.session import materialised
+from textloom.session import file_system, materialised, path_exists
 
 VOCABULARY_SIZE = 32_000
 MIN_FREQUENCY = 10
@@ -392,7 +394,7 @@ def _interleaved(groups: dict[int, list[tuple[int, int, int]]], found: Vocabular
         merged, known = found.merge(left, right)
         if known and not alone:
             return  # counts elsewhere have risen
-        if merged >= base and merged not in own[g]:
+        if not known:
             own[g].append(merged)
         offer(g, at + 1)
 
@@ -431,7 +433,10 @@ def _band_of_merges(table: DataFrame, found: Vocabulary, size: int, least: int,
     live, complete = _live_pairs(table, least)
     if not live:
         return table.filter("w IS NULL")
-    cut, group = _band(live, _shared_words(table, [p for p, *_ in live]), held_symbols)
+    total = table.agg(F.sum(F.length("w"))).first()[0]  # no group has more, though a word counts once per pair in its load
+    live = [(pair, n, min(load, total)) for pair, n, load in live]
+    links = _shared_words(table, [p for p, *_ in live])
+    cut, group = _band(live, links, held_symbols if held_symbols < total else len(live) * total)
     if not (cut == len(live) and complete) and cut < enough:
         return None
     floor = least if cut == len(live) and complete else live[cut - 1][1]
@@ -527,6 +532,32 @@ def train_vocabulary(
     return vocabulary, spark.createDataFrame(found.merges, "rank int, left_id int, right_id int, id int")
 
 
+def stored_vocabulary(
+    counts: DataFrame, folder: str, size: int = VOCABULARY_SIZE, min_frequency: int = MIN_FREQUENCY
+) -> tuple[DataFrame, DataFrame]:
+    """`train_vocabulary`, kept below `folder` under a digest of the word counts and the parameters.
+
+    Equal counts are trained once, whoever asks: every later call reads the two tables. A training that is lost leaves
+    nothing under the digest. Of two at the same time one is kept; they are equal.
+    """
+    spark = counts.sparkSession
+    counts = materialised(counts.select("word", "freq"), "word-counts")
+    sums = [F.sum(F.xxhash64(F.lit(seed), "word", "freq").cast("decimal(38, 0)")) for seed in (1, 2)]
+    seen = counts.agg(F.count("*"), F.sum("freq"), *sums).first()
+    digest = hashlib.sha256(repr((*map(str, seen), size, min_frequency, SPECIAL_TOKENS, WORD_PATTERN)).encode()).hexdigest()[:32]
+    place = f"{folder.rstrip('/')}/{digest}"
+    if not path_exists(spark, place):
+        vocabulary, merges = train_vocabulary(counts, size, min_frequency)
+        fresh = f"{folder.rstrip('/')}/.{digest}-{uuid.uuid4().hex}"
+        vocabulary.write.parquet(f"{fresh}/vocabulary")
+        merges.write.parquet(f"{fresh}/merges")
+        fs, target = file_system(spark, place)
+        if not fs.exists(target) and not fs.rename(file_system(spark, fresh)[1], target) and not fs.exists(target):
+            raise OSError(f"could not move {fresh} to {place}")
+    vocabulary = spark.read.schema("id int, token string").parquet(f"{place}/vocabulary")
+    return vocabulary, spark.read.schema("rank int, left_id int, right_id int, id int").parquet(f"{place}/merges")
+
+
 class WordEncoder:
     """Applies a merge table to single words; the size of both tables is bounded by the vocabulary."""
 

@@ -42,7 +42,7 @@ def prepare_training(
     """
     report = build_corpus(spark, landed, store, f"{output}/dataset", quotas, caps, branches=branches, max_entry_bytes=max_entry_bytes)
     texts = spark.read.parquet(f"{output}/dataset-keyed")
-    vocabulary, merges = learn_vocabulary(texts, size, min_frequency)
+    vocabulary, merges = learn_vocabulary(texts, size, min_frequency, f"{store}/vocabularies")
     sinks.replace_table(checked_vocabulary(vocabulary), f"{output}/vocabulary", "parquet")
     sinks.replace_table(merges, f"{output}/merges", "parquet")
     stored = spark.read.parquet(f"{output}/vocabulary"), spark.read.parquet(f"{output}/merges")

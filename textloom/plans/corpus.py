@@ -15,6 +15,7 @@ from textloom.operators.vocabulary import (
     MIN_FREQUENCY,
     VOCABULARY_SIZE,
     pretoken_counts,
+    stored_vocabulary,
     train_vocabulary,
 )
 from textloom.session import materialised
@@ -54,7 +55,8 @@ def build_dataset(documents: DataFrame, quotas: dict[str, int] | None = None, se
 
 
 def learn_vocabulary(
-    dataset: DataFrame, size: int = VOCABULARY_SIZE, min_frequency: int = MIN_FREQUENCY
+    dataset: DataFrame, size: int = VOCABULARY_SIZE, min_frequency: int = MIN_FREQUENCY, folder: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Vocabulary and merge tables of a dataset with a `text` column."""
-    return train_vocabulary(pretoken_counts(dataset), size, min_frequency)
+    """Vocabulary and merge tables of a dataset with a `text` column; with `folder`, trained once (`stored_vocabulary`)."""
+    counts = pretoken_counts(dataset)
+    return train_vocabulary(counts, size, min_frequency) if folder is None else stored_vocabulary(counts, folder, size, min_frequency)

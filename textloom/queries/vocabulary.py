@@ -9,6 +9,7 @@ from textloom.operators import vocabulary as V
 from textloom.plans.examples import training_rows
 from textloom.plans.tuning import question_answer_rows
 from textloom.queries import query, table, wide_table
+from textloom.session import shared_folder
 
 # RE2 has no look-ahead: the last blank of a run is split off by a mark first.
 _MARKED = "regexp_replace(' ' || {0}, '(\\s)(\\s\\S)', '\\1' || chr(1) || '\\2', 'g')"
@@ -40,8 +41,9 @@ def a8(spark, sf):
 
 
 def learned(spark, sf):
-    """Training at the full size; it ends when no pair is frequent enough, the operator's own rule."""
-    return V.train_vocabulary(V.pretoken_counts(wide_table(spark, sf, "documents")), V.VOCABULARY_SIZE, V.MIN_FREQUENCY)
+    """Training at the full size; it ends when no pair is frequent enough, the operator's own rule. The queries of a
+    session share it: the words are counted by each, and the counts name the stored vocabulary."""
+    return V.stored_vocabulary(V.pretoken_counts(wide_table(spark, sf, "documents")), f"{shared_folder(spark)}/vocabularies")
 
 
 @query("t2_vocabulary")
