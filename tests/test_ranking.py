@@ -1,13 +1,15 @@
 """Exact positions on data where one group holds a large part of the rows."""
 
+import math
 import random
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textloom.operators import mix, ranking
-from textloom.operators.scoring import join_uneven, top_k_with_ties
+from textloom.operators import mix, ranking, scoring
+from textloom.operators.scoring import bigram_scores, join_uneven, next_word_table, top_k_with_ties
 
 
 @pytest.fixture(scope="module")
@@ -128,3 +130,36 @@ def test_top_k_of_one_large_group(spark):
     assert sorted(r.k for r in kept if r.g == "hot") == want
     assert sorted(r.k for r in kept if r.g is None) == [9002, 9003, 9004]
     assert sorted(r.k for r in kept if r.g == "t") == [1, 2, 3]
+
+
+@pytest.mark.parametrize("block", [1, 50, 10**6])  # one text a block, several blocks a partition, one block
+def test_bigram_scores_in_blocks(spark, monkeypatch, block):
+    """Equal to a plain count over all texts, however the documents fall into blocks."""
+    monkeypatch.setattr(scoring, "BLOCK_WORDS", block)
+    rng = random.Random(block)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.choice((1, 1, 2)) for _ in range(rng.randrange(30))) for _ in range(200)]
+    texts += [None, "", " \n", "alone", "Two\twords", "hot hot " * 3000]
+    rows = [(i if i % 50 else None, t, "x", 1) for i, t in enumerate(texts)] + [(7, "a b c", "x", 1)]
+    df = spark.createDataFrame(rows, "n long, text string, first string, _block long").repartition(3)
+    pairs, of_key = Counter(), defaultdict(list)
+    for key, text, *_ in rows:
+        words = (text or "").lower().split()
+        for pair in zip(words, words[1:]):
+            pairs[pair] += 1
+            of_key[key].append(pair)
+    starts, v = Counter(), len({w for p in pairs for w in p})
+    for (a, _), c in pairs.items():
+        starts[a] += c
+    want = {k: (len(ps), sum(-math.log((pairs[p] + 1) / (starts[p[0]] + v)) for p in ps) / len(ps)) for k, ps in of_key.items()}
+    found = {r.n: (r.bigrams, r.nll) for r in bigram_scores(df, "n").collect()}
+    assert found.keys() == want.keys()
+    assert all(found[k][0] == want[k][0] and math.isclose(found[k][1], want[k][1], rel_tol=1e-9) for k in want)
+    table = {(r.context, r.candidate): r.n for r in next_word_table(df, k=10**6).collect()}
+    assert table == dict(pairs)
+
+
+def test_bigram_scores_of_nothing(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert bigram_scores(empty, "doc_id").count() == 0
+    assert next_word_table(empty).count() == 0
+    assert bigram_scores(spark.createDataFrame([(1, None), (2, "one")], "doc_id long, text string"), "doc_id").count() == 0

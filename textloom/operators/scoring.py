@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,18 +18,80 @@ from textloom.operators.reports import capped_perplexity
 from textloom.session import materialised
 
 HOT_SHARE = 1e-4
+#: Words of one block of documents; a block's words and bigrams are in memory at a time.
+BLOCK_WORDS = 1_000_000
 
 
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
 
 
-def _bigrams(texts: DataFrame, text: str, *keys: str) -> DataFrame:
-    tokens = texts.select(*keys, words(F.col(text)).alias("_w"))
-    pairs_in = F.greatest(F.size("_w") - 1, F.lit(0))
-    heads, tails = F.slice("_w", F.lit(1), pairs_in), F.slice("_w", F.lit(2), pairs_in)
-    pairs = F.zip_with(heads, tails, lambda a, b: F.struct(a.alias("first"), b.alias("second")))
-    return tokens.select(*keys, F.inline(pairs))
+def _count_block(block: int, keys: list[pa.Array], lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """One block's rows: its distinct bigrams with their counts, then its documents as numbers of bigrams."""
+    sizes = np.concatenate([x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for x in lists])
+    coded = pa.chunked_array([x.flatten() for x in lists]).dictionary_encode().combine_chunks()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = pa.concat_arrays(coded.chunks)
+    codes, known = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    followed = np.ones(len(codes), bool)
+    followed[np.cumsum(sizes)[sizes > 0] - 1] = False
+    at = np.flatnonzero(followed)
+    pairs, numbers, counts = np.unique(codes[at] * len(known) + codes[np.minimum(at + 1, len(codes) - 1)], return_inverse=True, return_counts=True)
+    n, keyed = len(pairs), bool(keys)
+    names = ["_block", "_at", "first", "second", "n", *(["_key", "_numbers"] if keyed else [])]
+    blank = [pa.nulls(n, keys[0].type), pa.nulls(n, pa.list_(pa.int32()))] if keyed else []
+    yield pa.RecordBatch.from_arrays([
+        pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), known.take(pa.array(pairs // max(len(known), 1))),
+        known.take(pa.array(pairs % max(len(known), 1))), pa.array(counts.astype(np.int64)), *blank,
+    ], names=names)
+    if keyed:
+        long = sizes > 1
+        bounds = np.concatenate([[0], np.cumsum(sizes[long] - 1)]).astype(np.int32)
+        n = int(long.sum())
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.nulls(n, known.type), pa.nulls(n, known.type), pa.nulls(n, pa.int64()),
+            pa.concat_arrays(keys).filter(pa.array(long)), pa.ListArray.from_arrays(pa.array(bounds), pa.array(numbers.astype(np.int32))),
+        ], names=names)
+
+
+def _block_bigrams(texts: DataFrame, text: str, key: str | None = None) -> DataFrame:
+    """Bigrams of blocks of documents; every text is cut into words once.
+
+    Rows with `first` are the distinct bigrams of a block, numbered by `_at`, with their count `n`. With a
+    `key`, rows without `first` are the block's documents of two words or more: `_key` and the `_numbers` of
+    their bigrams. Store the table before reading it twice: blocks follow the order of the rows.
+    """
+    tokens = texts.select(words(F.col(text)).alias("_w"), *([F.col(key).alias("_key")] if key else []))
+    schema = "_block long, _at int, first string, second string, n long"
+    if key:
+        schema += f", _key {texts.schema[key].dataType.simpleString()}, _numbers array<int>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made, held, keys, lists = TaskContext.get().partitionId(), 0, 0, [], []
+        for batch in batches:
+            lists.append(batch.column("_w"))
+            if key:
+                keys.append(batch.column("_key"))
+            held += len(batch.column("_w").flatten())
+            if held >= BLOCK_WORDS:
+                yield from _count_block(part << 32 | made, keys, lists)
+                made, held, keys, lists = made + 1, 0, [], []
+        if lists:
+            yield from _count_block(part << 32 | made, keys, lists)
+
+    return tokens.mapInArrow(run, schema)
+
+
+def _cost_of_documents(documents: pa.Table, costs: pa.Table) -> pa.Table:
+    """Sum of the costs of each document's bigrams, and their number, in one block."""
+    by_number = np.zeros(costs.num_rows)
+    by_number[costs.column("_at").to_numpy()] = costs.column("cost").to_numpy()
+    lists = documents.column("_numbers").combine_chunks()
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    sizes = lists.value_lengths().to_numpy()
+    starts = np.cumsum(sizes) - sizes
+    sums = np.add.reduceat(by_number[lists.flatten().to_numpy()], starts) if len(sizes) else np.zeros(0)
+    return pa.table({"_key": documents.column("_key"), "_cost": pa.array(sums), "_n": pa.array(sizes.astype(np.int64))})
 
 
 def join_uneven(rows: DataFrame, counts: DataFrame, keys: list[str], uses: str, share: float = HOT_SHARE) -> DataFrame:
@@ -56,26 +122,34 @@ def join_uneven(rows: DataFrame, counts: DataFrame, keys: list[str], uses: str,
 def bigram_scores(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Mean negative log-likelihood and capped perplexity of each document under the corpus' own bigrams.
 
-    Add-one smoothing: p(b | a) = (count(ab) + 1) / (count(a) + number of distinct words). The pairs of a
-    document are cut again from its text when they meet their counts: cheaper than storing them all.
+    Add-one smoothing: p(b | a) = (count(ab) + 1) / (count(a) + number of distinct words). Bigrams are counted
+    per block of documents, and only a block's distinct ones meet those of other blocks; their costs return to
+    the block, which kept its documents as numbers. Documents of fewer than two words have no row; documents
+    with equal keys, null included, count as one.
     """
-    pair = materialised(
-        _bigrams(texts, text).groupBy("first", "second").agg(F.count("*").alias("pair_n")), "bigram-counts"
-    )
+    rows = materialised(_block_bigrams(texts, text, key), "block-bigrams")
+    pairs = rows.filter("first IS NOT NULL").select("_block", "_at", "first", "second", "n")
+    # a block has a bigram once, so no window holds more rows than there are blocks
+    of_pair = W.partitionBy("first", "second")
+    pair_n, lead = F.sum("n").over(of_pair), F.col("_block") == F.min("_block").over(of_pair)
+    counted = materialised(pairs.select("_block", "_at", "first", "second", pair_n.alias("pair_n"), lead.alias("lead")), "bigram-counts")
     context = materialised(
-        pair.groupBy("first").agg(F.sum("pair_n").alias("first_n"), F.count("*").alias("pairs")), "contexts"
+        counted.groupBy("first").agg(F.sum(F.when(F.col("lead"), F.col("pair_n"))).alias("first_n"), F.count("*").alias("uses")), "contexts"
     )
-    both = pair.select(F.explode(F.array("first", "second")).alias("w"))
+    both = counted.filter("lead").select(F.explode(F.array("first", "second")).alias("w"))
     vocabulary = both.agg(F.count_distinct("w")).scalar()
     cost = -F.ln((F.col("pair_n") + 1) / (F.col("first_n") + vocabulary))
-    model = materialised(
-        join_uneven(pair, context, ["first"], "pairs").select("first", "second", "pair_n", cost.alias("cost")),
-        "bigram-model",
+    costs = join_uneven(counted.select("_block", "_at", "first", "pair_n"), context, ["first"], "uses")
+    costs = costs.select("_block", "_at", cost.alias("cost"))
+    documents = rows.filter("first IS NULL").select(F.col("_block").alias("_of"), "_key", "_numbers")
+    scored = (
+        documents.groupBy("_of")
+        .cogroup(costs.groupBy("_block"))
+        .applyInArrow(_cost_of_documents, f"_key {texts.schema[key].dataType.simpleString()}, _cost double, _n long")
     )
-    scored = join_uneven(_bigrams(texts, text, key), model, ["first", "second"], "pair_n")
     return (
-        scored.groupBy(key)
-        .agg(F.avg("cost").alias("nll"), F.count("*").alias("bigrams"))
+        scored.groupBy(F.col("_key").alias(key))
+        .agg((F.sum("_cost") / F.sum("_n")).alias("nll"), F.sum("_n").alias("bigrams"))
         .withColumn("perplexity", capped_perplexity(F.col("nll")))
     )
 
@@ -113,9 +187,9 @@ def top_k_with_ties(df: DataFrame, group: list[str], score: str, k: int) -> Data
 def next_word_table(texts: DataFrame, text: str = "text", k: int = 40, temperature: float = 0.8) -> DataFrame:
     """For each word its most frequent followers with their softmax probability at a temperature."""
     counts = (
-        _bigrams(texts, text)
+        _block_bigrams(texts, text)
         .groupBy(F.col("first").alias("context"), F.col("second").alias("candidate"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     logits = materialised(counts.withColumn("logit", F.ln("n") / F.lit(max(temperature, 1e-5))), "logits")
     cutoffs = materialised(_score_cutoffs(logits, ["context"], "logit", k), "cutoffs")
