@@ -411,6 +411,13 @@ def test_licenses(awkward, pairs, spark):
         ("GPL-2.0 AND (MIT OR ISC)", (["gpl", "isc", "mit"], False)),
         ("Apache-2.0 WITH LLVM-exception -->", (["apache"], True)),
         ("((MIT))", (["mit"], True)),
+        ("NOASSERTION", ([], None)),
+        ("LicenseRef-x", (["licenseref-x"], None)),
+        ("LicenseRef-x AND GPL-2.0", (["gpl", "licenseref-x"], False)),
+        ("LicenseRef-x OR MIT", (["licenseref-x", "mit"], True)),
+        ("NONE OR GPL-2.0", (["gpl"], None)),
+        ("CC-BY-NC-4.0", (["cc-by-nc"], False)),
+        ("CC-BY-4.0", (["cc-by"], True)),
         ("MIT OR", None),
         ("(MIT", None),
         ("", None),
@@ -420,6 +427,26 @@ def test_expressions(text, found):
     assert licenses.evaluate(text) == found
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        None, "", ":", "SPDX-License-Identifier:", "SPDX-License-Identifier: MIT", "xSPDX-license-IDENTIFIER:MIT\r\nGPL", "é SPDX-License-Identifier:\tISC \n",
+        "SPDX License Identifier: MIT", "SPDX-License-Identifier : MIT", "spdx-license-identifier MIT", "SPDX-License-Identifier: A é 中\rB",
+        "SPDX-License-Identifier: SPDX-License-Identifier: MIT", "a\nSPDX-License-Identifier: NOASSERTION\nSPDX-License-Identifier: GPL-2.0\n" * 3,
+        "-SPDX-License-Identifier:\nMIT license " + "word " * 20000 + "SPDX-License-Identifier: 0BSD",
+    ],
+)
+def test_tags_of_one_text(text):
+    """Tags by the automaton are those of a plain pattern over the text."""
+    found = re.findall(r"spdx-license-identifier:[ \t]*([^\r\n]*)", text or "", re.IGNORECASE | re.ASCII)
+    want = [e.strip() for e in found if licenses.evaluate(e)]
+    if text and text.count("SPDX-License-Identifier: SPDX"):
+        want = ["MIT"]  # every tag is read, also one in the line of another
+        assert licenses.scan_text(text, ())["expressions"][-1:] == want
+    else:
+        assert licenses.scan_text(text, ())["expressions"] == want
+
+
 # --- all
 
 

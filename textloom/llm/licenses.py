@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import ahocorasick
 import numpy as np
@@ -37,12 +37,16 @@ NOTICES = {
 #: Identifiers as they begin in tags, lower case, and the label of their family.
 FAMILIES = {
     "gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "apache": "apache", "mit": "mit", "bsd": "bsd", "mpl": "mpl",
-    "epl": "epl", "isc": "isc", "cc-by": "cc-by", "cc0": "cc0", "unlicense": "unlicense", "zlib": "zlib",
+    "epl": "epl", "isc": "isc", "cc-by": "cc-by", "cc-by-sa": "cc-by-sa", "cc-by-nc": "cc-by-nc", "cc-by-nd": "cc-by-nd",
+    "cc0": "cc0", "unlicense": "unlicense", "zlib": "zlib",
 }
-#: Families that ask for derived works under the same licence.
-RECIPROCAL = {"gpl", "lgpl", "agpl", "mpl", "epl"}
+#: Families that ask for derived works under the same licence, or restrict what is done with the work.
+NOT_PERMISSIVE = {"gpl", "lgpl", "agpl", "mpl", "epl", "cc-by-sa", "cc-by-nc", "cc-by-nd"}
+#: Identifiers that name no licence.
+NO_CLAIM = {"noassertion", "none"}
 
-_TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.IGNORECASE)
+_TAG = b"spdx-license-identifier:"
+_TAG_WORDS = "spdx license identifier "
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
 _RANK = {"or": 1, "and": 2, "with": 3}
 
@@ -65,15 +69,24 @@ def family(identifier: str) -> str:
     return FAMILIES[max(fits, key=len)] if fits else name
 
 
-def evaluate(expression: str) -> tuple[list[str], bool] | None:
+def _either(left: bool | None, right: bool | None) -> bool | None:
+    return True if left or right else None if left is None or right is None else False
+
+
+def _both(left: bool | None, right: bool | None) -> bool | None:
+    return False if left is False or right is False else None if left is None or right is None else True
+
+
+def evaluate(expression: str) -> tuple[list[str], bool | None] | None:
     """Labels of an `AND` / `OR` / `WITH` expression, and whether it can be used permissively.
 
     Shunting-yard: operators wait on a stack until one that binds less tightly, a parenthesis or the end sends
     them to the values. `OR` is permissive if one side is, `AND` if both are, and an exception (`WITH`) keeps
-    its licence's labels. Returns None for anything that is no expression; text after a finished expression,
+    its licence's labels. Identifiers of no known family keep their name as label and leave it open (None) whether
+    use is permissive; `NOASSERTION` and `NONE` have no label, too. Returns None for anything that is no expression; text after a finished expression,
     such as the end of a comment, is left out.
     """
-    values: list[tuple[frozenset[str], bool]] = []
+    values: list[tuple[frozenset[str], bool | None]] = []
     waiting: list[str] = []
 
     def apply() -> bool:
@@ -84,8 +97,7 @@ def evaluate(expression: str) -> tuple[list[str], bool] | None:
         if name == "with":
             values.append(left)
         else:
-            either = left[1] or right[1] if name == "or" else left[1] and right[1]
-            values.append((left[0] | right[0], either))
+            values.append((left[0] | right[0], (_either if name == "or" else _both)(left[1], right[1])))
         return True
 
     operand = True  # an operand is due next
@@ -108,7 +120,8 @@ def evaluate(expression: str) -> tuple[list[str], bool] | None:
             operand = True
         elif operand and word not in _RANK and token not in "()":
             label = family(token)
-            values.append((frozenset([label]), label not in RECIPROCAL))
+            permissive = label not in NOT_PERMISSIVE if label in FAMILIES.values() else None
+            values.append((frozenset([label]) - NO_CLAIM, permissive))
             operand = False
         else:
             break
@@ -120,25 +133,44 @@ def evaluate(expression: str) -> tuple[list[str], bool] | None:
 
 @cache
 def _automaton(phrases: tuple[tuple[str, str, bool], ...]) -> ahocorasick.Automaton:
-    """Phrases with a space on either side, over bytes that are read as Latin-1 characters."""
+    """Phrases with a space on either side, over bytes that are read as Latin-1 characters, and the words of a tag."""
     automaton = ahocorasick.Automaton()
     kept: dict[str, list[tuple[str, bool]]] = {}
     for phrase, label, base in phrases:
         kept.setdefault(" " + phrase.encode().decode("latin-1") + " ", []).append((label, base))
     for key, labels in kept.items():
         automaton.add_word(key, (len(key), labels))
+    # the words of a tag; what stands before it may be joined to it
+    automaton.add_word(_TAG_WORDS, (0, []))
     automaton.make_automaton()
     return automaton
 
 
+def _expressions(raw: bytes, ends: list[int]) -> list[str]:
+    """The rest of the line behind each tag; `ends` are the numbers of the words that may end one."""
+    word = np.frombuffer(raw.translate(bytes(_WORD)), np.uint8) != 32
+    after = np.flatnonzero(word & ~np.append(word[1:], False)) + 1
+    found = []
+    for at in after[ends].tolist():
+        begin = at + 1 - len(_TAG)
+        if begin >= 0 and raw[begin : at + 1].lower() == _TAG:
+            stop = min((p for p in (raw.find(b"\n", at), raw.find(b"\r", at)) if p >= 0), default=len(raw))
+            found.append(raw[at + 1 : stop].decode().strip())
+    return found
+
+
 def scan_text(text: str | None, phrases: tuple[tuple[str, str, bool], ...]) -> dict:
     """All places of the phrases in one text, its tags, and the labels of both."""
     words = [w for w in words_of(text or "") if w]
     joined = " " + b" ".join(words).decode("latin-1") + " "
-    hits = [(end - size + 1, label, base) for end, (size, labels) in _automaton(phrases).iter(joined) for label, base in labels] if words else []
-    places = np.searchsorted(np.flatnonzero(np.frombuffer(joined.encode("latin-1"), np.uint8) == 32), [h[0] for h in hits]) if hits else []
+    matches = list(_automaton(phrases).iter(joined)) if words else []
+    hits = [(end - size + 1, label, base) for end, (size, labels) in matches for label, base in labels]
+    tag_ends = [end for end, (size, _) in matches if not size]
+    gaps = np.flatnonzero(np.frombuffer(joined.encode("latin-1"), np.uint8) == 32) if matches else []
+    places = np.searchsorted(gaps, [h[0] for h in hits]) if hits else []
     base = [(int(p), label) for p, (_, label, is_base) in zip(places, hits, strict=True) if is_base]
-    tags = [(m.group(1).strip(), evaluate(m.group(1))) for m in _TAG.finditer(text)] if text and "dentifier:" in text.lower() else []
+    read = _expressions(text.encode(), [int(n) - 1 for n in np.searchsorted(gaps, tag_ends)]) if tag_ends else []
+    tags = [(expression, evaluate(expression)) for expression in read]
     tagged = {label for _, found in tags if found for label in found[0]}
     own = {label for _, label, is_base in hits if not is_base} | tagged
     base_labels = {label for _, label in base}
@@ -148,7 +180,7 @@ def scan_text(text: str | None, phrases: tuple[tuple[str, str, bool], ...]) -> d
         "last_word": max((p for p, _ in base), default=None), "base_labels": ",".join(sorted(base_labels)),
         "labels": ",".join(sorted(base_labels | own)), "score": 1.0 - doubt,
         "expressions": [expression for expression, found in tags if found],
-        "permissive": all(found[1] for _, found in tags if found) if any(found for _, found in tags) else None,
+        "permissive": reduce(_both, [found[1] for _, found in tags if found]) if any(found for _, found in tags) else None,
     }
 
 
@@ -167,7 +199,8 @@ def scan_licenses(
     `base` and `notices` map phrases to labels: a phrase counts where its words stand one after the other.
     `base` phrases are reported with their places (words counted from 0). `notices` (default `NOTICES`) and
     `SPDX-License-Identifier` tags, whose expressions are parsed, add labels. `score` rises with the kinds of
-    evidence found, 0 without any; `permissive` says whether all tags allow permissive use (null: no tag).
+    evidence found, 0 without any; `permissive` says whether all tags allow permissive use (null: no tag, or a licence
+    that is not known leaves it open). The tags' words are found with the phrases, in the same pass.
 
     A null text counts as empty: no words, null places, empty labels, score 0. Null keys and repeated rows
     stay; other columns are not read.
