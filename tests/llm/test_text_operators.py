@@ -372,6 +372,75 @@ def test_quality_scores(spark, sf_dir, awkward, pairs):
     assert all(0 <= r["score"] <= 1 for r in scored)
 
 
+def plain_features(text):
+    """The statistics of one text, one character or word at a time."""
+    raw = (text or "").encode()
+    kinds = [
+        lambda c: 32 < c < 127 and not chr(c).isalnum(), lambda c: chr(c) in "0123456789", lambda c: 65 <= c <= 90,
+        lambda c: 65 <= c <= 90 or 97 <= c <= 122, lambda c: c >= 128, lambda c: c == 32 or 9 <= c <= 13,
+    ]
+    words, lines = re.findall(rb"[^\x20\x09-\x0D]+", raw), [x for x in raw.split(b"\n") if x]
+    low = [w.lower() for w in words]
+    runs = [tuple(low[i : i + 3]) for i in range(len(low) - 2)] if len(low) > 2 else [tuple(low)] if low else []
+    n, w = max(len(raw), 1), max(len(words), 1)
+
+    def distinct(values):
+        return len(set(values)) / len(values) if values else 1.0
+
+    return [
+        math.log1p(len(raw)), math.log1p(len(words)), sum(map(len, words)) / w, *(sum(map(k, raw)) / n for k in kinds),
+        distinct(words), distinct(runs), distinct(lines), math.log1p(len(raw) / max(len(lines), 1)),
+        sum(not any(kinds[3](c) or c >= 128 for c in x) for x in words) / w, sum(kinds[0](x[-1]) for x in words) / w,
+        sum(raw.count(c) for c in b"!.?") / w, max(Counter(c for c in raw if kinds[0](c)).values(), default=0) / n,
+    ]
+
+
+def plain_score(model, x):
+    """A sum of table cells, cell by cell."""
+    def cell(cuts, value):
+        return sum(value >= c for c in cuts)
+
+    total = model.base + sum(t[cell(model.cuts[j], x[j])] for j, t in enumerate(model.tables))
+    total += sum(t[cell(model.pair_cuts[a], x[a])][cell(model.pair_cuts[b], x[b])] for (a, b), t in model.pairs.items())
+    return 1 / (1 + math.exp(-total))
+
+
+def test_quality_equals_plain_python(spark, awkward, pairs):
+    """Features and scores of every row against a plain version, by a model with tables and pair tables."""
+    more = [f"{'good words here. ' * (i % 7)}{'!!# 12 ' * (i % 5)}\n{'Line\n' * (i % 3)}x{i}" for i in range(200)]
+    df = awkward.select("doc_id", "text").unionByName(spark.createDataFrame([(5000 + i, t) for i, t in enumerate(more)], "doc_id long, text string"))
+    everything = [*pairs, *((5000 + i, t) for i, t in enumerate(more))]
+    table = gam.feature_table(df)
+    want = {k: [] for k, _ in everything}
+    for k, t in everything:
+        want[k].append(plain_features(t))
+    got = table.collect()
+    assert len(got) == len(everything)
+    for k, vectors in want.items():
+        mine = sorted(r["features"] for r in got if r["doc_id"] == k)
+        assert np.allclose(np.array(mine), np.array(sorted(vectors)), rtol=1e-9, atol=1e-12), k
+    x = np.array([r["features"] for r in got])
+    y = np.array([float((r["doc_id"] or 0) % 3 == 0) for r in got])
+    model = gam.fit_additive(x, y, rounds=12)
+    assert model.tables and model.pairs
+    scored = sorted((r["doc_id"] or -1, r["score"]) for r in gam.score_quality(table, model).collect())
+    plain = sorted((r["doc_id"] or -1, plain_score(model, r["features"])) for r in got)
+    assert [k for k, _ in scored] == [k for k, _ in plain]
+    assert np.allclose([v for _, v in scored], [v for _, v in plain], rtol=1e-9, atol=1e-12)
+    kept = gam.keep_quality(df, model, 0.4).count()
+    assert kept == sum(v >= 0.4 for _, v in plain)
+
+
+def test_repeated_keys_do_not_enlarge_the_fit(spark, monkeypatch):
+    """A key with a third of all rows and repeated labels gives one row of the fit."""
+    docs = spark.createDataFrame([(i if i % 3 else 0, f"text {i}. " * (i % 9)) for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)] + [(0, 0)] * 50, "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(gam, "fit_additive", lambda x, y: seen.append(len(y)))
+    gam.train_quality(gam.feature_table(docs), labels, "quality")
+    assert seen == [401]
+
+
 def test_keep_quality_keeps_columns(awkward):
     model = gam.AdditiveModel(1.0)
     assert gam.keep_quality(awkward, model).count() == awkward.count()

@@ -211,12 +211,15 @@ def feature_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 def train_quality(features: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", fit_rows: int = FIT_ROWS) -> AdditiveModel:
     """Fit on the rows of `labels` (0 or 1; others are left out), at most about `fit_rows` chosen by a hash of `key`.
 
-    The sample is the only thing that reaches the driver. The same rows give the same model.
+    The sample is the only thing that reaches the driver. The same rows give the same model. Labels that are
+    repeated count once, and of several rows with a chosen key the one with the least features is taken, so
+    repeated keys do not enlarge the sample.
     """
-    known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).cast("double").alias("_y"))
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, F.col(label).cast("double").alias("_y")).distinct()
     n = known.count()
     chosen = known.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(min(1.0, fit_rows / max(n, 1)) * (1 << 20)))
-    rows = features.join(chosen, key).select(key, "features", "_y").toPandas().sort_values([key, "_y"])
+    one = features.join(chosen, key).groupBy(key, "_y").agg(F.min("features").alias("features"))
+    rows = one.toPandas().sort_values([key, "_y"])
     x = np.array(rows["features"].tolist(), float).reshape(len(rows), len(FEATURES))
     return fit_additive(x, rows["_y"].to_numpy(float))
 

@@ -43,7 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def held_out(key: str = "doc_id"):
-    return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
+    """Whether a row's labels are kept from the fit; a row without a key has no labels and is not held out."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
