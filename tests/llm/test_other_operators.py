@@ -172,6 +172,22 @@ def test_urls(spark):
         assert 0 <= r["score"] <= 1
 
 
+def test_rates_come_from_other_folds(spark):
+    """Against a plain count over all labelled urls of the other folds."""
+    rng = np.random.default_rng(3)
+    data = [(i, f"k{rng.integers(30)}", [None, "block", "allow"][rng.integers(3)], int(rng.integers(urls.FOLDS))) for i in range(300)]
+    data += [(900, "one", "block", 0), (901, "never", None, 1), (902, None, "block", 2)]
+    rows = spark.createDataFrame(data, "i int, suffix string, says string, fold int")
+    labelled = rows.filter("says IS NOT NULL").withColumn("label", (F.col("says") == "block").cast("double"))
+    joined = rows.join(urls._counts(labelled, "suffix"), F.col("suffix") == F.col("suffix_key"), "left")
+    found = joined.withColumns(urls._rates("suffix", 0.7)).collect()
+    assert len(found) == len(data)
+    for r in found:
+        others = [s for _, k, s, f in data if k is not None and k == r["suffix"] and s and not (r["says"] and f == r["fold"])]
+        want = (others.count("block") + 1) / (len(others) + 2) if others else 0.7
+        assert np.isclose(r["suffix_rate"], want) and np.isclose(r["suffix_known"], np.log1p(len(others)))
+
+
 def test_trees_follow_the_labels(spark):
     """Rules cover one half of the hosts; the rest looks like it in the path."""
     rows = [(i, f"http://host{i}.{'com' if i % 2 else 'net'}/{'ads' if i % 4 < 2 else 'news'}/{i}") for i in range(800)]

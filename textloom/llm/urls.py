@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -12,6 +15,8 @@ from textloom.session import materialised
 
 #: Default bound of the labelled rows that the trees are fitted on.
 FIT_ROWS = 50_000
+#: Parts of the labelled urls; the rates of one part are counted in the others.
+FOLDS = 5
 
 FEATURES = [
     "length", "host_length", "path_length", "depth", "host_depth", "digits", "letters", "upper", "symbols",
@@ -106,14 +111,33 @@ def lexical_features(urls: DataFrame, url: str = "url") -> DataFrame:
     )
 
 
-def _rates(labelled: DataFrame, key: str) -> DataFrame:
-    """Smoothed share of blocked urls per key, and how many labelled urls stand behind it (log scale)."""
+def _counts(labelled: DataFrame, key: str) -> DataFrame:
+    """Labelled urls per key and fold, and how many of them are blocked."""
+    folds = [F.col("fold") == f for f in range(FOLDS)]
     return labelled.groupBy(F.col(key).alias(f"{key}_key")).agg(
-        ((F.sum("label") + 1.0) / (F.count("*") + 2.0)).alias(f"{key}_rate"),
-        F.log1p(F.count("*")).alias(f"{key}_known"),
+        F.array(*[F.coalesce(F.sum(F.when(f, F.col("label"))), F.lit(0.0)) for f in folds]).alias(f"{key}_blocked"),
+        F.array(*[F.count_if(f) for f in folds]).alias(f"{key}_n"),
     )
 
 
+def _rates(key: str, prior: float) -> dict[str, Column]:
+    """Smoothed share of blocked urls among the labelled urls of the key, and how many those are (log scale).
+
+    For a labelled url only the other folds count, so the trees cannot read its label from them. Taking out the
+    url alone would tell its label: the share would be a little lower for each blocked url of a key. A key
+    without such urls has the share of all.
+    """
+    own = F.col("says").isNotNull()
+
+    def others(column: str) -> Column:
+        whole = reduce(add, [F.get(column, F.lit(f)) for f in range(FOLDS)])
+        return F.coalesce(whole - F.when(own, F.get(column, F.col("fold"))).otherwise(F.lit(0)), F.lit(0)).cast("double")
+
+    n = others(f"{key}_n")
+    share = (others(f"{key}_blocked") + 1.0) / (n + 2.0)
+    return {f"{key}_rate": F.when(n > 0, share).otherwise(F.lit(prior)), f"{key}_known": F.log1p(n)}
+
+
 def filter_urls(
     urls: DataFrame,
     key: str,
@@ -127,7 +151,7 @@ def filter_urls(
     """Verdict `block` or `allow` for every url: of the longest fitting rule, else of boosted trees.
 
     Labelled urls are those that a rule covers. Suffix and folder statistics are counted over all of
-    them. The trees (Spark's own, trained across the executors) are fitted on at most about `fit_rows`
+    them, for a labelled url over those of other folds. The trees (Spark's own, trained across the executors) are fitted on at most about `fit_rows`
     labelled rows, chosen by a hash of key and url. Every url is scored.
 
     Returns `key`, `host`, `path`, `rule` (null: none fits), `verdict` and `score` (the trees' probability
@@ -139,15 +163,16 @@ def filter_urls(
     narrow = urls.select(F.col(key).alias("_key"), F.col(url).alias("_url"))
     parts = lexical_features(narrow, "_url")
     rule, says = matching_rule(F.col("host"), F.col("path"), rules)
-    rows = materialised(parts.withColumns({"rule": rule, "says": says}), "urls")
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "_key", "_url"), F.lit(FOLDS)).cast("int")
+    rows = materialised(parts.withColumns({"rule": rule, "says": says, "fold": fold}), "urls")
     labelled = rows.filter("says IS NOT NULL").withColumn("label", (F.col("says") == "block").cast("double"))
     blocked, n = labelled.agg(F.sum("label"), F.count("*")).first()
-    unseen = {"rate": (blocked or 0.0) / max(n, 1), "known": 0.0}
+    prior = (blocked or 0.0) / max(n, 1)
     joined = rows
     for k in ("suffix", "folder"):
         # one row per key; the planner broadcasts it only below its size threshold
-        joined = joined.join(_rates(labelled, k), F.col(k) == F.col(f"{k}_key"), "left").drop(f"{k}_key")
-    joined = joined.fillna({f"{k}_{s}": v for k in ("suffix", "folder") for s, v in unseen.items()})
+        joined = joined.join(_counts(labelled, k), F.col(k) == F.col(f"{k}_key"), "left")
+    joined = joined.withColumns({**_rates("suffix", prior), **_rates("folder", prior)})
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(joined)
     out = ["host", "path", "rule"]
     if not n or blocked in (0.0, float(n)):
