@@ -180,3 +180,30 @@ def test_linked_pairs_are_one_group():
     assert cut == 4 and group[0] == group[2] != group[1] == group[3]
     assert V._band(live, links, 15)[0] == 2  # pairs of one count are taken together
     assert V._band(live, links, 5)[0] == 0
+
+
+def test_pieces_of_words_train_alike(spark, monkeypatch):
+    """A table far above the held symbols is trained in few bands of pieces, with no counted round."""
+    import random
+
+    rng = random.Random(9)
+    stems = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 5))) for _ in range(60)]
+    words = {" " + "".join(rng.choices(stems, k=rng.randint(2, 6))): rng.randint(1, 9) for _ in range(3000)} | {" aaaaaaa": 9, "aaaa": 7}
+    counts = spark.createDataFrame(list(words.items()), "word string, freq long").cache()
+
+    def trained(held_symbols):
+        found = V.train_vocabulary(counts, 300, 6, merges_per_table=4, held_symbols=held_symbols)
+        return [sorted(tuple(r) for r in t.collect()) for t in found]
+
+    want = trained(10**6)
+
+    def not_counted(*args):
+        raise AssertionError("a counted round")
+
+    monkeypatch.setattr(V, "Neighbours", not_counted)
+    assert sum(map(len, words)) > 30_000 and trained(12_000) == want
+
+
+def test_words_are_cut_at_other_pairs():
+    assert list(V._cut("abcdeab", {"ab", "bc", "de"})) == ["abc", "de", "ab"]
+    assert list(V._cut("a", {"ab"})) == list(V._cut("acac", {"ab"})) == []

@@ -28,6 +28,10 @@ MIN_FREQUENCY = 10
 HELD_SYMBOLS = 4_000_000
 #: Pairs, and links between them, that the driver sees in a round of training.
 LIVE_PAIRS = 100_000
+#: Pairs of the first band of training.
+FIRST_PAIRS = 1_024
+#: Different pieces of words that a task adds up before it passes them on.
+HELD_PIECES = 500_000
 #: Tasks that bring the links of all words together.
 FOREST_TASKS = 8
 
@@ -400,7 +404,7 @@ def _interleaved(groups: dict[int, list[tuple[int, int, int]]], found: Vocabular
 
 
 def _merged_in_order(words: DataFrame, merges: list[tuple[int, int, int, int]]) -> DataFrame:
-    """The words of groups (`part`) after the merges, each applied once, in their order."""
+    """The words after the merges, each applied once, in their order."""
     ranks: dict[str, list[int]] = {}
     for rank, (_, left, right, _) in enumerate(merges):
         ranks.setdefault(symbol(left) + symbol(right), []).append(rank)
@@ -417,31 +421,79 @@ def _merged_in_order(words: DataFrame, merges: list[tuple[int, int, int, int]])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            w = [merged(w) if part >= 0 else w for w, part in zip(frame["w"], frame["part"], strict=True)]
-            yield pd.DataFrame({"w": w, "freq": frame["freq"]})
+            yield pd.DataFrame({"w": [merged(w) for w in frame["w"]], "freq": frame["freq"]})
 
     return words.mapInPandas(run, "w string, freq long")
 
 
-def _band_of_merges(table: DataFrame, found: Vocabulary, size: int, least: int, held_symbols: int, enough: int) -> DataFrame | None:
-    """Take all merges of a band of counts and return the words after them; None if the most frequent pairs lie in
-    too many words for `enough` pairs to be a band.
+def _cut(word: str, kept: set[str]) -> Iterator[str]:
+    """The parts of a word in which all adjacent pairs are among `kept`."""
+    start = 0
+    for i, pair in enumerate(map("".join, pairwise(word)), 1):
+        if pair not in kept:
+            if i - start > 1:
+                yield word[start:i]
+            start = i
+    if len(word) - start > 1:
+        yield word[start:]
 
-    Pairs that no word links to each other cannot change each other's counts. The executors therefore merge each group
-    of linked pairs by itself, one pair at a time, and the driver only puts the groups' merges in order.
+
+def _pieces(words: DataFrame, pairs: list[str]) -> DataFrame:
+    """The words cut wherever a pair is not among `pairs`, equal pieces as one row with their frequencies added up."""
+    kept = set(pairs)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[str, int] = {}
+        for frame in frames:
+            for w, f in zip(frame["w"], frame["freq"].tolist(), strict=True):
+                for piece in _cut(w, kept):
+                    found[piece] = found.get(piece, 0) + f
+            if len(found) > HELD_PIECES:
+                yield pd.DataFrame(found.items(), columns=["w", "freq"])
+                found = {}
+        yield pd.DataFrame(found.items(), columns=["w", "freq"]).astype({"w": "object", "freq": "int64"})
+
+    return words.mapInPandas(run, "w string, freq long").groupBy("w").agg(F.sum("freq").alias("freq"))
+
+
+def _symbols(words: DataFrame) -> int:
+    return words.agg(F.sum(F.length("w"))).first()[0] or 0
+
+
+def _band_of_merges(
+    table: DataFrame, found: Vocabulary, size: int, least: int, held_symbols: int, enough: int, width: int
+) -> tuple[DataFrame | None, int]:
+    """Take all merges of a band of counts and return the words after them, and how many pairs to begin the next band
+    with; None if not even the pieces around the `enough` most frequent pairs have at most `held_symbols` symbols.
+
+    A pair that is created later is at most as frequent as the two symbols were that meet in its middle. Words may
+    therefore be cut at all pairs below the band: nothing that spans a cut gets into the band. The pieces repeat much
+    more than the words, and equal ones are one row, so a band that reaches as deep as `held_symbols` admits is held
+    whatever the size of the corpus. Pairs that no piece links to each other cannot change each other's counts: the
+    executors merge each group of linked pairs by itself, one pair at a time, and the driver only puts the groups'
+    merges in order.
     """
     live, complete = _live_pairs(table, least)
     if not live:
-        return table.filter("w IS NULL")
-    total = table.agg(F.sum(F.length("w"))).first()[0]  # no group has more, though a word counts once per pair in its load
-    live = [(pair, n, min(load, total)) for pair, n, load in live]
-    links = _shared_words(table, [p for p, *_ in live])
-    cut, group = _band(live, links, held_symbols if held_symbols < total else len(live) * total)
-    if not (cut == len(live) and complete) and cut < enough:
-        return None
-    floor = least if cut == len(live) and complete else live[cut - 1][1]
-    alone = floor == least and len(set(group)) == 1
-    part_of = {pair: g for (pair, *_), g in zip(live, group, strict=False)}
+        return table.filter("w IS NULL"), width
+    pairs, floor, pieces = live, least if complete else live[-1][1], table
+    if whole := _symbols(table) <= held_symbols:
+        symbols = 0
+    while not whole:
+        if width < len(live):
+            floor = live[width - 1][1]
+            pairs = [p for p in live if p[1] >= floor]
+        pieces = materialised(_pieces(table, [p for p, *_ in pairs]), "pieces")
+        symbols = _symbols(pieces)
+        if symbols <= held_symbols:
+            break
+        if width <= enough:
+            return None, width
+        width = max(min(width, len(live)) // 4, 1)
+    links = _shared_words(pieces, [p for p, *_ in pairs])
+    _, group = _band([(pair, n, 0) for pair, n, _ in pairs], links, held_symbols)
+    alone = whole and complete and len(set(group)) == 1
+    part_of = {pair: g for (pair, *_), g in zip(pairs, group, strict=True)}
     names, tokens, room = found.names, found.tokens, size - len(found.names)
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -455,15 +507,16 @@ def _band_of_merges(table: DataFrame, found: Vocabulary, size: int, least: int,
         out = pd.DataFrame(rows, columns=["n", "left_id", "right_id"], dtype="int64")
         return out.assign(part=frame["part"].iloc[0], at=range(len(rows)))[["part", "at", "n", "left_id", "right_id"]]
 
-    words = materialised(table.mapInPandas(placed, "w string, freq long, part int"), "words")
-    rows = words.filter("part >= 0").groupBy("part").applyInPandas(trained, "part int, at int, n long, left_id int, right_id int")
+    rows = pieces.mapInPandas(placed, "w string, freq long, part int").filter("part >= 0").groupBy("part")
+    rows = rows.applyInPandas(trained, "part int, at int, n long, left_id int, right_id int")
     chosen = rows.toPandas().sort_values(["part", "at"])  # no more than the band's pairs and the tokens that may follow
     groups: dict[int, list[tuple[int, int, int]]] = {}
     for part, n, left, right in zip(*(chosen[c].tolist() for c in ("part", "n", "left_id", "right_id")), strict=True):
         groups.setdefault(part, []).append((n, left, right))
     before = len(found.merges)
     _interleaved(groups, found, size, alone)
-    return _merged_in_order(words, found.merges[before:])
+    deeper = 4 if symbols * 4 <= held_symbols else 2 if symbols * 2 <= held_symbols else 1
+    return _merged_in_order(table, found.merges[before:]), min(width * deeper, LIVE_PAIRS)
 
 
 def train_vocabulary(
@@ -479,11 +532,12 @@ def train_vocabulary(
     Ids: reserved tokens, then the bytes seen in order of their stand-ins, then merges. The result equals merging
     one pair at a time, the most frequent first and on ties the one with smaller ids.
 
-    While the most frequent pairs lie in too many words, a round counts pairs, takes every merge that is already
-    certain (`_certain_merges`) and applies them together; at most `candidates` pairs reach the driver. As soon as
-    the most frequent pairs fall into groups that share no word, of at most `held_symbols` symbols each, a round takes
-    a whole band of counts, each group merged by a task of its own (`_band_of_merges`). The driver sees pairs, their
-    counts and their merges, never words. Words that are down to one symbol drop out whenever the table is rewritten.
+    A round takes all merges of a band of counts: the words are cut at the pairs below the band, equal pieces are added
+    up, and each group of linked pieces is merged by a task of its own, at most `held_symbols` symbols in all
+    (`_band_of_merges`). If no band of `merges_per_table` pairs fits, a round counts pairs, takes every merge that is
+    already certain (`_certain_merges`) and applies them together; at most `candidates` pairs reach the driver. The
+    driver sees pairs, their counts and their merges, never words. Words that are down to one symbol drop out whenever
+    the table is rewritten.
     """
     spark = counts.sparkSession
     spelled = materialised(
@@ -502,11 +556,15 @@ def train_vocabulary(
         return materialised(words.filter(F.length("w") > 1).repartition(parallel), "words")
 
     table, waiting = None, []  # the words as last written, and the merges applied to them since
+    reach = FIRST_PAIRS  # pairs that the next band begins with
     width = 32  # pairs looked at in a round: twice as many as the last round could use
     while len(found.names) < size:
         if table is None or len(waiting) >= merges_per_table:
             table, waiting = rewritten(_merged(words if table is None else table, waiting)), []
-            while len(found.names) < size and (after := _band_of_merges(table, found, size, least, held_symbols, merges_per_table)) is not None:
+            while len(found.names) < size:
+                after, reach = _band_of_merges(table, found, size, least, held_symbols, merges_per_table, reach)
+                if after is None:
+                    break
                 table = rewritten(after)
                 if table.isEmpty():
                     break
