@@ -245,3 +245,15 @@ def test_cosine_of_zero_vector(spark):
     row = spark.sql("SELECT array(0.0D, 0.0D) a, array(1.0D, 2.0D) b")
     assert row.select(cosine(F.col("a"), F.col("b")).alias("c")).first().c == 0.0
     assert abs(row.select(cosine(F.col("b"), F.col("b")).alias("c")).first().c - 1.0) < 1e-12
+
+
+def test_files_of_one_path_are_numbered_together(spark):
+    def content(mark, blocks):
+        return "\n\n".join("\n".join(f"{mark}{b} = {'x' * 80}  # {i}" for i in range(24)) for b in range(blocks))
+
+    rows = [("t/a.py", content("first", 2)), ("t/a.py", content("second", 3)), ("t/b.py", content("only", 2))]
+    files = spark.createDataFrame(rows, "path string, content string").repartition(3)
+    found = {(r.doc_key, r.frag_idx): r.text for r in readers.code_tree_fragments(files).collect()}
+    marks = [next(m for m in ("first0", "second0", "first1", "second1", "second2") if f"{m} =" in found["t/a.py", i]) for i in range(5)]
+    assert marks == ["first0", "second0", "first1", "second1", "second2"]
+    assert len(found) == 7 and ("t/b.py", 1) in found

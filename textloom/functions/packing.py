@@ -144,8 +144,9 @@ def code_cut_ends(lines: Column, max_chars: int) -> Column:
     return F.aggregate(measured, empty, step, lambda acc: acc["ends"])
 
 
-def pack_code(text: Column, max_chars: int = MAX_CHARS, min_chars: int = MIN_CODE) -> Column:
-    """Fragments of a code text, as an array in order: whole lines, cut by `code_cut_ends`."""
+def code_blocks(text: Column, max_chars: int = MAX_CHARS, min_chars: int = MIN_CODE) -> Column:
+    """Fragments of a code text, as an array of `at` (number of the block, short ones counted) and `text`: whole lines,
+    cut by `code_cut_ends`."""
 
     def blocks(lines: Column) -> Column:
         bounds = F.concat(
@@ -155,8 +156,13 @@ def pack_code(text: Column, max_chars: int = MAX_CHARS, min_chars: int = MIN_COD
             bounds,
             lambda b: F.transform(
                 F.slice(b, F.lit(1), F.size(b) - 1),
-                lambda start, k: strip(F.array_join(_range(lines, start, F.get(b, k + 1)), "\n")),
+                lambda start, k: F.struct(k.alias("at"), strip(F.array_join(_range(lines, start, F.get(b, k + 1)), "\n")).alias("text")),
             ),
         )
 
-    return F.filter(let(F.split(text, "\n"), blocks), lambda f: F.length(f) >= min_chars)
+    return F.filter(let(F.split(text, "\n"), blocks), lambda f: F.length(f["text"]) >= min_chars)
+
+
+def pack_code(text: Column, max_chars: int = MAX_CHARS, min_chars: int = MIN_CODE) -> Column:
+    """Fragments of a code text, as an array in order."""
+    return F.transform(code_blocks(text, max_chars, min_chars), lambda f: f["text"])
