@@ -72,3 +72,35 @@ def test_repeated_keys_in_a_later_batch(spark, tmp_path):
         (landing / name).write_text((landing / "b.json").read_text().replace("text of", "later text of"))
     assert run() == [("None", False), ("None", False), ("None", True), ("None", True), ("k1", False), ("k2", False)]
     assert sorted(r.key for r in spark.read.parquet(ledger).collect()) == ["k1", "k2"]
+
+
+def test_keys_without_their_texts_in_the_state(spark, tmp_path):
+    """The state holds keys and files only; of a key in one file twice the smallest row stays, and names of files are no patterns."""
+    landing = tmp_path / "landing"
+    store, ledger, progress = (str(tmp_path / n) for n in ("store", "ledger", "progress"))
+    landing.mkdir()
+    rows = [("s", "k", "z" * 30), ("s", "k", "unique-words " * 5), (None, "k", "other source " * 5), (None, "k", None)]
+    lines = [json.dumps(dict(zip(("source", "doc_key", "text"), r, strict=True))) for r in rows]
+    (landing / "a b [1].json").write_text("\n".join(lines))
+
+    def cut(batch):
+        return fragments(batch, F.col("source"), F.col("doc_key"), F.array(F.coalesce("text", F.lit("nothing " * 10))))
+
+    stream = landed_stream(spark, str(landing))
+    store_batches(stream, cut, store, ledger, progress).awaitTermination()
+    found = {(r.source, r.doc_key): r.text for r in spark.read.parquet(store).collect()}
+    assert found == {("s", "k"): "unique-words " * 5, (None, "k"): "nothing " * 10}
+    states = [p.read_bytes() for p in (tmp_path / "progress" / "state").rglob("*") if p.is_file()]
+    assert states and not any(b"unique-words" in s for s in states)
+
+
+def test_landed_files_grow_with_the_splits(spark, sf_dir, tmp_path):
+    from textloom.queries import streams
+
+    spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    try:
+        times = streams.land(spark, str(tmp_path), str(tmp_path / "landing"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert times >= 3 and len(list((tmp_path / "landing").glob("part-*"))) == 4 * times

@@ -15,17 +15,25 @@ from textloom.streaming.ingest import landed_stream, progress_counts, store_batc
 PACKED = S.prose_of("SELECT doc_id AS k, text AS raw FROM documents")
 
 
-def land(spark, sf, path: str, wanted=None) -> None:
-    docs = table(spark, sf, "documents").select("source", F.col("doc_id").cast("string").alias("doc_key"), "text", "lang")
+#: Files that a small table lands as; a larger one has as many for every split of its scan.
+LANDED = 4
+
+
+def land(spark, sf, path: str, wanted=None) -> int:
+    """Write the documents as line files; returns into how many times four of them."""
+    read = table(spark, sf, "documents")
+    times = read.rdd.getNumPartitions()
+    docs = read.select("source", F.col("doc_id").cast("string").alias("doc_key"), "text", "lang")
     kept = docs if wanted is None else docs.filter(wanted)
-    kept.drop("lang").repartition(4).write.mode("append").json(path)
+    kept.drop("lang").repartition(LANDED * times).write.mode("append").json(path)
+    return times
 
 
 def packed(batch):
     return fragments(batch, F.col("source"), F.col("doc_key"), pack_paragraphs(clean_prose(F.col("text"))))
 
 
-def ingest(spark, landing: str, store: str, files: int = 2) -> None:
+def ingest(spark, landing: str, store: str, files: int) -> None:
     stream = landed_stream(spark, landing, files_per_batch=files)
     store_batches(stream, packed, f"{store}/fragments", f"{store}/ledger", f"{store}/progress").awaitTermination()
 
@@ -39,11 +47,11 @@ def ingest(spark, landing: str, store: str, files: int = 2) -> None:
 def st1(spark, sf):
     """English documents land first, then all of them; the second run stores the others, the third nothing."""
     landing, store = new_path(spark, "landing"), new_path(spark, "ingest")
-    land(spark, sf, landing, F.col("lang") == "en")
-    ingest(spark, landing, store)
+    times = land(spark, sf, landing, F.col("lang") == "en")
+    ingest(spark, landing, store, files=2 * times)
     land(spark, sf, landing)
-    ingest(spark, landing, store)
-    ingest(spark, landing, store)
+    ingest(spark, landing, store, files=2 * times)
+    ingest(spark, landing, store, files=2 * times)
     return spark.read.parquet(f"{store}/fragments").drop("batch")
 
 
@@ -57,8 +65,8 @@ def st1_many(spark, sf):
     """Every document lands twice, and all files are one batch: the same rows as one file at a time."""
     landing, store = new_path(spark, "landing"), new_path(spark, "ingest")
     land(spark, sf, landing)
-    land(spark, sf, landing)
-    ingest(spark, landing, store, files=1000)
+    times = land(spark, sf, landing)
+    ingest(spark, landing, store, files=1000 * times)
     return spark.read.parquet(f"{store}/fragments").drop("batch")
 
 
@@ -66,8 +74,8 @@ def st1_many(spark, sf):
 def st2(spark, sf):
     """Every key is in the ledger of exactly one of several micro-batches."""
     landing, store = new_path(spark, "landing"), new_path(spark, "ingest")
-    land(spark, sf, landing)
-    ingest(spark, landing, store, files=1)
+    times = land(spark, sf, landing)
+    ingest(spark, landing, store, files=times)
     done = spark.read.parquet(f"{store}/ledger")
     return done.groupBy("source", "key").agg(F.count_distinct("batch").cast("int").alias("times"))
 
@@ -75,7 +83,7 @@ def st2(spark, sf):
 @query("st3_running_counts", "SELECT source, count(*) AS landed FROM documents GROUP BY source")
 def st3(spark, sf):
     landing, counts = new_path(spark, "landing"), new_path(spark, "counts")
-    land(spark, sf, landing)
-    stream = landed_stream(spark, landing, files_per_batch=2)
+    times = land(spark, sf, landing)
+    stream = landed_stream(spark, landing, files_per_batch=2 * times)
     progress_counts(stream, counts, new_path(spark, "progress")).awaitTermination()
     return spark.read.parquet(counts).groupBy("source").agg(F.max("count").alias("landed"))

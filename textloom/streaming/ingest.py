@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable
+from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StructType
 
 from textloom.operators.select import worth_caching
+from textloom.session import materialised
 
 LANDED_SCHEMA = "source string, doc_key string, text string"
 
@@ -20,36 +22,38 @@ def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000, s
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def _rank(value) -> tuple:
-    """Order of values as Spark has it in a struct: nulls first."""
-    missing = value is None or value != value
-    return not missing, "" if missing else value
+def seen_keys(landed: DataFrame) -> DataFrame:
+    """The keys of a stream's rows, each with the time of the batch that it came with and the first file by name that has
+    it there (`_first`), and the time of its last batch (`_last`); rows without a key have a line for every file.
 
+    The state store holds one such line per key, so a batch looks up its own keys only, however many there have been,
+    and no text passes through it. A repeated batch has its old time.
+    """
+    named = landed.select("source", "doc_key", F.col("_metadata.file_path").alias("_file"), F.current_timestamp().alias("_time"))
+    kept = named.groupBy("source", "doc_key", F.when(F.col("doc_key").isNull(), F.col("_file")).alias("_of"))
+    return kept.agg(F.min(F.struct("_time", "_file")).alias("_first"), F.max("_time").alias("_last"))
 
-def first_per_key(landed: DataFrame) -> DataFrame:
-    """A stream's rows without those whose source and key came before; rows without a key are all kept.
 
-    The state store holds, per key, the file that it came from, so a batch looks up its own keys only, however many
-    there have been. Of rows with a new key in one batch the one of the first file by name stays, then the smallest.
-    """
-    columns = landed.columns
-    named = landed.withColumn("_file", F.col("_metadata.file_path"))
-    order = ["_file", *[c for c in columns if c not in ("source", "doc_key")]]
-
-    def first(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best, place = None, None
-        for frame in frames:
-            ranks = [tuple(map(_rank, row)) for row in frame[order].itertuples(index=False)]
-            at = min(range(len(ranks)), key=ranks.__getitem__)
-            if best is None or ranks[at] < place:
-                best, place = frame.iloc[[at]], ranks[at]
-        if best is not None and not state.exists:
-            state.update((best["_file"].iloc[0],))
-            yield best[columns]
-
-    keyed = named.filter("doc_key IS NOT NULL").groupBy("source", "doc_key")
-    kept = keyed.applyInPandasWithState(first, landed.schema, "file string", "append", GroupStateTimeout.NoTimeout)
-    return kept.unionByName(named.filter("doc_key IS NULL").select(*columns))
+def new_keys(seen: DataFrame) -> DataFrame:
+    """Of a batch's `seen_keys` those that did not come before, with the file to read them from."""
+    new = F.col("doc_key").isNull() | (F.col("_first._time") == F.col("_last"))
+    return seen.filter(new).select("source", "doc_key", F.col("_first._file").alias("_file"))
+
+
+def rows_of_keys(keys: DataFrame, schema: StructType) -> DataFrame:
+    """The landed rows of a batch's `new_keys`, read from their files: of a key the smallest row, nulls first; rows
+    without a key are all kept."""
+    files = [r["_file"] for r in keys.select("_file").distinct().collect()]  # no more than the files of a batch
+    spark, rest = keys.sparkSession, [c for c in schema.names if c not in ("source", "doc_key")]
+    if not files:
+        return spark.createDataFrame([], schema)
+    plain = [re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(f)) for f in files]  # names, which metadata encodes, not patterns
+    read = spark.read.schema(schema).json(plain).withColumn("_file", F.col("_metadata.file_path")).alias("r")
+    same = (F.col("r.doc_key") == F.col("k.doc_key")) & F.col("r.source").eqNullSafe(F.col("k.source")) & (F.col("r._file") == F.col("k._file"))
+    found = read.join(keys.alias("k"), same, "left_semi").groupBy("source", "doc_key")
+    first = found.agg(F.min(F.struct(*rest)).alias("_r")) if rest else found.agg(F.lit(None).alias("_r"))
+    keyed = first.select(*[F.col("_r")[c].alias(c) if c in rest else F.col(c) for c in schema.names])
+    return keyed.unionByName(read.filter("doc_key IS NULL").select(*schema.names))
 
 
 def store_batches(
@@ -62,7 +66,7 @@ def store_batches(
     """Process what is new and stop. A later run continues where this one ended.
 
     The checkpoint keeps a file from being read twice and, in its state store, a key that lands again from being
-    stored twice (`first_per_key`). Every micro-batch overwrites its own folder, fragments first and then the keys
+    stored twice (`seen_keys`); the rows of new keys are then read from their files (`rows_of_keys`). Every micro-batch overwrites its own folder, fragments first and then the keys
     it finished; a batch that is repeated after a failure starts from the same state and replaces its own output. Of
     rows with the same key the one of the first file by name counts, in one batch as over several, so the result does
     not depend on the number of files per batch. The ledger is a record for readers; no batch reads it.
@@ -72,17 +76,14 @@ def store_batches(
     """
 
     def store_batch(batch: DataFrame, number: int) -> None:
-        new = batch.persist()  # the fragments and the keys come from the same reading
-        try:
-            kept = to_fragments(new).filter(worth_caching(F.col("text")))
-            kept.write.mode("overwrite").parquet(f"{store}/batch={number}")
-            done = new.filter("doc_key IS NOT NULL").select("source", F.col("doc_key").alias("key")).distinct()
-            done.write.mode("overwrite").parquet(f"{ledger}/batch={number}")
-        finally:
-            new.unpersist()
+        keys = materialised(new_keys(batch), "new-keys")  # the state is gone through once
+        kept = to_fragments(rows_of_keys(keys, landed.schema)).filter(worth_caching(F.col("text")))
+        kept.write.mode("overwrite").parquet(f"{store}/batch={number}")
+        done = keys.filter("doc_key IS NOT NULL").select("source", F.col("doc_key").alias("key"))
+        done.write.mode("overwrite").parquet(f"{ledger}/batch={number}")
 
     return (
-        first_per_key(landed).writeStream.foreachBatch(store_batch)
+        seen_keys(landed).writeStream.outputMode("update").foreachBatch(store_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
