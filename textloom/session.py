@@ -72,12 +72,31 @@ def materialised(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows and bytes that a Python worker gets at a time, when they are whole texts.
+TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 1_000, 16 << 20
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Keep the batches of Python workers small enough for whole texts, in sessions that were built elsewhere, too.
+
+    A worker holds a batch several times over, so with Spark's own settings its memory grows with the texts up to
+    some 10 times 64 MB per core. Smaller settings of the session stay.
+    """
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= TEXT_BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH_ROWS))
+    size = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    if not (size.rstrip("b").isdigit() and 0 < int(size.rstrip("b")) <= TEXT_BATCH_BYTES):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH_BYTES))
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Use every core for CPU-heavy work on a scan that has too few splits.
+    """Use every core for CPU-heavy work on a scan that has too few splits, and small batches for its texts.
 
     A large table already has more splits than cores and passes through without a shuffle. Meant for plain
     scans: asking for the number of partitions behind a shuffle would run that shuffle.
     """
+    text_batches(scan.sparkSession)
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
