@@ -158,3 +158,32 @@ def test_banners(spark):
         "body first",
         f"{start} no blank line",
     ]
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    from textloom import session
+
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(rows), spark.conf.get(size)
+    try:
+        for given, kept in ((("10000", "64m"), ("1000", str(16 << 20))), (("0", "1g"), ("1000", str(16 << 20))), (("300", "1000000"), ("300", "1000000"))):
+            spark.conf.set(rows, given[0])
+            spark.conf.set(size, given[1])
+            session.spread(spark.range(3))
+            assert (spark.conf.get(rows), spark.conf.get(size).rstrip("b")) == kept
+    finally:
+        spark.conf.set(rows, before[0])
+        spark.conf.set(size, before[1])
+
+
+def test_blocks_of_words_do_not_grow_with_the_batch(monkeypatch):
+    import pyarrow as pa
+
+    from textloom.operators import scoring
+
+    monkeypatch.setattr(scoring, "BLOCK_WORDS", 10)
+    lists = [["a"] * n for n in (3, 4, 5, 0, 30, 1)] + [None, ["b"] * 9]
+    parts = list(scoring._block_parts(pa.RecordBatch.from_pydict({"_w": pa.array(lists, pa.list_(pa.string()))})))
+    assert [w for p in parts for w in p.column("_w").to_pylist()] == lists
+    assert max(len(p.column("_w").flatten()) for p in parts) == 30 and len(parts) == 4
+    assert list(scoring._block_parts(parts[0].slice(0, 0)))[0].num_rows == 0

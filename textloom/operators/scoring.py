@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain, pairwise
 from operator import and_
 
 import numpy as np
@@ -54,6 +55,15 @@ def _count_block(block: int, keys: list[pa.Array], lists: list[pa.Array]) -> Ite
         ], names=names)
 
 
+def _block_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most about `BLOCK_WORDS` words, whatever the number of its rows."""
+    sizes = batch.column("_w").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(sizes) - sizes) // BLOCK_WORDS
+    starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(sizes)]
+    for start, end in pairwise(starts):
+        yield batch.slice(start, end - start)
+
+
 def _block_bigrams(texts: DataFrame, text: str, key: str | None = None) -> DataFrame:
     """Bigrams of blocks of documents; every text is cut into words once.
 
@@ -68,7 +78,7 @@ def _block_bigrams(texts: DataFrame, text: str, key: str | None = None) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, held, keys, lists = TaskContext.get().partitionId(), 0, 0, [], []
-        for batch in batches:
+        for batch in chain.from_iterable(map(_block_parts, batches)):
             lists.append(batch.column("_w"))
             if key:
                 keys.append(batch.column("_key"))
