@@ -212,14 +212,21 @@ def archive_index(archives: DataFrame) -> DataFrame:
     """
 
     def listed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple] = []
         for frame in frames:
             for row in frame.itertuples(index=False):
-                found = pd.DataFrame(list(archive_list(row.file)), columns=["path", "size", "at", "packed"])
-                yield found.assign(owner=row.owner, repo=row.repo, branch=row.branch, file=row.file)[INDEX_COLUMNS]
+                for entry in archive_list(row.file):
+                    rows.append((row.owner, row.repo, row.branch, row.file, *entry))
+                    if len(rows) == INDEX_ROWS:  # many archives with few entries, or part of a large one
+                        yield pd.DataFrame(rows, columns=INDEX_COLUMNS)
+                        rows = []
+        yield pd.DataFrame(rows, columns=INDEX_COLUMNS)
 
     return archives.select("owner", "repo", "branch", "file").mapInPandas(listed, INDEX_SCHEMA)
 
 
+#: Entries that a task passes on at a time.
+INDEX_ROWS = 10_000
 INDEX_COLUMNS = ["owner", "repo", "branch", "file", "path", "size", "at", "packed"]
 
 
