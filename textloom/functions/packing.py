@@ -25,13 +25,14 @@ def _range(pieces: Column, start: Column, end: Column) -> Column:
     return F.slice(pieces, start + 1, end - start)
 
 
-def next_fit_starts(lengths: Column, gap: int, max_chars: int) -> Column:
+def next_fit_starts(lengths: Column, gap: int, max_chars: int, used: Column | None = None) -> Column:
     """Positions at which a new group begins when pieces are joined with `gap` characters between them.
 
-    A piece joins the open group unless the result would exceed `max_chars`.
+    A piece joins the open group unless the result would exceed `max_chars`. `used` is the size of the group that is
+    open before the first piece, -1 if there is none.
     """
     empty = F.struct(
-        F.lit(0).alias("at"), F.lit(-1).alias("used"), F.array().cast("array<int>").alias("starts")
+        F.lit(0).alias("at"), (F.lit(-1) if used is None else used).alias("used"), F.array().cast("array<int>").alias("starts")
     )
 
     def step(acc: Column, size: Column) -> Column:
@@ -45,7 +46,9 @@ def next_fit_starts(lengths: Column, gap: int, max_chars: int) -> Column:
     return F.aggregate(lengths, empty, step, lambda acc: acc["starts"])
 
 
-def _packed_sentences(paragraph: Column, position: Column, max_chars: int) -> Column:
+def sentence_groups(paragraph: Column, position: Column, max_chars: int) -> Column:
+    """Sentences of a long paragraph packed together: `pos`, `sub` and `text`."""
+
     def groups(parts: Column) -> Column:
         return let(
             next_fit_starts(_lengths(parts), 1, max_chars),
@@ -64,27 +67,29 @@ def _packed_sentences(paragraph: Column, position: Column, max_chars: int) -> Co
     return let(sentences(paragraph), groups)
 
 
-def _packed_paragraphs(short: Column, last: Column, max_chars: int) -> Column:
-    def groups(starts: Column) -> Column:
-        return F.transform(
-            starts,
-            lambda start, k: let(
-                F.get(starts, k + 1),
-                lambda following: F.struct(
-                    # a group is emitted by the paragraph that no longer fits, or at the very end
-                    F.coalesce(F.get(short, following)["pos"], last).alias("pos"),
-                    F.lit(0).alias("sub"),
-                    F.array_join(
-                        F.transform(
-                            _range(short, start, F.coalesce(following, F.size(short))), lambda p: p["text"]
-                        ),
-                        "\n\n",
-                    ).alias("text"),
-                ),
+def paragraph_groups(short: Column, starts: Column, last: Column) -> Column:
+    """Short paragraphs (`pos`, `text`) packed together in groups that begin at `starts`: `pos`, `sub` and `text`.
+
+    A group is emitted by the paragraph that no longer fits, or at the very end (`last`).
+    """
+    return F.transform(
+        starts,
+        lambda start, k: let(
+            F.get(starts, k + 1),
+            lambda following: F.struct(
+                F.coalesce(F.get(short, following)["pos"], last).alias("pos"),
+                F.lit(0).alias("sub"),
+                F.array_join(
+                    F.transform(_range(short, start, F.coalesce(following, F.size(short))), lambda p: p["text"]), "\n\n"
+                ).alias("text"),
             ),
-        )
+        ),
+    )
 
-    return let(next_fit_starts(F.transform(short, lambda p: F.length(p["text"])), 2, max_chars), groups)
+
+def _packed_paragraphs(short: Column, last: Column, max_chars: int) -> Column:
+    starts = next_fit_starts(F.transform(short, lambda p: F.length(p["text"])), 2, max_chars)
+    return let(starts, lambda at: paragraph_groups(short, at, last))
 
 
 def pack_paragraphs(text: Column, max_chars: int = MAX_CHARS, min_chars: int = MIN_PROSE) -> Column:
@@ -101,7 +106,7 @@ def pack_paragraphs(text: Column, max_chars: int = MAX_CHARS, min_chars: int = M
         long = F.flatten(
             F.transform(
                 F.filter(all_, lambda p: F.length(p["text"]) > max_chars),
-                lambda p: _packed_sentences(p["text"], p["pos"], max_chars),
+                lambda p: sentence_groups(p["text"], p["pos"], max_chars),
             )
         )
         short = let(

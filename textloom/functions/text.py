@@ -107,16 +107,20 @@ def is_blank(text: Column) -> Column:
     return strip(text) == ""
 
 
+def clean_prose_lines(text: Column) -> Column:
+    """`clean_prose` for a part of a text between two lines: both ends stay as they are."""
+    c = _without_controls(text, r"\n")
+    c = _replaced_where(c, ["\n\n\n"], r"\n{3,}", "\n\n")
+    c = _replaced_where(c, ["  "], r" {2,}", " ")
+    return _replaced_where(c, [" \n", "\n "], r" ?\n ?", "\n")
+
+
 def clean_prose(text: Column) -> Column:
     """Prose cleaning: NFC, control characters out, blank runs collapsed, lines trimmed.
 
     Tabs and carriage returns are control characters here: they vanish, they do not become spaces.
     """
-    c = _without_controls(text, r"\n")
-    c = _replaced_where(c, ["\n\n\n"], r"\n{3,}", "\n\n")
-    c = _replaced_where(c, ["  "], r" {2,}", " ")
-    c = _replaced_where(c, [" \n", "\n "], r" ?\n ?", "\n")
-    return strip(c)
+    return strip(clean_prose_lines(text))
 
 
 def clean_code(text: Column) -> Column:
@@ -169,6 +173,7 @@ def encode_title(title: Column) -> Column:
 # The lines around the body of a digitised book, in order of preference.
 BOOK_START = ["*** START OF THE PROJECT GUTENBERG EBOOK", "*** START OF THIS PROJECT GUTENBERG EBOOK"]
 BOOK_END = ["*** END OF THE PROJECT GUTENBERG EBOOK", "*** END OF THIS PROJECT GUTENBERG EBOOK"]
+BOOK_MARK = " PROJECT GUTENBERG EBOOK"  # in each of them
 
 
 def _first_hit(text: Column, marks: list[str]) -> Column:

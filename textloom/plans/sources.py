@@ -15,6 +15,7 @@ from textloom.plans.corpus import mixed_dataset
 from textloom.session import materialised
 from textloom.sources import readers, sinks
 from textloom.sources import reference_values as ref
+from textloom.sources.books import landed_book_fragments
 from textloom.sources.store import FragmentStore
 
 PAIR_SCHEMA = "id long, translation map<string, string>, text string"
@@ -39,7 +40,7 @@ def articles(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def books(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return readers.book_fragments(readers.read_books(spark, paths))
+    return landed_book_fragments(spark, paths)
 
 
 def archives(

@@ -8,6 +8,8 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from textloom.plans.sources import store_sources
 from textloom.plans.tuning import repaired_lines
 from textloom.queries import query, table, wide_table
 from textloom.queries import sqltext as S
-from textloom.session import shared_folder
+from textloom.session import shared_folder, text_batches
 from textloom.sources import readers, sinks
 from textloom.sources import reference_values as ref
 from textloom.sources.archives import write_file
@@ -333,19 +335,33 @@ def k6(spark, sf):
 # --- plans ------------------------------------------------------------------------------------------
 
 
-def land_books(spark, sf) -> str:
-    """One book per source of the documents, its paragraphs in order, as files of a folder."""
-    docs = table(spark, sf, "documents").groupBy("source").agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("docs"))
-    books = docs.select(F.substring("source", 4, 10).alias("book"), F.array_join("docs.text", "\n\n").alias("text"))
-    folder = new_path(spark, "books")
+#: Bytes of a landed part of a book.
+PART_BYTES = 16 << 20
 
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                write_file(f"{folder}/{row.book}-0.txt", row.text.encode())
-            yield pd.DataFrame({"n": [len(frame)]})
 
-    books.mapInPandas(write, "n long").agg(F.sum("n")).collect()
+def land_books(spark, sf) -> str:
+    """One book per source of the documents, its paragraphs in order, as parts in a folder."""
+    docs = table(spark, sf, "documents").filter("text IS NOT NULL").select(F.substring("source", 4, 10).alias("book"), "doc_id", "text")
+    folder = new_path(spark, "books")
+    text_batches(spark)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made, of, held, size = TaskContext.get().partitionId(), 0, None, [], 0
+        for batch in batches:
+            for book, text in zip(batch.column("book").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                if held and (book != of or size >= PART_BYTES):
+                    write_file(f"{folder}/{of}-0.{task:06d}{made:06d}.txt", b"".join(held))
+                    made, held, size = made + 1, [], 0
+                of = book
+                held.append(f"{text}\n\n".encode())
+                size += len(held[-1])
+        if held:
+            write_file(f"{folder}/{of}-0.{task:06d}{made:06d}.txt", b"".join(held))
+        yield pa.RecordBatch.from_pydict({"n": pa.array([made + bool(held)], pa.int64())})
+
+    # parts are numbered in the order of the ranges, so a book may be spread over as many tasks as it needs
+    placed = docs.repartitionByRange("book", "doc_id").sortWithinPartitions("book", "doc_id", "text")
+    placed.mapInArrow(write, "n long").agg(F.sum("n")).collect()
     return folder
 
 
