@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.operators import mix, ranking, scoring
-from textloom.operators.scoring import bigram_scores, join_uneven, next_word_table, top_k_with_ties
+from textloom.operators.scoring import bigram_scores, block_words, document_token_ids, join_uneven, next_word_table, top_k_with_ties
 
 
 @pytest.fixture(scope="module")
@@ -163,3 +163,18 @@ def test_bigram_scores_of_nothing(spark):
     assert bigram_scores(empty, "doc_id").count() == 0
     assert next_word_table(empty).count() == 0
     assert bigram_scores(spark.createDataFrame([(1, None), (2, "one")], "doc_id long, text string"), "doc_id").count() == 0
+
+
+@pytest.mark.parametrize("block", [3, 10_000])
+def test_token_ids_by_blocks(spark, monkeypatch, block):
+    """Only a block's distinct words are joined; equal keys, null included, count as one; a word may have two ids."""
+    monkeypatch.setattr("textloom.operators.scoring.BLOCK_WORDS", block)
+    texts = [(1, "a b a  C"), (2, "c c a"), (2, "a d"), (None, "b"), (None, "b <unk>"), (3, ""), (4, None), (5, "e")]
+    vocabulary = spark.createDataFrame([("a", 5), ("b", 6), ("<unk>", 1), ("<unk>", 9), ("c", 7)], "token string, id int")
+    for cut in (texts, [t for t in texts if t[0] not in (2, None)]):
+        rows = block_words(spark.createDataFrame(cut, "doc_id long, text string").repartition(2), "doc_id")
+        ids = {"a": [5], "b": [6], "c": [7], "<unk>": [1, 9]}
+        counted = Counter((k, w) for k, t in cut for w in (t or "").lower().split())
+        expected = sorted(((k, w, i, n) for (k, w), n in counted.items() for i in ids.get(w, [1])), key=str)
+        assert sorted((tuple(r) for r in document_token_ids(rows, vocabulary, "doc_id").collect()), key=str) == expected
+    assert rows.filter("token = 'a'").agg(F.sum("n")).first()[0] == 2

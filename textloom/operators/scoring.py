@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import chain, pairwise
 from operator import and_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.vectors import cosine
 from textloom.operators.reports import capped_perplexity
+from textloom.operators.select import token_ids
 from textloom.session import materialised
 
 HOT_SHARE = 1e-4
@@ -27,13 +29,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
 
 
-def _count_block(block: int, keys: list[pa.Array], lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-    """One block's rows: its distinct bigrams with their counts, then its documents as numbers of bigrams."""
+def _coded_words(lists: list[pa.Array]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Number of words of each document of a block, the words' numbers in order, and the distinct words."""
     sizes = np.concatenate([x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for x in lists])
     coded = pa.chunked_array([x.flatten() for x in lists]).dictionary_encode().combine_chunks()
     if isinstance(coded, pa.ChunkedArray):
         coded = pa.concat_arrays(coded.chunks)
-    codes, known = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    return sizes, coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
+def _count_block(block: int, keys: list[pa.Array], lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """One block's rows: its distinct bigrams with their counts, then its documents as numbers of bigrams."""
+    sizes, codes, known = _coded_words(lists)
     followed = np.ones(len(codes), bool)
     followed[np.cumsum(sizes)[sizes > 0] - 1] = False
     at = np.flatnonzero(followed)
@@ -76,20 +83,101 @@ def _block_bigrams(texts: DataFrame, text: str, key: str | None = None) -> DataF
     if key:
         schema += f", _key {texts.schema[key].dataType.simpleString()}, _numbers array<int>"
 
+    return tokens.mapInArrow(_by_blocks(_count_block), schema)
+
+
+def _by_blocks(count: Callable[[int, list[pa.Array], list[pa.Array]], Iterator[pa.RecordBatch]]) -> Callable:
+    """Apply `count` to blocks of about `BLOCK_WORDS` words: number of the block, keys (`_key`, if any) and words (`_w`)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, held, keys, lists = TaskContext.get().partitionId(), 0, 0, [], []
         for batch in chain.from_iterable(map(_block_parts, batches)):
             lists.append(batch.column("_w"))
-            if key:
+            if "_key" in batch.schema.names:
                 keys.append(batch.column("_key"))
             held += len(batch.column("_w").flatten())
             if held >= BLOCK_WORDS:
-                yield from _count_block(part << 32 | made, keys, lists)
+                yield from count(part << 32 | made, keys, lists)
                 made, held, keys, lists = made + 1, 0, [], []
         if lists:
-            yield from _count_block(part << 32 | made, keys, lists)
+            yield from count(part << 32 | made, keys, lists)
+
+    return run
+
 
-    return tokens.mapInArrow(run, schema)
+def _count_block_words(block: int, keys: list[pa.Array], lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """One block's rows: its distinct words with their counts, then its documents as numbers of distinct words with counts."""
+    sizes, codes, known = _coded_words(lists)
+    names, n = ["_block", "_at", "token", "n", "_key", "_numbers", "_counts"], len(known)
+    lists_type = pa.list_(pa.int32())
+    yield pa.RecordBatch.from_arrays([
+        pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), known, pa.array(np.bincount(codes, minlength=n).astype(np.int64)),
+        pa.nulls(n, keys[0].type), pa.nulls(n, lists_type), pa.nulls(n, lists_type),
+    ], names=names)
+    documents = np.repeat(np.arange(len(sizes)), sizes)
+    pairs, counts = np.unique(documents * n + codes, return_counts=True)
+    used = sizes > 0
+    ends = np.cumsum(np.bincount(pairs // max(n, 1), minlength=len(sizes))[used])
+    bounds, m = pa.array(np.concatenate([[0], ends]).astype(np.int32)), int(used.sum())
+    yield pa.RecordBatch.from_arrays([
+        pa.array(np.full(m, block)), pa.nulls(m, pa.int32()), pa.nulls(m, known.type), pa.nulls(m, pa.int64()),
+        pa.concat_arrays(keys).filter(pa.array(used)), pa.ListArray.from_arrays(bounds, pa.array((pairs % max(n, 1)).astype(np.int32))),
+        pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int32))),
+    ], names=names)
+
+
+def block_words(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """Words of blocks of documents, a stored table. Rows with `token` are the distinct words of a block with their count
+    `n`; the others are its documents, which hold words as numbers."""
+    tokens = texts.select(words(F.col(text)).alias("_w"), F.col(key).alias("_key"))
+    kind = texts.schema[key].dataType.simpleString()
+    schema = f"_block long, _at int, token string, n long, _key {kind}, _numbers array<int>, _counts array<int>"
+    return materialised(tokens.mapInArrow(_by_blocks(_count_block_words), schema), "block-words")
+
+
+def _tokens_of_documents(documents: pa.Table, known: pa.Table) -> pa.Table:
+    """Distinct words of one block's documents with their ids and counts; a word with several ids has as many rows."""
+    numbers, counts = (_flat(documents.column(c)) for c in ("_numbers", "_counts"))
+    order = np.argsort(known.column("_at").to_numpy(), kind="stable")
+    at = known.column("_at").to_numpy()[order]
+    first, last = np.searchsorted(at, numbers, "left"), np.searchsorted(at, numbers, "right")
+    times = last - first
+    row = np.repeat(np.arange(len(numbers)), times)
+    place = pa.array(order[first[row] + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)])
+    sizes = pc.list_value_length(documents.column("_numbers")).to_numpy()
+    document = np.repeat(np.arange(documents.num_rows), sizes)[row]
+    return pa.table({
+        "_key": documents.column("_key").take(pa.array(document)), "token": known.column("token").take(place),
+        "id": known.column("id").take(place), "n": pa.array(counts[row].astype(np.int64)),
+    })
+
+
+def _flat(lists: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in lists.chunks] or [np.zeros(0, np.int32)])
+
+
+def document_token_ids(rows: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
+    """Per document its distinct words with `id` and count `n`; `rows` are `block_words`.
+
+    Only a block's distinct words meet the vocabulary; ids return to the block. Documents with equal keys count as one.
+    """
+    known = token_ids(rows.filter("token IS NOT NULL").select("_block", "_at", "token"), vocabulary)
+    documents = rows.filter("token IS NULL").select(F.col("_block").alias("_of"), "_key", "_numbers", "_counts")
+    kind = rows.schema["_key"].dataType.simpleString()
+    found = (
+        documents.groupBy("_of")
+        .cogroup(known.groupBy("_block"))
+        .applyInArrow(_tokens_of_documents, f"_key {kind}, token string, id int, n long")
+        .withColumnRenamed("_key", key)
+    )
+    often = documents.groupBy(F.col("_key").alias("_often")).agg(F.count("*").alias("_n")).filter("_n > 1")
+    often = materialised(often.select("_often"), "repeated-keys")
+    if often.isEmpty():
+        return found
+    found = materialised(found, "document-words")
+    same = found[key].eqNullSafe(often["_often"])
+    summed = found.join(often, same, "left_semi").groupBy(key, "token", "id").agg(F.sum("n").alias("n"))
+    return found.join(often, same, "left_anti").unionByName(summed)
 
 
 def _cost_of_documents(documents: pa.Table, costs: pa.Table) -> pa.Table:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textloom.operators import select
 from textloom.operators.mix import batches, cap_by_unit, exact_split, sample_per_group, shard
 from textloom.operators.ranking import ordered_rank, skip_first, take_first
-from textloom.operators.scoring import words
+from textloom.operators.scoring import block_words, document_token_ids, words
 from textloom.functions.arrays import SPECIAL_TOKENS
 from textloom.queries import query, table, wide_table
 from textloom.queries import sqltext as S
@@ -66,7 +66,11 @@ def document_words(spark, sf):
 
 def word_vocabulary(spark, sf):
     """Words that occur ten times or more, most frequent first, after the reserved tokens."""
-    counts = document_words(spark, sf).groupBy("token").agg(F.count("*").alias("n")).filter("n >= 10")
+    return vocabulary_of(spark, document_words(spark, sf).groupBy("token").agg(F.count("*").alias("n")))
+
+
+def vocabulary_of(spark, counts):
+    counts = counts.filter("n >= 10")
     ranked = ordered_rank(counts.select("token", (-F.col("n")).alias("_o")), [], ["_o", "token"])
     reserved = spark.createDataFrame([(t, i) for i, t in enumerate(SPECIAL_TOKENS)], "token string, id int")
     return reserved.unionByName(ranked.select("token", (F.col("rank") + 5).cast("int").alias("id")))
@@ -78,9 +82,9 @@ def word_vocabulary(spark, sf):
     f"({VOCABULARY_SQL} UNION ALL {RESERVED_SQL}) USING (token) GROUP BY ALL",
 )
 def j3(spark, sf):
-    vocabulary = materialised(word_vocabulary(spark, sf), "vocabulary")
-    tokens = select.token_ids(document_words(spark, sf), vocabulary)
-    return tokens.groupBy("doc_id", "token", "id").agg(F.count("*").alias("n"))
+    rows = block_words(wide_table(spark, sf, "documents"), "doc_id")
+    counts = rows.filter("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
+    return document_token_ids(rows, materialised(vocabulary_of(spark, counts), "vocabulary"), "doc_id")
 
 
 @query(
