@@ -178,3 +178,13 @@ def test_token_ids_by_blocks(spark, monkeypatch, block):
         expected = sorted(((k, w, i, n) for (k, w), n in counted.items() for i in ids.get(w, [1])), key=str)
         assert sorted((tuple(r) for r in document_token_ids(rows, vocabulary, "doc_id").collect()), key=str) == expected
     assert rows.filter("token = 'a'").agg(F.sum("n")).first()[0] == 2
+
+
+def test_bigrams_meet_as_numbers(spark):
+    """Words are shuffled once per block, not in every bigram."""
+    texts = spark.createDataFrame([(1, "a b a b c"), (2, "b a"), (3, "z"), (4, None)], "doc_id long, text string").coalesce(1)
+    rows = scoring._numbered_blocks(texts, "doc_id", "text")
+    assert sorted((r.token, r.uses) for r in rows.filter("token IS NOT NULL").collect()) == [("a", 2), ("b", 3), ("c", 0)]
+    pairs = rows.filter("_first IS NOT NULL").collect()
+    assert [sorted(r._n) for r in pairs] == [[1, 2, 2]] and [len(r._second) for r in pairs] == [3]
+    assert sorted((r._key, len(r._numbers)) for r in rows.filter("_numbers IS NOT NULL").collect()) == [(1, 4), (2, 1)]

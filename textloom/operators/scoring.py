@@ -38,28 +38,46 @@ def _coded_words(lists: list[pa.Array]) -> tuple[np.ndarray, np.ndarray, pa.Arra
     return sizes, coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
-def _count_block(block: int, keys: list[pa.Array], lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-    """One block's rows: its distinct bigrams with their counts, then its documents as numbers of bigrams."""
-    sizes, codes, known = _coded_words(lists)
+def _bigrams(sizes: np.ndarray, codes: np.ndarray, known: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's distinct bigrams: first words, second words and counts, and the bigrams' numbers in the order of the text."""
     followed = np.ones(len(codes), bool)
     followed[np.cumsum(sizes)[sizes > 0] - 1] = False
     at = np.flatnonzero(followed)
-    pairs, numbers, counts = np.unique(codes[at] * len(known) + codes[np.minimum(at + 1, len(codes) - 1)], return_inverse=True, return_counts=True)
-    n, keyed = len(pairs), bool(keys)
-    names = ["_block", "_at", "first", "second", "n", *(["_key", "_numbers"] if keyed else [])]
-    blank = [pa.nulls(n, keys[0].type), pa.nulls(n, pa.list_(pa.int32()))] if keyed else []
-    yield pa.RecordBatch.from_arrays([
-        pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), known.take(pa.array(pairs // max(len(known), 1))),
-        known.take(pa.array(pairs % max(len(known), 1))), pa.array(counts.astype(np.int64)), *blank,
-    ], names=names)
-    if keyed:
-        long = sizes > 1
-        bounds = np.concatenate([[0], np.cumsum(sizes[long] - 1)]).astype(np.int32)
-        n = int(long.sum())
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(n, block)), pa.nulls(n, pa.int32()), pa.nulls(n, known.type), pa.nulls(n, known.type), pa.nulls(n, pa.int64()),
-            pa.concat_arrays(keys).filter(pa.array(long)), pa.ListArray.from_arrays(pa.array(bounds), pa.array(numbers.astype(np.int32))),
-        ], names=names)
+    pairs, numbers, counts = np.unique(codes[at] * known + codes[np.minimum(at + 1, len(codes) - 1)], return_inverse=True, return_counts=True)
+    return pairs // max(known, 1), pairs % max(known, 1), counts, numbers
+
+
+def _count_block(block: int, keys: list[pa.Array], lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """One block's distinct bigrams with their counts."""
+    sizes, codes, known = _coded_words(lists)
+    first, second, counts, _ = _bigrams(sizes, codes, len(known))
+    columns = [known.take(pa.array(first)), known.take(pa.array(second)), pa.array(counts.astype(np.int64))]
+    yield pa.RecordBatch.from_arrays(columns, names=["first", "second", "n"])
+
+
+def _number_block(block: int, keys: list[pa.Array], lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+    """One block's rows: the words of its bigrams with their uses as a first word, its distinct bigrams as one row of numbers
+    of words, and its documents as numbers of bigrams."""
+    sizes, codes, known = _coded_words(lists)
+    first, second, counts, numbers = _bigrams(sizes, codes, len(known))
+    at = np.unique(np.concatenate([first, second]))
+    uses = np.bincount(first, weights=counts, minlength=len(known)).astype(np.int64)
+    ints = pa.list_(pa.int32())
+
+    def rows(n: int, **columns: pa.Array) -> pa.RecordBatch:
+        kinds = {"_at": pa.int32(), "token": pa.string(), "uses": pa.int64(), "_first": ints, "_second": ints, "_n": ints, "_key": keys[0].type, "_numbers": ints}
+        made = {"_block": pa.array(np.full(n, block))} | {c: columns[c] if c in columns else pa.nulls(n, t) for c, t in kinds.items()}
+        return pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
+
+    def one(numbers: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(numbers)], pa.int32()), pa.array(numbers.astype(np.int32)))
+
+    yield rows(len(at), _at=pa.array(at.astype(np.int32)), token=known.take(pa.array(at)).cast(pa.string()), uses=pa.array(uses[at]))
+    yield rows(1, _first=one(first), _second=one(second), _n=one(counts))
+    long = sizes > 1
+    bounds = pa.array(np.concatenate([[0], np.cumsum(sizes[long] - 1)]).astype(np.int32))
+    documents = pa.ListArray.from_arrays(bounds, pa.array(numbers.astype(np.int32)))
+    yield rows(int(long.sum()), _key=pa.concat_arrays(keys).filter(pa.array(long)), _numbers=documents)
 
 
 def _block_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -71,19 +89,34 @@ def _block_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, end - start)
 
 
-def _block_bigrams(texts: DataFrame, text: str, key: str | None = None) -> DataFrame:
-    """Bigrams of blocks of documents; every text is cut into words once.
+def _block_bigrams(texts: DataFrame, text: str) -> DataFrame:
+    """Distinct bigrams of blocks of documents with their count `n`; every text is cut into words once."""
+    tokens = texts.select(words(F.col(text)).alias("_w"))
+    return tokens.mapInArrow(_by_blocks(_count_block), "first string, second string, n long")
 
-    Rows with `first` are the distinct bigrams of a block, numbered by `_at`, with their count `n`. With a
-    `key`, rows without `first` are the block's documents of two words or more: `_key` and the `_numbers` of
-    their bigrams. Store the table before reading it twice: blocks follow the order of the rows.
-    """
-    tokens = texts.select(words(F.col(text)).alias("_w"), *([F.col(key).alias("_key")] if key else []))
-    schema = "_block long, _at int, first string, second string, n long"
-    if key:
-        schema += f", _key {texts.schema[key].dataType.simpleString()}, _numbers array<int>"
 
-    return tokens.mapInArrow(_by_blocks(_count_block), schema)
+def _numbered_blocks(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Blocks of documents as numbers, a stored table of three kinds of rows: words (`token`), one row of a block's distinct
+    bigrams (`_first`, `_second`, `_n`), and documents of two words or more (`_numbers`)."""
+    tokens = texts.select(words(F.col(text)).alias("_w"), F.col(key).alias("_key"))
+    schema = (
+        "_block long, _at int, token string, uses long, _first array<int>, _second array<int>, _n array<int>, "
+        f"_key {texts.schema[key].dataType.simpleString()}, _numbers array<int>"
+    )
+    return materialised(tokens.mapInArrow(_by_blocks(_number_block), schema), "numbered-blocks")
+
+
+def _bigrams_of_words(bigrams: pa.Table, known: pa.Table) -> pa.Table:
+    """One block's bigrams with the numbers of their words in the corpus, and how often the first one has a follower."""
+    at, ids, uses = (known.column(c).to_numpy() for c in ("_at", "id", "first_n"))
+    order = np.argsort(at)
+    first, second = (order[np.searchsorted(at[order], _flat(bigrams.column(c)))] for c in ("_first", "_second"))
+    n = len(first)
+    block = np.full(n, bigrams.column("_of")[0].as_py() if n else 0)
+    return pa.table({
+        "_block": block, "_at": np.arange(n, dtype=np.int32), "first": ids[first], "second": ids[second], "first_n": uses[first],
+        "n": _flat(bigrams.column("_n")).astype(np.int64),
+    })
 
 
 def _by_blocks(count: Callable[[int, list[pa.Array], list[pa.Array]], Iterator[pa.RecordBatch]]) -> Callable:
@@ -221,25 +254,26 @@ def bigram_scores(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Mean negative log-likelihood and capped perplexity of each document under the corpus' own bigrams.
 
     Add-one smoothing: p(b | a) = (count(ab) + 1) / (count(a) + number of distinct words). Bigrams are counted
-    per block of documents, and only a block's distinct ones meet those of other blocks; their costs return to
-    the block, which kept its documents as numbers. Documents of fewer than two words have no row; documents
+    per block of documents. A block's distinct words are numbered for the whole corpus, and its distinct bigrams meet
+    those of other blocks as pairs of numbers; their costs return to the block, which kept its documents as numbers. Documents of fewer than two words have no row; documents
     with equal keys, null included, count as one.
     """
-    rows = materialised(_block_bigrams(texts, text, key), "block-bigrams")
-    pairs = rows.filter("first IS NOT NULL").select("_block", "_at", "first", "second", "n")
-    # a block has a bigram once, so no window holds more rows than there are blocks
-    of_pair = W.partitionBy("first", "second")
-    pair_n, lead = F.sum("n").over(of_pair), F.col("_block") == F.min("_block").over(of_pair)
-    counted = materialised(pairs.select("_block", "_at", "first", "second", pair_n.alias("pair_n"), lead.alias("lead")), "bigram-counts")
-    context = materialised(
-        counted.groupBy("first").agg(F.sum(F.when(F.col("lead"), F.col("pair_n"))).alias("first_n"), F.count("*").alias("uses")), "contexts"
+    rows = _numbered_blocks(texts, key, text)
+    in_blocks = rows.filter("token IS NOT NULL").select("_block", "_at", "token", "uses")
+    corpus = in_blocks.groupBy("token").agg(F.sum("uses").alias("first_n")).withColumn("id", F.monotonically_increasing_id())
+    corpus = materialised(corpus, "corpus-words")  # a word has one number
+    known = in_blocks.join(corpus, "token").select("_block", "_at", "id", "first_n")
+    bigrams = rows.filter("_first IS NOT NULL").select(F.col("_block").alias("_of"), "_first", "_second", "_n")
+    counted = (
+        bigrams.groupBy("_of")
+        .cogroup(known.groupBy("_block"))
+        .applyInArrow(_bigrams_of_words, "_block long, _at int, first long, second long, first_n long, n long")
     )
-    both = counted.filter("lead").select(F.explode(F.array("first", "second")).alias("w"))
-    vocabulary = both.agg(F.count_distinct("w")).scalar()
-    cost = -F.ln((F.col("pair_n") + 1) / (F.col("first_n") + vocabulary))
-    costs = join_uneven(counted.select("_block", "_at", "first", "pair_n"), context, ["first"], "uses")
-    costs = costs.select("_block", "_at", cost.alias("cost"))
-    documents = rows.filter("first IS NULL").select(F.col("_block").alias("_of"), "_key", "_numbers")
+    # a block has a bigram once, so no window holds more rows than there are blocks
+    pair_n = F.sum("n").over(W.partitionBy("first", "second"))
+    cost = -F.ln((pair_n + 1) / (F.col("first_n") + corpus.agg(F.count("*")).scalar()))
+    costs = counted.select("_block", "_at", cost.alias("cost"))
+    documents = rows.filter("_numbers IS NOT NULL").select(F.col("_block").alias("_of"), "_key", "_numbers")
     scored = (
         documents.groupBy("_of")
         .cogroup(costs.groupBy("_block"))
