@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import compare, connect
 from pyspark.sql import functions as F
@@ -134,6 +135,34 @@ def test_large_groups_are_whole(spark):
     assert {got[k]["component_id"] for k in range(700)} == {0}
 
 
+def test_graphs_are_copied_once_per_lot(spark, monkeypatch):
+    """A graph travels in pieces and once per lot of queries, not in one row per chunk; every query meets every shard."""
+    monkeypatch.setattr(neighbours, "CHUNK_ROWS", 3)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 8))
+    rows = [(i, (centres[i % 40] + rng.normal(size=8) * 0.1).astype(np.float32).tolist(), 0) for i in range(300)]
+    meetings, seen = neighbours._meetings, []
+
+    def spy(*args):
+        met = meetings(*args)
+        seen.extend(met.groupBy("shard").agg(F.countDistinct("chunk").alias("chunks"), F.count_if(F.col("chunk") < 0).alias("pieces"), F.countDistinct("row").alias("rows"), F.count_if(F.col("chunk") >= 0).alias("queries")).collect())
+        return met
+
+    monkeypatch.setattr(neighbours, "_meetings", spy)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    got = neighbours.near_duplicates(df, 0.93, shard_rows=150)
+    assert [(r["queries"], r["rows"]) for r in seen] == [(300, 300)] * 2
+    assert all(r["pieces"] <= 16 and r["chunks"] > 64 for r in seen)
+    assert multiset(tuple(r) for r in got.collect()) == multiset(brute_neighbours(rows, 0.93))
+    monkeypatch.setattr(neighbours, "PIECE_BYTES", 2_000)
+    columns = {"cell": [7] * 300, "shard": [0] * 300, "dim": [8] * 300, "row": range(300), "vector": [v for _, v, _ in rows]}
+    table = pa.table({c: pa.array(v, pa.list_(pa.float32()) if c == "vector" else pa.int64()) for c, v in columns.items()})
+    pieces = neighbours._build(table)
+    assert pieces.num_rows == 5 and all(len(x) <= 2_000 for x in pieces.column("vectors").to_pylist())
+    shard = neighbours._Shard(pieces)
+    assert sorted(shard.ids.tolist()) == list(range(300)) and all((level < 300).all() for level in shard.graph.links)
+
+
 # --- 8
 
 

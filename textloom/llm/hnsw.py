@@ -10,14 +10,14 @@ OPENED = 6
 NEVER = np.float32(-2.0)
 
 
-def _width(level: int) -> int:
+def most_links(level: int) -> int:
     return LINKS if level else 2 * LINKS
 
 
 class Graph:
     """Nodes are numbered from the highest level down, so the nodes of a level are the first ones.
 
-    `links[level]` holds up to `_width(level)` neighbours per node, -1 where there are fewer.
+    `links[level]` holds up to `most_links(level)` neighbours per node, -1 where there are fewer.
     """
 
     def __init__(self, vectors: np.ndarray, links: list[np.ndarray]):
@@ -93,7 +93,7 @@ def _spread(vectors: np.ndarray, ids: np.ndarray, sims: np.ndarray, keep: int) -
 
 def _link_back(graph: Graph, level: int, nodes: np.ndarray, chosen: np.ndarray) -> None:
     """Let the chosen neighbours know of the new nodes; full lists are chosen anew."""
-    links, width = graph.links[level], _width(level)
+    links, width = graph.links[level], most_links(level)
     source = np.repeat(nodes, chosen.shape[1])
     target = chosen.ravel()
     source, target = source[target >= 0], target[target >= 0]
@@ -120,7 +120,7 @@ def build(vectors: np.ndarray, draw: np.ndarray) -> tuple[Graph, np.ndarray]:
     order = np.lexsort((draw, -levels))
     vectors, levels = np.ascontiguousarray(vectors[order], np.float32), levels[order]
     n = len(vectors)
-    graph = Graph(vectors, [np.full((n, _width(k)), -1, np.int64) for k in range(int(levels.max(initial=0)) + 1)])
+    graph = Graph(vectors, [np.full((n, most_links(k)), -1, np.int64) for k in range(int(levels.max(initial=0)) + 1)])
     start = 0
     while start < n:
         stop = min(n, start + max(32, min(BATCH, start)))

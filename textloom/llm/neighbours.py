@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from textloom.llm import hnsw
 from textloom.llm.arrays import mix
@@ -14,12 +18,20 @@ from textloom.llm.scratch import Steps
 
 #: Rows of a graph, which one task holds in memory, and queries that search it together.
 SHARD_ROWS, CHUNK_ROWS = 16_000, 512
+#: Queries that one copy of a graph meets at least, unless cores would have no work, and bytes of vectors in a piece of a graph.
+LOT_ROWS, PIECE_BYTES = 65_536, 256 << 10
 #: First width of the search beams, queries that are audited per chunk and shard, and the recall to reach.
 BEAM, AUDITED, RECALL = 64, 48, 0.99
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy().reshape(-1, dim).astype(np.float64)
+    return column.flatten().to_numpy().reshape(-1, dim)
+
+
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector by its largest number, so that squares neither vanish nor overflow."""
+    wide = vectors.astype(np.float64)
+    return wide / np.abs(wide).max(axis=1, keepdims=True)
 
 
 def _distinct(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -30,11 +42,12 @@ def _distinct(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _build(table: pa.Table) -> pa.Table:
-    """One row with the graph of a shard. Equal vectors are one node, whose rows lie one after the other."""
+    """The graph of a shard in pieces of consecutive nodes. Equal vectors are one node, whose rows lie one after the other."""
     table = table.combine_chunks()
     rows = table.column("row").to_numpy()
     dim = table.column("dim")[0].as_py()
-    vectors = _matrix(table.column("vector").combine_chunks(), dim)
+    raw = _matrix(table.column("vector").combine_chunks(), dim)
+    vectors = _scaled(raw)
     first, which = _distinct(vectors)
     distinct = vectors[first]
     unit = distinct / np.linalg.norm(distinct, axis=1, keepdims=True)
@@ -42,19 +55,46 @@ def _build(table: pa.Table) -> pa.Table:
     graph, order = hnsw.build(unit, np.maximum(draw, 1e-12))
     node = np.empty(len(order), np.int64)
     node[order] = np.arange(len(order))
-    by_node = np.lexsort((rows, node[which]))
+    ids = rows[np.lexsort((rows, node[which]))]
+    sizes = np.bincount(node[which], minlength=len(order)).astype(np.int64)
+    ends, nodes = np.concatenate([[0], np.cumsum(sizes)]), raw[first][order]
+    # the nodes of an upper level are the first ones, the others have no links there
+    used = [int(np.flatnonzero((level >= 0).any(1)).max(initial=-1)) + 1 for level in graph.links]
+    step = max(1, PIECE_BYTES // (raw.itemsize * dim))
+    starts = range(0, len(order), step)
     return pa.Table.from_pydict({
-        "cell": table.column("cell")[:1], "shard": table.column("shard")[:1], "dim": [dim], "rows": [rows[by_node].tobytes()],
-        "sizes": [np.bincount(node[which], minlength=len(order)).astype(np.int64).tobytes()], "vectors": [distinct[order].tobytes()],
-        "links": [[level.astype(np.int32).tobytes() for level in graph.links]],
+        "cell": [table.column("cell")[0].as_py()] * len(starts), "shard": [table.column("shard")[0].as_py()] * len(starts),
+        "piece": list(range(len(starts))), "dim": [dim] * len(starts),
+        "rows": [ids[ends[i] : ends[min(i + step, len(order))]].tobytes() for i in starts],
+        "sizes": [sizes[i : i + step].tobytes() for i in starts], "vectors": [nodes[i : i + step].tobytes() for i in starts],
+        "links": [[level[i : min(i + step, n)].astype(np.int32).tobytes() for level, n in zip(graph.links, used, strict=True)] for i in starts],
     }, schema=_INDEX)
 
 
 _INDEX = pa.schema([
-    ("cell", pa.int64()), ("shard", pa.int32()), ("dim", pa.int32()), ("rows", pa.binary()), ("sizes", pa.binary()),
+    ("cell", pa.int64()), ("shard", pa.int32()), ("piece", pa.int32()), ("dim", pa.int32()), ("rows", pa.binary()), ("sizes", pa.binary()),
     ("vectors", pa.binary()), ("links", pa.list_(pa.binary())),
 ])
-_INDEX_SQL = "cell long, shard int, dim int, rows binary, sizes binary, vectors binary, links array<binary>"
+_INDEX_SQL = "cell long, shard int, piece int, dim int, rows binary, sizes binary, vectors binary, links array<binary>"
+
+
+class _Shard:
+    """A shard's graph, put together from its pieces in order."""
+
+    def __init__(self, pieces: pa.Table):
+        dim = self.dim = pieces.column("dim")[0].as_py()
+        whole = {c: [x.as_buffer() for chunk in pieces.column(c).chunks for x in chunk] for c in ("rows", "sizes", "vectors")}
+        self.ids, self.sizes = (np.concatenate([np.frombuffer(x, np.int64) for x in whole[c]]) for c in ("rows", "sizes"))
+        n = len(self.sizes)
+        kind = np.float32 if sum(x.size for x in whole["vectors"]) == 4 * n * dim else np.float64
+        vectors = _scaled(np.concatenate([np.frombuffer(x, kind) for x in whole["vectors"]]).reshape(n, dim))
+        self.unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        links = []
+        for k, level in enumerate(zip(*pieces.column("links").to_pylist(), strict=True)):
+            some = np.frombuffer(b"".join(level), np.int32).reshape(-1, hnsw.most_links(k))
+            links.append(np.full((n, hnsw.most_links(k)), -1, np.int64))
+            links[-1][: len(some)] = some
+        self.graph = hnsw.Graph(self.unit.astype(np.float32), links)
 
 
 def _audit(found: list[np.ndarray], queries: np.ndarray, unit: np.ndarray, threshold: float, sample: np.ndarray) -> float:
@@ -75,25 +115,16 @@ def _compared(queries: np.ndarray, unit: np.ndarray, threshold: float) -> list[n
     return found
 
 
-def _search(index: pa.Table, batch: pa.Table, threshold: float) -> pa.Table:
+def _search(shard: _Shard, batch: pa.Table, threshold: float) -> pa.Table:
     """Per query the number of links into the shard, and links that connect what its links connect.
 
     Equal queries are searched once. A beam that is full of links is doubled for its query. Then a sample, links
     first, is audited against all vectors; while it misses its recall, all beams are doubled. Beams that would be
     wider than an eighth of the shard's nodes give way to a comparison with all vectors, which misses nothing.
     """
-    if not index.num_rows or not batch.num_rows:
-        return _RESULT.empty_table()
-    shard, batch = index.to_pylist()[0], batch.combine_chunks()
-    dim = shard["dim"]
-    ids, rows = np.frombuffer(shard["rows"], np.int64), batch.column("row").to_numpy()
-    sizes = np.frombuffer(shard["sizes"], np.int64)
-    vectors = np.frombuffer(shard["vectors"], np.float64).reshape(-1, dim)
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    n = len(unit)
-    links = [np.frombuffer(x, np.int32).reshape(n, -1).astype(np.int64) for x in shard["links"]]
-    graph = hnsw.Graph(unit.astype(np.float32), links)
-    raw = _matrix(batch.column("vector").combine_chunks(), dim)
+    batch = batch.combine_chunks()
+    rows, unit, graph, n = batch.column("row").to_numpy(), shard.unit, shard.graph, len(shard.unit)
+    raw = _scaled(_matrix(batch.column("vector").combine_chunks(), shard.dim))
     first, which = _distinct(raw)
     queries = raw[first] / np.linalg.norm(raw[first], axis=1, keepdims=True)
     found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
@@ -123,7 +154,53 @@ def _search(index: pa.Table, batch: pa.Table, threshold: float) -> pa.Table:
             if _audit(found, queries, unit, threshold, sample) < RECALL:
                 todo = np.flatnonzero(walked)
         beam *= 2
-    return _links(ids, sizes, rows, [found[i] for i in which])
+    return _links(shard.ids, shard.sizes, rows, [found[i] for i in which])
+
+
+def _search_lots(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Search sorted rows: the pieces of a shard's graph, then chunks of queries; one graph and one chunk are held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, place = None, [], None
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            nonlocal shard
+            if held:
+                whole = pa.concat_tables(held)
+                if place[-1] < 0:
+                    shard = _Shard(whole)
+                else:
+                    yield from _search(shard, whole, threshold).to_batches()
+            held.clear()
+
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("cell", "shard", "lot", "chunk")], axis=1)
+            bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            for start, stop in pairwise(bounds):
+                if stop > start:
+                    if place != (here := tuple(keys[start].tolist())):
+                        yield from finish()
+                        place = here
+                    held.append(pa.Table.from_batches([batch.slice(start, stop - start)]))
+        yield from finish()
+
+    return run
+
+
+def _meetings(index: DataFrame, dealt: DataFrame, split: DataFrame) -> DataFrame:
+    """Pieces of graphs (`chunk` -1) and queries, each query with every shard of its label. A graph is copied once per lot of chunks."""
+    kind = dict(index.dtypes) | dict(dealt.dtypes)
+    wide = ["cell", "shard", "lot", "chunk", "row", "dim", "rows", "sizes", "vectors", "links", "vector"]
+
+    def shaped(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast(kind[c]).alias(c) for c in wide])
+
+    pieces = index.join(split.select("cell", "lots"), "cell").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)))
+    pieces = pieces.withColumns({"chunk": F.lit(-1), "row": F.col("piece").cast("long")})
+    chunk = F.pmod(F.xxhash64("row", F.lit(1)), "chunks").cast("int")
+    queries = dealt.drop("shard", "dim").withColumn("chunk", chunk).withColumn("lot", F.pmod("chunk", "lots"))
+    queries = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    return shaped(pieces).unionByName(shaped(queries))
 
 
 def _links(ids: np.ndarray, sizes: np.ndarray, rows: np.ndarray, found: list[np.ndarray]) -> pa.Table:
@@ -176,7 +253,8 @@ def near_duplicates(
 
     Two rows link if their labels are equal and not null and their cosine, in double precision, is found to be
     at least `threshold`. The vectors of a label are dealt to shards of about `shard_rows` rows by a hash; each
-    shard has a graph, and all vectors of the label search each of its graphs in chunks. `component_id` is the
+    shard has a graph, and all vectors of the label search each of its graphs in chunks. A graph is stored in pieces
+    and copied once per lot of chunks, whose rows a task streams. `component_id` is the
     smallest key that links lead to, `kept` says that it is the row's own. All vectors are indexed, equal ones of a
     shard as one; the search is approximate, audited against exact comparison (see `RECALL`), and gives way to it.
 
@@ -187,28 +265,29 @@ def near_duplicates(
     steps = Steps(vectors.sparkSession, "neighbours")
     value, number = F.col(vector).cast("array<double>"), F.col(key).cast("long")
     numbers = F.forall(value, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    large = F.array_max(F.transform(value, F.abs))
-    good = numbers & (large > 0) & F.col(label).isNotNull() & number.isNotNull()
+    good = numbers & F.exists(value, lambda x: x != 0) & F.col(label).isNotNull() & number.isNotNull()
+    narrow = isinstance(getattr(vectors.schema[vector].dataType, "elementType", None), FloatType)
     rows = steps.store(
         vectors.select(
             number.alias("key"), F.monotonically_increasing_id().alias("row"), F.xxhash64(F.col(label), F.size(value)).alias("cell"),
-            F.size(value).alias("dim"), F.coalesce(good, F.lit(False)).alias("good"),
-            # scaled to the largest number, so that squares neither vanish nor overflow
-            F.when(good, F.transform(value, lambda x: x / large)).alias("vector"),
+            F.size(value).alias("dim"), F.coalesce(good, F.lit(False)).alias("good"), F.when(good, F.col(vector) if narrow else value).alias("vector"),
         ),
         "rows",
     )
     usable = rows.filter("good")
     size = usable.groupBy("cell").agg(F.count("*").alias("n"))
-    split = size.select("cell", F.ceil(F.col("n") / shard_rows).cast("int").alias("shards"), F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks"))
-    dealt = usable.join(split, "cell").select("cell", "row", "dim", "vector", "shards", "chunks", F.pmod(F.xxhash64("row"), "shards").cast("int").alias("shard"))
+    split = size.select("cell", "n", F.ceil(F.col("n") / shard_rows).cast("int").alias("shards"), F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("chunks"))
+    # lots are for the cores only, no result depends on them: some four per core, if there are as many chunks
+    work = split.agg(F.sum(F.col("n") * F.col("shards"))).scalar()
+    lots = F.greatest(F.ceil(F.col("n") / LOT_ROWS), F.ceil(4 * vectors.sparkSession.sparkContext.defaultParallelism * F.col("n") / work))
+    split = split.withColumn("lots", F.least("chunks", lots).cast("int"))
+    dealt = usable.join(split, "cell").select("cell", "row", "dim", "vector", "shards", "chunks", "lots", F.pmod(F.xxhash64("row"), "shards").cast("int").alias("shard"))
     index = steps.store(dealt.groupBy("cell", "shard").applyInArrow(_build, _INDEX_SQL), "index")
-    queries = dealt.withColumn("chunk", F.pmod(F.xxhash64("row", F.lit(1)), "chunks").cast("int"))
-    queries = queries.select("cell", "row", "vector", "chunk", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    each = index.join(split.select("cell", "chunks"), "cell").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks")
-    place = ["cell", "shard", "chunk"]
-    met = each.groupBy(*place).cogroup(queries.groupBy(*place))
-    found = steps.store(met.applyInArrow(lambda i, q: _search(i, q, threshold), "row long, hits long, a long, b long"), "found")
+    steps.drop()
+    lot = ["cell", "shard", "lot"]
+    met = _meetings(index, dealt, split).repartition(*lot).sortWithinPartitions(*lot, "chunk", "row")
+    found = steps.store(met.mapInArrow(_search_lots(threshold), "row long, hits long, a long, b long"), "found")
+    steps.drop("index")
     counts = found.filter("row IS NOT NULL").groupBy("row").agg(F.sum("hits").alias("hits"))
     roots = components(found.filter("a IS NOT NULL").select("a", "b")).withColumnRenamed("id", "row")
     placed = rows.select("key", "row").join(counts, "row", "left").join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
