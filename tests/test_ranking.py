@@ -3,13 +3,17 @@
 import math
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textloom.operators import mix, ranking, scoring
 from textloom.operators.scoring import bigram_scores, block_words, document_token_ids, join_uneven, next_word_table, top_k_with_ties
+from textloom.session import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -188,3 +192,37 @@ def test_bigrams_meet_as_numbers(spark):
     pairs = rows.filter("_first IS NOT NULL").collect()
     assert [sorted(r._n) for r in pairs] == [[1, 2, 2]] and [len(r._second) for r in pairs] == [3]
     assert sorted((r._key, len(r._numbers)) for r in rows.filter("_numbers IS NOT NULL").collect()) == [(1, 4), (2, 1)]
+
+
+def test_packed_numbers_and_words():
+    for numbers in ([], [0, 0], [255, 256, 0], [2**40, 1, 2**31]):
+        assert scoring._unpack(scoring._pack(np.array(numbers, np.int64))).tolist() == numbers
+    known = pa.array(["a", "straße", "\x00b", "😀", "a" * 5000, "z"])
+    for part in (known, known[2:5], known[6:]):
+        assert scoring._unpack_words(*scoring._pack_words(part)).equals(part)
+        assert len(set(scoring._places(part).tolist())) == len(part)
+    assert scoring._places(known[2:5]).tolist() == scoring._places(known).tolist()[2:5]
+
+
+def test_bigrams_travel_packed(spark, monkeypatch):
+    """The tables of bigram scores are smaller than the texts, and many blocks and buckets give the counts of one."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(30_000)}" for _ in range(1000)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "n long, text string").repartition(2)
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.rglob("*.parquet"))
+    one = {r.n: (r.bigrams, r.nll) for r in bigram_scores(df, "n").collect()}
+    assert sum(f.stat().st_size for f in set(folder.rglob("*.parquet")) - before if f.is_file()) < 0.8 * sum(map(len, texts))
+    for name, size in (("BLOCK_WORDS", 20_000), ("BUCKET_WORDS", 5_000), ("BUCKET_BIGRAMS", 30_000)):
+        monkeypatch.setattr(scoring, name, size)
+    many = {r.n: (r.bigrams, r.nll) for r in bigram_scores(df, "n").collect()}
+    assert many.keys() == one.keys() == set(range(300))
+    assert all(many[k][0] == one[k][0] == 999 and math.isclose(many[k][1], one[k][1], rel_tol=1e-9) for k in one)
+    pairs = Counter(p for t in texts for p in zip(t.split(), t.split()[1:]))
+    starts = Counter()
+    for (a, _), n in pairs.items():
+        starts[a] += n
+    words = len({w for p in pairs for w in p})
+    for k in (0, 150, 299):
+        ps = list(zip(texts[k].split(), texts[k].split()[1:]))
+        assert math.isclose(one[k][1], sum(-math.log((pairs[p] + 1) / (starts[p[0]] + words)) for p in ps) / len(ps), rel_tol=1e-9)

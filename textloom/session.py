@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -72,6 +73,15 @@ def materialised(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of jobs that are over.
+
+    It does so when the driver's garbage collector finds that nothing refers to them, which may be long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows and bytes that a Python worker gets at a time, when they are whole texts.
 TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 1_000, 16 << 20
 
