@@ -24,7 +24,7 @@ HOT_SHARE = 1e-4
 #: Words of one block of documents; a block's words and bigrams are in memory at a time.
 BLOCK_WORDS = 1_000_000
 #: Words of blocks that are numbered together, and bigrams of blocks that are added up together, on average.
-BUCKET_WORDS, BUCKET_BIGRAMS = 1 << 20, 1 << 21
+BUCKET_WORDS, BUCKET_BIGRAMS = 1 << 20, 1 << 20
 
 
 def words(text: Column) -> Column:
